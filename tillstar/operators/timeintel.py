@@ -160,14 +160,15 @@ def _sweep(axis: _Axis, steps: DataFrame, by: Sequence[str], values: Sequence[st
 def _shift(axis: _Axis, items: Sequence[str], frame: DataFrame) -> DataFrame:
     """Each atom once per item and period it is seen from: adds (calc, p)."""
     at = F.col("at")
+
+    def tagged(calc: str, positions: Column) -> Column:
+        return F.transform(positions, lambda t: F.struct(F.lit(calc).alias("calc"), t.cast("int").alias("step")))
+
     seen = []
     for c in items:
         lo, hi = axis.shifted(at, SHIFTS[c])
-        positions = F.sequence(lo, hi - 1) if axis.daily else F.array(lo)
-        positions = F.when(hi > lo, positions) if axis.daily else positions
-        seen.append(
-            F.transform(positions, lambda t, c=c: F.struct(F.lit(c).alias("calc"), t.cast("int").alias("step")))
-        )
+        positions = F.when(hi > lo, F.sequence(lo, hi - 1)) if axis.daily else F.array(lo)
+        seen.append(tagged(c, positions))
     empty = F.array().cast("array<struct<calc:string,step:int>>")
     every = F.flatten(F.array(*[F.coalesce(s, empty) for s in seen]))
     moved = frame.withColumn("seen", F.explode(every)).filter(F.col("seen.step").between(axis.first, axis.last))
