@@ -114,4 +114,4 @@ def as_text(value: Column | str, kind: str, currency: str = "₹") -> Column:
     if kind == "int":
         return F.format_number(F.round(v, 0), 0)
     decimals = {"pct": 1, "pct2": 2}[kind]
-    return F.concat(F.format_string(f"%.{decimals}f", F.round(v * 100, decimals)), F.lit("%"))
+    return F.concat(F.round(v * 100, decimals).cast(f"decimal(38,{decimals})").cast("string"), F.lit("%"))

@@ -343,7 +343,7 @@ def _range(item: str, grain: str) -> tuple[str, str]:
         return f"lo - {SHIFT[item]}", f"hi - {SHIFT[item]}"
     if grain == "day":
         unit = {"MTD": "month", "QTD": "quarter"}[item]
-        return f"CAST(date_trunc('{unit}', DATE '1970-01-01' + hi) AS DATE) - DATE '1970-01-01'", "hi"
+        return f"CAST(date_trunc('{unit}', DATE '1970-01-01' + CAST(hi AS INTEGER)) AS DATE) - DATE '1970-01-01'", "hi"
     start = {
         "MTD": "hi", "QTD": "hi - hi % 3", "YTD": "hi - hi % 12", "FYTD": "hi - (hi - 3) % 12",
         "Running Total": "0", "3M Avg": "hi - 2",
