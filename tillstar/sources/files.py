@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillstar.functions.columns import risk_order
-from tillstar.sources.schemas import GOLD, RAW_ORDER_LINES
+from tillstar.sources.schemas import FACT_ON_DISK, GOLD, RAW_ORDER_LINES
 
 
 def read_order_lines(
@@ -57,9 +57,7 @@ def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
 def read_gold(spark: SparkSession, folder: str, name: str, fmt: str = "csv") -> DataFrame:
     """A gold table with its declared column types."""
     if fmt == "parquet":
-        schema = GOLD[name]
-        if name == "fact_sales":
-            schema = StructType(schema.fields + StructType.fromDDL("year int").fields)
+        schema = FACT_ON_DISK if name == "fact_sales" else GOLD[name]
         return spark.read.schema(schema).parquet(f"{folder}/{name}")
     return spark.read.schema(GOLD[name]).csv(
         f"{folder}/{name}", header=True, escape='"', enforceSchema=False, mode="FAILFAST"

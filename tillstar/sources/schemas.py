@@ -2,53 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
 
-ORDER_LINES_TEXT = (
-    "order_id", "customer_id", "segment", "store_name", "city", "state", "country",
-    "channel", "sku", "product_name", "category", "subcategory", "brand",
-)
+TEXT, DATE, FLAG = T.StringType(), T.DateType(), T.BooleanType()
+INT, LONG, DOUBLE = T.IntegerType(), T.LongType(), T.DoubleType()
+PRICE, SHARE, MONEY = T.DecimalType(12, 2), T.DecimalType(5, 4), T.DecimalType(18, 2)
 
 
-def _schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def _schema(**columns: T.DataType) -> StructType:
+    return StructType([StructField(name, dtype) for name, dtype in columns.items()])
 
 
 ORDER_LINES = _schema(
-    """order_id string, order_date date, customer_id string, segment string, signup_date date,
-    store_name string, city string, state string, country string, channel string, sku string,
-    product_name string, category string, subcategory string, brand string, quantity int,
-    unit_price decimal(12,2), discount_pct decimal(5,4), unit_cost decimal(12,2), is_returned boolean"""
-)
+    order_id=TEXT, order_date=DATE, customer_id=TEXT, segment=TEXT, signup_date=DATE,
+    store_name=TEXT, city=TEXT, state=TEXT, country=TEXT, channel=TEXT,
+    sku=TEXT, product_name=TEXT, category=TEXT, subcategory=TEXT, brand=TEXT,
+    quantity=INT, unit_price=PRICE, discount_pct=SHARE, unit_cost=PRICE, is_returned=FLAG,
+)
+ORDER_LINES_TEXT = tuple(f.name for f in ORDER_LINES.fields if f.dataType == TEXT)
 
 # A raw extract is read as text; staging gives the types.
-RAW_ORDER_LINES = _schema(", ".join(f"{f.name} string" for f in ORDER_LINES.fields))
+RAW_ORDER_LINES = _schema(**{f.name: TEXT for f in ORDER_LINES.fields})
 
 GOLD: dict[str, StructType] = {
     "dim_date": _schema(
-        """date_key int, date date, year int, quarter int, month int, month_name string,
-        year_month string, is_weekend boolean, fiscal_year int"""
-    ),
-    "dim_customer": _schema("customer_id string, segment string, signup_date date, customer_key bigint"),
-    "dim_store": _schema(
-        "store_name string, city string, state string, country string, region string, store_key bigint"
+        date_key=INT, date=DATE, year=INT, quarter=INT, month=INT, month_name=TEXT, year_month=TEXT,
+        is_weekend=FLAG, fiscal_year=INT,
     ),
+    "dim_customer": _schema(customer_id=TEXT, segment=TEXT, signup_date=DATE, customer_key=LONG),
+    "dim_store": _schema(store_name=TEXT, city=TEXT, state=TEXT, country=TEXT, region=TEXT, store_key=LONG),
     "dim_product": _schema(
-        """sku string, product_name string, category string, subcategory string, brand string,
-        list_price decimal(12,2), product_key bigint"""
+        sku=TEXT, product_name=TEXT, category=TEXT, subcategory=TEXT, brand=TEXT, list_price=PRICE, product_key=LONG
     ),
     "fact_sales": _schema(
-        """order_id string, customer_key bigint, store_key bigint, product_key bigint, channel string,
-        quantity int, unit_price decimal(12,2), discount_pct decimal(5,4), is_returned boolean,
-        date_key int, net_revenue decimal(18,2), discount_amount decimal(18,2), cost decimal(18,2)"""
+        order_id=TEXT, customer_key=LONG, store_key=LONG, product_key=LONG, channel=TEXT, quantity=INT,
+        unit_price=PRICE, discount_pct=SHARE, is_returned=FLAG, date_key=INT, net_revenue=MONEY,
+        discount_amount=MONEY, cost=MONEY,
     ),
-    "security_user_country": _schema("user_email string, country string"),
+    "security_user_country": _schema(user_email=TEXT, country=TEXT),
     "customer_scores": _schema(
-        """customer_id string, R int, F int, M int, segment string, churned_h2_2025 int,
-        recency_days int, frequency int, monetary double, churn_probability double, churn_risk string"""
+        customer_id=TEXT, R=INT, F=INT, M=INT, segment=TEXT, churned_h2_2025=INT, recency_days=INT, frequency=INT,
+        monetary=DOUBLE, churn_probability=DOUBLE, churn_risk=TEXT,
     ),
-    "cohort_retention": _schema("cohort string, months_since_first int, retention_pct double"),
-}
+    "cohort_retention": _schema(cohort=TEXT, months_since_first=INT, retention_pct=DOUBLE),
+}
+
+# The parquet fact also has the partition column.
+FACT_ON_DISK = StructType([*GOLD["fact_sales"].fields, StructField("year", INT)])
 
 # (from table, column) -> (to table, column): many-to-one, single direction.
 RELATIONSHIPS = {
