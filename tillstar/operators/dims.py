@@ -39,8 +39,13 @@ def dim_date(stg: DataFrame, fy_start_month: int = 4) -> DataFrame:
 
 
 def dim_customer(stg: DataFrame) -> DataFrame:
-    """One row per customer; ``min`` makes the 'any' segment repeatable."""
-    customers = stg.groupBy("customer_id").agg(
+    """One row per customer; ``min`` makes the 'any' segment repeatable.
+
+    A text ``min`` makes Spark sort its input, so the lines are first reduced
+    by hash to the distinct (customer, segment), about one row per customer.
+    """
+    seen = stg.groupBy("customer_id", "segment").agg(F.min("signup_date").alias("signup_date"))
+    customers = seen.groupBy("customer_id").agg(
         F.min("segment").alias("segment"), F.min("signup_date").alias("signup_date")
     )
     return _as_contract(with_dense_key(customers, ["customer_id"], "customer_key"), "dim_customer")
@@ -58,9 +63,13 @@ def dim_store(stg: DataFrame, domestic: str = DOMESTIC) -> DataFrame:
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
-    """One row per sku; the highest unit price seen is the list price."""
+    """One row per sku; the highest unit price seen is the list price.
+
+    Reduced by hash to the distinct attribute sets first, as for customers.
+    """
     attributes = ("product_name", "category", "subcategory", "brand")
-    products = stg.groupBy("sku").agg(
-        *[F.min(c).alias(c) for c in attributes], F.max("unit_price").alias("list_price")
+    seen = stg.groupBy("sku", *attributes).agg(F.max("unit_price").alias("list_price"))
+    products = seen.groupBy("sku").agg(
+        *[F.min(c).alias(c) for c in attributes], F.max("list_price").alias("list_price")
     )
     return _as_contract(with_dense_key(products, ["sku"], "product_key"), "dim_product")

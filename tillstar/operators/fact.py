@@ -128,7 +128,12 @@ def trailing(lines: DataFrame, snapshot: str, days: int = 90, date: str = "order
 
 
 def order_dedup(lines: DataFrame, customer: str = "customer_id") -> DataFrame:
-    """One row per order with a repeatable choice of customer, date and channel."""
-    return lines.groupBy("order_id").agg(
+    """One row per order with a repeatable choice of customer, date and channel.
+
+    The lines are reduced by hash to the distinct (order, customer, channel)
+    first: the text ``min`` of the second step sorts about one row per order.
+    """
+    seen = lines.groupBy("order_id", customer, "channel").agg(F.min("order_date").alias("order_date"))
+    return seen.groupBy("order_id").agg(
         F.min(customer).alias(customer), F.min("order_date").alias("order_date"), F.min("channel").alias("channel")
     )

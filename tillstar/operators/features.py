@@ -41,7 +41,7 @@ def customer_features(lines: DataFrame, snapshot: str | dt.date, corporate: str
         F.sum("discount_pct").alias("discount"),
         F.count("*").alias("lines"),
         F.count_if("is_returned").alias("returned"),
-        F.min("segment").alias("segment"),
+        F.max((F.col("segment") == corporate).cast("int")).alias("is_corporate"),
     )
     per_customer = per_category.groupBy("customer_id").agg(
         F.max("last").alias("last"),
@@ -52,7 +52,7 @@ def customer_features(lines: DataFrame, snapshot: str | dt.date, corporate: str
         F.sum("lines").alias("lines"),
         F.sum("returned").alias("returned"),
         F.count("category").cast("int").alias("n_categories"),
-        F.min("segment").alias("segment"),
+        F.max("is_corporate").alias("is_corporate"),
     )
     recent = F.col("order_date") > F.date_sub(day, 90)
     per_order = (
@@ -77,7 +77,7 @@ def customer_features(lines: DataFrame, snapshot: str | dt.date, corporate: str
         "n_categories",
         ratio("returned", "lines").alias("return_rate"),
         "orders_last_90d",
-        (F.col("segment") == corporate).cast("int").alias("is_corporate"),
+        F.coalesce("is_corporate", F.lit(0)).alias("is_corporate"),
         (F.col("frequency") / F.greatest(tenure / F.lit(30.0), F.lit(1.0))).alias("orders_per_month"),
         F.col("monetary_12m").cast("decimal(28,2)").alias("monetary_12m"),
     )

@@ -20,6 +20,8 @@ _ROW_BITS = 33
 
 # Largest input that may be ranked in one task (a plain global window).
 ONE_TASK_ROWS = 100_000
+# Largest join side that is broadcast by hint.
+BROADCAST_ROWS = 500_000
 
 
 def _placed(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
@@ -61,9 +63,15 @@ def with_running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[s
     )
 
 
-def fits_one_task(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
+def fits(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
+    """True when ``df`` has at most ``rows`` rows. For parquet the count reads footers only."""
+    return df.count() <= rows
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint for a side counted to be small; otherwise no hint, and the join
+    shuffles both sides with adaptive skew splitting."""
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def with_dense_rank(df: DataFrame, value: str, name: str, small: bool) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.columns import ratio
-from tillstar.operators.keys import fits_one_task, with_dense_rank
+from tillstar.operators.keys import fits, with_dense_rank
 from tillstar.operators.measures import measure
 from tillstar.star import Star
 
@@ -47,7 +47,7 @@ def rank_by(
         every[column], F.col("total_revenue").alias("revenue")
     )
     # The dimension has at least as many rows as members: its size decides the way.
-    small = fits_one_task(dim)
+    small = fits(dim)
     ranked = with_dense_rank(known.withColumn("_v", F.coalesce("revenue", F.lit(0))), "_v", name, small)
     return ranked.select(column, "revenue", F.col(name).cast("long").alias(name))
 

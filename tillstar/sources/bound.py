@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.operators.keys import broadcast_if_small
+
 TABLES = ("region", "nation", "supplier", "part", "customer", "orders", "lineitem")
 
 
@@ -20,7 +22,11 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One denormalised row per line item, with the raw order-line columns.
 
     Dimension-like tables are joined to each other first (nation-region-supplier,
-    orders-customer), so the line items are joined three times only.
+    orders-customer), so the line items are joined three times only. Orders and
+    line items both grow with the data: those joins are sort-merge joins, whose
+    hot keys AQE splits. Stores and products are broadcast if counted small;
+    Catalyst's own estimate of a joined side is a product of sizes, too high to
+    broadcast and too late to save the shuffle of the line items.
     """
     t = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
@@ -38,7 +44,8 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("category"),
         F.concat("p_type", F.lit("/"), (F.col("p_size") % 5).cast("string")).alias("subcategory"),
         F.col("p_brand").alias("brand"),
-        (F.lit(Decimal("0.550")) + F.col("p_size") * F.lit(Decimal("0.005"))).alias("cost_share"),
+        # Narrow on purpose: price x share then stays within 18 digits, Spark's fast decimals.
+        (F.lit(Decimal("0.550")) + F.col("p_size") * F.lit(Decimal("0.005"))).cast("decimal(5,3)").alias("cost_share"),
     )
     ordered = t["orders"].withColumn("order_date", F.col("o_orderdate").cast("date"))
     # One row per customer before the join: a customer with very many orders is not a hot group.
@@ -50,7 +57,7 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "signup_date",
     )
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    headers = ordered.join(people, "o_custkey").select(
+    headers = ordered.join(people.hint("merge"), "o_custkey").select(
         F.col("o_orderkey").alias("l_orderkey"),
         _code("SO-", "o_orderkey").alias("order_id"),
         "order_date",
@@ -62,9 +69,9 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     return (
         t["lineitem"]
-        .join(headers, "l_orderkey")
-        .join(stores, "l_suppkey")
-        .join(products, "l_partkey")
+        .join(headers.hint("merge"), "l_orderkey")
+        .join(broadcast_if_small(stores), "l_suppkey")
+        .join(broadcast_if_small(products), "l_partkey")
         .select(
             "order_id", "order_date", "customer_id", "segment", "signup_date",
             "store_name", "city", "state", "country", "channel",
