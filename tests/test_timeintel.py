@@ -39,31 +39,27 @@ LABEL = {
 }
 
 
-def dates_of(item, days, daily):
-    """The set of dates an item evaluates the measure over, for a context of days."""
-    last = max(days)
+def range_of(item, days, daily):
+    """First and last date an item evaluates the measure over, for a context of days."""
+    first, last = min(days), max(days)
     if item == "Current":
-        return set(days)
+        return first, last
     if item in ("PY", "PM"):
         n = -12 if item == "PY" else -1
         if daily:
-            return {add_months(last, n)}
-        months = {(d.year, d.month) for d in (add_months(x.replace(day=1), n) for x in days)}
-        return {
-            dt.date(y, m, k) for y, m in months for k in range(1, calendar.monthrange(y, m)[1] + 1)
-        }
+            return (add_months(last, n),) * 2
+        return add_months(first.replace(day=1), n), month_end(add_months(last.replace(day=1), n))
     if item == "3M Total":
         start = add_months(last, -3)
         start = month_end(start) if is_month_end(last) else start
-        return {start + dt.timedelta(i) for i in range(1, (last - start).days + 1)}
-    first = {
+        return start + dt.timedelta(1), last
+    return {
         "MTD": last.replace(day=1),
         "QTD": dt.date(last.year, (last.month - 1) // 3 * 3 + 1, 1),
         "YTD": dt.date(last.year, 1, 1),
         "FYTD": dt.date(fiscal_year(last) - 1, 4, 1),
         "Running Total": dt.date(1900, 1, 1),
-    }[item]
-    return {x for x in (last - dt.timedelta(i) for i in range(0, 1500)) if x >= first}
+    }[item], last
 
 
 def value(measure, rows):
@@ -87,14 +83,11 @@ def expected(measure, rows, cal, grain, item):
     contexts = {}
     for d in cal:
         contexts.setdefault(LABEL[grain](d), []).append(d)
-    by_date = {}
-    for r in rows:
-        by_date.setdefault(r[0], []).append(r)
-    inside = set(cal)
     out = {}
     for label, days in contexts.items():
         def at(i, days=days):
-            return value(measure, [r for d in dates_of(i, days, grain == "day") & inside for r in by_date.get(d, [])])
+            lo, hi = range_of(i, days, grain == "day")
+            return value(measure, [r for r in rows if lo <= r[0] <= hi])
 
         cur, py, pm = (at(i) for i in ("Current", "PY", "PM")) if item in ("YoY", "YoY %", "MoM %") else (None,) * 3
         if item == "YoY":
