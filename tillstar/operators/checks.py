@@ -98,13 +98,15 @@ def run_checks(star: Star, stg: DataFrame) -> DataFrame:
 
 
 def extended_checks(star: Star) -> DataFrame:
-    """Orphans and duplicates for all four keys (join losses cannot cancel out) and a
-    check that the fact has rows at all."""
+    """What the five checks leave open: orphans and duplicates of the other keys (so that
+    join losses and fan-out cannot cancel out) and whether the fact has rows at all."""
     parts = [_settle([_tally(star.fact_sales, {"empty fact": (F.count("*") == 0).cast("int")})])]
     for name, key in Star.KEYS.items():
         dim = getattr(star, name)
-        parts.append(orphan_keys(star.fact_sales, dim, key))
-        parts.append(dq_duplicate_keys(dim, key, f"duplicate {key}"))
+        if name != "dim_date":
+            parts.append(orphan_keys(star.fact_sales, dim, key))
+        if name != "dim_customer":
+            parts.append(dq_duplicate_keys(dim, key, f"duplicate {key}"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.columns import risk_band
 from tillstar.operators.features import FEATURES
-from tillstar.operators.keys import with_dense_key
+from tillstar.operators.keys import side_by_side, with_dense_key
 from tillstar.operators.metrics import average_precision, lift, roc_auc, score_curve
 from tillstar.session import scratch_root
 
@@ -71,17 +71,16 @@ def with_probability(model: PipelineModel, df: DataFrame, columns: Sequence[str]
 
 
 def evaluate(scored: DataFrame, name: str, label: str = LABEL, score: str = "p") -> DataFrame:
-    """One row of test metrics. Only one-row frames are joined here."""
+    """One row of test metrics."""
     curve = score_curve(scored, score, label)
-    tag = F.lit(name).alias("model")
     parts = (
-        roc_auc(curve).select(tag, F.round("roc_auc", 3).alias("roc_auc")),
-        average_precision(curve).select(tag, F.round("average_precision", 3).alias("pr_auc")),
+        roc_auc(curve).select(F.round("roc_auc", 3).alias("roc_auc")),
+        average_precision(curve).select(F.round("average_precision", 3).alias("pr_auc")),
         lift(curve).select(
-            tag, F.round(F.col("top_rate") * 100, 1).alias("top20_churn_rate_pct"), F.round("lift", 2).alias("top20_lift")
+            F.round(F.col("top_rate") * 100, 1).alias("top20_churn_rate_pct"), F.round("lift", 2).alias("top20_lift")
         ),
     )
-    return parts[0].join(parts[1], "model").join(parts[2], "model")
+    return side_by_side(*parts).select(F.lit(name).alias("model"), "*")
 
 
 def score_frame(labelled: DataFrame, segments: DataFrame, probability: Column) -> DataFrame:

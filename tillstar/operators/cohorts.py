@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.columns import months_between_starts, pct_one_decimal, quarter_label
@@ -40,18 +40,22 @@ def cohort_retention(
     young to have all ``max_months`` are left out; the denominator is the
     whole cohort.
     """
-    months = order_months(orders, customer)
-    first = months.groupBy(customer).agg(F.min("month").alias("cohort_month"))
-    first = first.withColumn("cohort", quarter_label("cohort_month"))
-    first = first.filter(F.col("cohort") <= _last_full_cohort(horizon_end, max_months))
-    aged = months.join(first, customer).withColumn("age", months_between_starts("month", "cohort_month"))
-    active = (
-        aged.filter(F.col("age") <= max_months)
-        .groupBy("cohort", F.col("age").cast("int").alias("months_since_first"))
-        .agg(F.count("*").alias("active"))
+    # A customer's window group has one row per month of the calendar at most.
+    whole = Window.partitionBy(customer)
+    aged = (
+        order_months(orders, customer)
+        .withColumn("cohort_month", F.min("month").over(whole))
+        .select(
+            quarter_label("cohort_month").alias("cohort"),
+            months_between_starts("month", "cohort_month").cast("int").alias("months_since_first"),
+        )
+        .filter(F.col("months_since_first") <= max_months)
+        .filter(F.col("cohort") <= _last_full_cohort(horizon_end, max_months))
     )
-    size = first.groupBy("cohort").agg(F.count("*").alias("size"))
-    return active.join(size, "cohort").select(
+    active = aged.groupBy("cohort", "months_since_first").agg(F.count("*").alias("active"))
+    # Every customer of a cohort is active in month 0, so that count is the cohort's size.
+    size = F.max(F.when(F.col("months_since_first") == 0, F.col("active"))).over(Window.partitionBy("cohort"))
+    return active.withColumn("size", size).select(
         "cohort", "months_since_first", pct_one_decimal("active", "size").alias("retention_pct")
     )
 

@@ -9,6 +9,7 @@ per-partition offsets. The offsets table has one row per partition, at most
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,3 +81,9 @@ def with_dense_rank(df: DataFrame, value: str, name: str, small: bool) -> DataFr
         return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.desc(value))).cast("long"))
     ranked = with_dense_key(df.select(value).distinct(), [F.desc(value)], name)
     return df.join(ranked, value)
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row, without a cross join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.first(c, ignorenulls=True).alias(c) for c in stacked.columns])

@@ -164,13 +164,18 @@ def conditional_agg_yoy(star: Star, year: int) -> DataFrame:
     return sums.select("revenue", "revenue_py", (ratio("revenue", "revenue_py") - 1).alias("yoy_pct"))
 
 
-def new_customers(frame: DataFrame, period: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Customers whose first-ever purchase (returns included) falls in the period.
+def first_purchases(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per (by, customer): the date key of the first-ever purchase, returns included.
 
-    ``period`` is an expression over ``date_key``; a customer's first date is
-    taken within ``by`` and the frame's filters but over all dates.
+    The first date is taken within ``by`` and the frame's filters but over all
+    dates. New customers of any set of dates are the rows that fall into it.
     """
-    first = frame.groupBy(*by, "customer_key").agg(F.min("date_key").alias("date_key"))
+    return frame.groupBy(*by, "customer_key").agg(F.min("date_key").alias("date_key"))
+
+
+def new_customers(frame: DataFrame, period: Column, by: Sequence[str] = ()) -> DataFrame:
+    """Customers whose first-ever purchase falls in the period, an expression over ``date_key``."""
+    first = first_purchases(frame, by)
     return first.groupBy(*by, period.alias("period")).agg(F.count("*").alias("new_customers"))
 
 

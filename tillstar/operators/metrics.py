@@ -14,17 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.operators.keys import with_running_sums
+from tillstar.session import materialize
 
 _BIG = "decimal(38,0)"
 
 
 def score_curve(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, score, n, pos, n_to, pos_to): counts per distinct score and running sums
-    over everything at or above it, in order of ``by`` and falling score."""
+    over everything at or above it, in order of ``by`` and falling score. Written once,
+    as every metric reads it."""
     counts = df.groupBy(*by, F.col(score).alias("score")).agg(
         F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )
-    return with_running_sums(counts, [*by, F.desc("score")], {"n_to": "n", "pos_to": "pos"}, "curve")
+    sums = with_running_sums(counts, [*by, F.desc("score")], {"n_to": "n", "pos_to": "pos"}, "score-order")
+    return materialize(sums, "curve")
 
 
 def roc_auc(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:

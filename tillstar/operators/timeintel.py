@@ -24,7 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.columns import blank_if_zero, blank_sub, ratio
-from tillstar.operators.measures import ADDITIVE, DISTINCT, MEASURES, bases_of
+from tillstar.operators.measures import ADDITIVE, DISTINCT, MEASURES, Measure, bases_of, first_purchases
+
+# New customers add up over the first-purchase rows, which count like lines.
+NEW_CUSTOMERS = Measure(("lines",), lambda b: b["lines"])
 
 SHIFTS = {"Current": 0, "PY": 12, "PM": 1}  # months back
 TO_DATE = ("MTD", "QTD", "YTD", "FYTD")
@@ -187,6 +190,8 @@ def time_calc(
 ) -> DataFrame:
     """``measure`` under each calculation item, per period and ``by``.
 
+    ``measure`` is a registered measure or ``new_customers``.
+
     ``frame`` is a fact frame with ``date_key`` and the ``by`` columns; filters
     on other columns are applied to it beforehand, period filters (slicers) to
     the result, as shifts look outside the slicer. ``bounds`` are the first and
@@ -198,10 +203,15 @@ def time_calc(
     known = {*SHIFTS, *CUMULATIVE, *DERIVED}
     if not calcs or set(calcs) - known:
         raise ValueError(f"items must be some of {sorted(known)}")
+    if measure == "new_customers":
+        frame = first_purchases(frame, by).withColumn("is_returned", F.lit(False))
+        spec, additive, distinct = NEW_CUSTOMERS, list(NEW_CUSTOMERS.bases), []
+    else:
+        spec = MEASURES[measure]
+        additive, distinct = bases_of([measure])
     needed = {x for c in calcs for x in DERIVED.get(c, (c,))}
     shifts = [c for c in SHIFTS if c in needed]
     sweeps = [c for c in CUMULATIVE if c in needed]
-    additive, distinct = bases_of([measure])
     pieces: list[DataFrame] = []
 
     if additive:
@@ -247,7 +257,7 @@ def time_calc(
             bases[b] = F.when(rows > 0, F.col(f"{calc}_{b}"))
         for b in distinct:
             bases[b] = blank_if_zero(F.col(f"{calc}_{b}"))
-        return MEASURES[measure].combine(bases)
+        return spec.combine(bases)
 
     parts = [*additive, *distinct, *(["kept", "all"] if additive else [])]
     wide = long.groupBy(*by, "p").agg(

@@ -26,7 +26,7 @@ from tillstar.plans.warehouse import (
     formula_probability,
     open_warehouse,
 )
-from tillstar.session import scratch_path, tune
+from tillstar.session import materialize, scratch_path, tune
 from tillstar.sources.bound import bind_order_lines
 from tillstar.sources.files import read_cohorts, read_gold, read_order_lines, read_scores, write_gold
 
@@ -120,7 +120,7 @@ def _(w):
     train = w.split.filter(~F.col("is_test"))
     test = w.split.filter("is_test")
     model = churn.fit_logistic(train)
-    found = churn.evaluate(churn.with_probability(model, test), "logistic_regression")
+    found = materialize(churn.evaluate(churn.with_probability(model, test), "logistic_regression"), "metrics")
     return customers.analytics_summary(w.base, w.split, found, churn.linear_attribution(model, test))
 
 
@@ -383,6 +383,7 @@ CALC_GROUP_QUERIES: dict[str, tuple] = {
     "calc_group_orders": ("orders", "country", "quarter"),
     "calc_group_aov": ("avg_order_value", "channel", "month"),
     "calc_group_discount": ("discount_pct", "state", "fiscal_year"),
+    "calc_group_new_customers": ("new_customers", "category", "month"),
 }
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tillstar.functions.columns import pct_one_decimal
 from tillstar.operators import churn, cohorts, features
 from tillstar.operators.fact import order_dedup, order_lines
-from tillstar.session import materialize
+from tillstar.operators.keys import side_by_side
+from tillstar.session import materialize, together
 from tillstar.sources.files import write_gold, write_json
 from tillstar.star import Star
 
@@ -41,9 +42,12 @@ class Results:
 def prepare(star: Star, snapshot: str = SNAPSHOT, horizon_end: str = HORIZON_END, corporate: str = "Corporate") -> Base:
     """Order lines, retention, and features + label + RFM of the active customers."""
     lines = materialize(order_lines(star), "order-lines")
-    retention = materialize(cohorts.cohort_retention(order_dedup(lines), horizon_end), "cohorts")
     active = features.active_customers(features.customer_features(lines, snapshot, corporate))
-    labelled = materialize(features.churn_label(lines, active, snapshot, horizon_end), "features")
+    retention, labelled = together(
+        star.spark,
+        lambda: materialize(cohorts.cohort_retention(order_dedup(lines), horizon_end), "cohorts"),
+        lambda: materialize(features.churn_label(lines, active, snapshot, horizon_end), "features"),
+    )
     segments = materialize(features.rfm_scores(labelled), "rfm")
     return Base(lines, retention, labelled, segments)
 
@@ -61,23 +65,20 @@ def analytics_summary(base: Base, split: DataFrame, metrics: DataFrame, drivers:
 
     def listed(df: DataFrame, name: str, order: list) -> DataFrame:
         rows = df.select(F.struct(*[F.col(c) if isinstance(c, str) else c for c in order]).alias("r"))
-        return rows.agg(F.array_sort(F.collect_list("r")).alias(name)).select(F.lit(1).alias("one"), name)
+        return rows.agg(F.array_sort(F.collect_list("r")).alias(name))
 
     sizes = split.agg(
         F.count("*").alias("n_customers"),
         pct_one_decimal(F.sum(F.col("churned").cast("long")), F.count("*")).alias("churn_rate_pct"),
         F.count_if("is_test").alias("test_size"),
-    ).withColumn("one", F.lit(1))
+    )
     parts = (
         listed(metrics, "models", metrics.columns),
         listed(churn.top_drivers(drivers, k), "top_drivers", [(-F.col("importance")).alias("rank"), "feature", "importance"]),
         listed(features.segment_summary(with_churn(base)), "rfm_segments", ["segment", "customers", "churn_rate_pct"]),
         listed(cohorts.month_retention(base.cohorts), "month3_retention_pct", ["cohort", "retention_pct"]),
     )
-    out = sizes
-    for p in parts:
-        out = out.join(p, "one")  # one-row frames
-    return out.drop("one")
+    return side_by_side(sizes, *parts)
 
 
 def run(
@@ -93,8 +94,7 @@ def run(
     base = prepare(star, snapshot, horizon_end, corporate)
     split = materialize(churn.train_test_split(base.labelled), "split")
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")
-    logistic = churn.fit_logistic(train)
-    boosted = churn.fit_gbt(train, n_trees)
+    logistic, boosted = together(star.spark, lambda: churn.fit_logistic(train), lambda: churn.fit_gbt(train, n_trees))
     metrics = materialize(
         churn.evaluate(churn.with_probability(logistic, test), "logistic_regression").unionByName(
             churn.evaluate(churn.with_probability(boosted, test), "gradient_boosting")

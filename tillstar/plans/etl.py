@@ -10,7 +10,7 @@ from tillstar.operators.checks import dq_gate, extended_checks, run_checks
 from tillstar.operators.dims import DOMESTIC, dim_customer, dim_date, dim_product, dim_store
 from tillstar.operators.fact import build_fact
 from tillstar.operators.staging import stage
-from tillstar.session import materialize, scratch_path, tune
+from tillstar.session import materialize, scratch_path, together, tune
 from tillstar.sources.files import read_gold, write_gold
 from tillstar.star import Star
 
@@ -25,15 +25,6 @@ class Built:
     folder: str
 
 
-def build_dims(stg: DataFrame, domestic: str = DOMESTIC, fy_start_month: int = 4) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dim_date(stg, fy_start_month),
-        "dim_customer": dim_customer(stg),
-        "dim_store": dim_store(stg, domestic),
-        "dim_product": dim_product(stg),
-    }
-
-
 def run(
     raw: DataFrame,
     folder: str | None = None,
@@ -50,7 +41,13 @@ def run(
     spark: SparkSession = tune(raw.sparkSession)
     stg = materialize(stage(raw), "staging")
     work = scratch_path(spark, "star")
-    write_gold(build_dims(stg, domestic, fy_start_month), work)
+    builders = {
+        "dim_date": lambda: dim_date(stg, fy_start_month),
+        "dim_customer": lambda: dim_customer(stg),
+        "dim_store": lambda: dim_store(stg, domestic),
+        "dim_product": lambda: dim_product(stg),
+    }
+    together(spark, *[lambda n=n, b=b: write_gold({n: b()}, work) for n, b in builders.items()])
     dims = {n: read_gold(spark, work, n, "parquet") for n in Star.KEYS}
     fact = build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"])
     write_gold({"fact_sales": fact}, work)

@@ -337,6 +337,9 @@ PERIOD = {
 }
 
 
+FIRST_ROW = " QUALIFY ROW_NUMBER() OVER (PARTITION BY {by}, customer_key ORDER BY date_key) = 1"
+
+
 def _range(item: str, grain: str) -> tuple[str, str]:
     """First and last position of an item, from the context's first (lo) and last (hi) position."""
     if item in SHIFT:
@@ -363,12 +366,12 @@ def _time_base(measure: str, items: tuple, by: str, grain: str) -> tuple[str, st
         "cal AS (SELECT *, year * 12 + month - 1 AS mi, date - DATE '1970-01-01' AS di FROM dim_date)",
         f"per AS (SELECT {label} AS period, MIN({at}) AS lo, MAX({at}) AS hi FROM cal GROUP BY {group})",
         f"ctx AS (SELECT * FROM per CROSS JOIN (SELECT DISTINCT {by} FROM w))",
-        f"rows_ AS (SELECT *, {at} AS at_ FROM w)",
+        f"rows_ AS (SELECT *, {at} AS at_ FROM w{FIRST_ROW.format(by=by) if measure == 'new_customers' else ''})",
     ]
     joins = ""
     for i, item in enumerate(plain):
         lo, hi = _range(item, grain)
-        value = MEASURE_SQL[measure]
+        value = MEASURE_SQL.get(measure, "COUNT(*)")
         if item == "3M Avg":
             value = f"CAST({value} AS DOUBLE) / 3"
         ctes.append(

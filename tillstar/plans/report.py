@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.columns import risk_order
 from tillstar.operators.cohorts import MAX_MONTHS, cohort_pivot
 from tillstar.operators.fact import in_period
+from tillstar.operators.keys import side_by_side
 from tillstar.operators.measures import measure, retention_measure, score_measures
 from tillstar.operators.ranking import revenue_by, with_share_of_parent
 from tillstar.operators.rollups import hierarchy
@@ -29,8 +30,8 @@ def overview_kpis(star: Star, fy: int, fy_start_month: int = 4) -> DataFrame:
     cards = measure(star, ["total_revenue", "orders", "avg_order_value"], period=partial(in_period, fy=fy, fy_start_month=fy_start_month))
     two = in_period(star.fact_sales, between=(f"{fy - 2}-01-01", f"{fy}-12-31"))
     growth = time_calc(two, _bounds(star), "total_revenue", ["YoY %"], grain="fiscal_year", fy_start_month=fy_start_month)
-    growth = growth.filter(F.col("period") == str(fy)).select(F.lit(fy).alias("fiscal_year"), F.col("YoY %").alias("yoy_pct"))
-    return cards.withColumn("fiscal_year", F.lit(fy)).join(growth, "fiscal_year", "left")  # one row each
+    growth = growth.filter(F.col("period") == str(fy)).select(F.col("YoY %").alias("yoy_pct"))
+    return side_by_side(cards, growth).select(F.lit(fy).alias("fiscal_year"), "*")
 
 
 def fy_choices(star: Star) -> DataFrame:

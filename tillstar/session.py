@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
@@ -18,6 +21,8 @@ def tune(spark: SparkSession) -> SparkSession:
         # Split a hot join key even when a later aggregate then needs one more shuffle.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # String-heavy shuffles compress well: a megabyte of them is much work for one task.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     }
     for key, value in settings.items():
         spark.conf.set(key, value)
@@ -60,3 +65,10 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Submit independent jobs at the same time, so that one job's last tasks do not
+    leave the cluster idle. Results in the given order; the first error is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
