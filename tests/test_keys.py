@@ -2,12 +2,21 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillstar.operators.keys import broadcast_if_small, fits, with_dense_key, with_dense_rank, with_running_sums
 
 
-def test_dense_key_equals_global_row_number(spark):
+@pytest.fixture(params=["true", "false"], autouse=True)
+def merging(spark, request):
+    """With and without AQE merging the ranges of these small inputs."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_dense_key_equals_global_row_number(spark, merging):
     rng = random.Random(1)
     values = [(rng.choice([0, 0, 0, 5, 9]), f"id{i:05d}") for i in range(3000)]
     rng.shuffle(values)
@@ -16,6 +25,7 @@ def test_dense_key_equals_global_row_number(spark):
     want = {x: i + 1 for i, x in enumerate(sorted(values, key=lambda t: (-t[0], t[1])))}
     got = {(r.v, r.id): r.k for r in keyed.collect()}
     assert got == want
+    assert (len(keyed.inputFiles()) > 1) == (merging == "false")
     assert keyed.schema["k"].dataType.simpleString() == "bigint"
 
 

@@ -26,8 +26,8 @@ BROADCAST_ROWS = 500_000
 
 
 def _placed(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # No number given: AQE merges neighbouring ranges of a small input, which keeps their order.
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return materialize(ordered.withColumn("_slot", F.monotonically_increasing_id()), label)
 
 

@@ -25,22 +25,24 @@ def hierarchy(
     """Measures at every level of a drill path, with the grand total.
 
     ``level`` is 0 for the total and counts the levels in scope. A rollup
-    multiplies its input by the number of levels, so additive measures are
-    summed to the leaf members first and only those few rows are expanded;
-    distinct counts are reduced to one row per (leaf, identifier).
+    multiplies its input by the number of levels, so the fact is first reduced
+    by the surrogate key of the levels' dimension (additive measures to one row
+    per member, distinct counts to one per member and identifier); only those
+    rows get the members' texts and are expanded.
     """
     levels = list(levels)
-    if period is not None:
-        star = Star(**{**star.dims(), "fact_sales": period(star.fact_sales)})
-    # A level the fact also carries as partition column comes from the calendar.
-    fact = star.fact_sales.drop(*[c for c in levels if c in star.dim_date.columns])
-    frame = Star(**{**star.dims(), "fact_sales": fact}).sales(*levels)
+    owners = [n for n, dim in star.dims().items() if set(levels) <= set(dim.columns)]
+    if not owners:
+        raise ValueError("the levels of a hierarchy come from one dimension")
+    dim, key = getattr(star, owners[0]), star.KEYS[owners[0]]
+    fact = star.fact_sales if period is None else period(star.fact_sales)
     additive, distinct = bases_of(names)
     ids = [f"_{b}" for b in distinct]
     leaf = (
-        frame.select("*", *[DISTINCT[b]().alias(f"_{b}") for b in distinct])
-        .groupBy(*levels, *ids)
+        fact.select("*", *[DISTINCT[b]().alias(f"_{b}") for b in distinct])
+        .groupBy(key, *ids)
         .agg(*[F.sum(ADDITIVE[b]()).alias(f"_{b}") for b in additive], F.lit(1).alias("_seen"))
+        .join(dim.select(key, *levels), key)
     )
     sums = [F.sum(f"_{b}").alias(f"_{b}") for b in additive]
     counts = [blank_if_zero(F.count_distinct(f"_{b}")).alias(f"_{b}") for b in distinct]
