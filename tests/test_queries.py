@@ -33,10 +33,10 @@ def same(a, b):
 
 def test_registered_names():
     assert set(ORACLES) <= set(QUERIES)
-    # No SQL for fitted models, the gate and the schema report.
+    # No SQL for fitted models and the schema report.
     assert set(QUERIES) - set(ORACLES) == {
         "analytics_summary", "attribution", "attribution_permutation", "churn_gbt", "churn_logistic", "customer_scores",
-        "dq_gate", "schema_contract", "top_drivers",
+        "schema_contract", "top_drivers",
     }
 
 

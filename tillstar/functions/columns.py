@@ -33,9 +33,10 @@ def blank_if_zero(count: Column | str) -> Column:
 
 def pct_one_decimal(part: Column | str, whole: Column | str) -> Column:
     """100 * part / whole, half-up to one decimal, in integer arithmetic."""
-    p, w = as_column(part).cast("decimal(20,0)"), as_column(whole).cast("decimal(20,0)")
-    tenths = F.floor((p * 2000 + w) / (w * 2))
-    return (tenths.cast("double") / F.lit(10.0)).cast("double")
+    p, w = as_column(part).cast("long"), as_column(whole).cast("long")
+    doubled = p * 2000 + w
+    tenths = (doubled - doubled % (w * 2)).cast("double") / (w * 2).cast("double")
+    return tenths / F.lit(10.0)
 
 
 def date_key(date: Column | str) -> Column:

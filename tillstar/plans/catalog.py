@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,18 +83,34 @@ def _(w):
 
 @query("write_gold")
 def _(w):
-    manifest = write_gold(w.star.tables(), scratch_path(w.spark, "gold"), "parquet")
-    return manifest.select("table")
+    folder = scratch_path(w.spark, "gold")
+    write_gold(w.star.tables(), folder, "parquet")
+    counts = [
+        read_gold(w.spark, folder, name, "parquet").agg(F.lit(name).alias("table"), F.count("*").alias("rows"))
+        for name in w.star.tables()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _read_gold(name: str, w: Warehouse) -> DataFrame:
     return read_gold(w.spark, w.gold_csv, name)
 
 
-for _name in ("dim_date", "dim_customer", "dim_store", "dim_product", "fact_sales", "security_user_country"):
+for _name in ("dim_date", "dim_customer", "dim_store", "dim_product", "fact_sales"):
     query(f"read_gold_{_name}")(partial(_read_gold, _name))
 
 
+def _visible_stores(mapping: DataFrame, stores: DataFrame) -> DataFrame:
+    """Stores each user of the mapping sees, per country."""
+    per_country = stores.groupBy("country").agg(F.count("*").alias("stores"))
+    return mapping.join(per_country, "country").select("user_email", "country", "stores")
+
+
+@query("read_gold_security_user_country")
+def _(w):
+    return _visible_stores(_read_gold("security_user_country", w), _read_gold("dim_store", w))
+
+
 @query("read_scores")
 def _(w):
     return read_scores(w.spark, w.gold_csv)
@@ -107,7 +123,7 @@ def _(w):
 
 @query("security_map")
 def _(w):
-    return w.mapping
+    return _visible_stores(w.mapping, w.star.dim_store)
 
 
 @query("order_line_scan")
@@ -514,7 +530,7 @@ def _(w):
 
 @query("dq_gate")
 def _(w):
-    return checks.dq_gate(w.built.checks)
+    return checks.dq_gate(materialize(checks.run_checks(w.star, w.stg), "checks"))
 
 
 @query("schema_contract")

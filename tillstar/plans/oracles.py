@@ -166,11 +166,14 @@ _sql("read_order_lines", "SELECT " + ", ".join(
 _sql("stage_order_lines", f"SELECT {TYPED} FROM stg")
 _sql("stage_order_lines_csv", f"SELECT {TYPED} FROM stg")
 for _t, _body in TABLES.items():
+    if _t == "security_user_country":
+        _body = f"""SELECT user_email, country, COUNT(*) AS stores FROM ({_body}) JOIN dim_store USING (country)
+          GROUP BY user_email, country"""
     _sql(f"read_gold_{_t}", _body)
     _sql("security_map" if _t == "security_user_country" else _t, _body)
-ORACLES["write_gold"] = (
-    'SELECT * FROM (VALUES (\'dim_date\'), (\'dim_customer\'), (\'dim_store\'), (\'dim_product\'), (\'fact_sales\')) AS t("table")'
-)
+_sql("write_gold", " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {'w' if t == 'fact_sales' else t}"
+    for t in TABLES if t != "security_user_country"))
 SCORE_COLUMNS = (
     "customer_id, R, F, M, segment, churned_h2_2025, recency_days, frequency, monetary, churn_probability, churn_risk"
 )
@@ -471,7 +474,8 @@ DQ = {
 }
 for _n, _body in DQ.items():
     _sql(_n, _body)
-_sql("quality_checks", " UNION ALL ".join(DQ.values()))
+for _n in ("quality_checks", "dq_gate"):
+    _sql(_n, " UNION ALL ".join(DQ.values()))
 _sql("order_dedup", f"SELECT order_id, customer_id, {_s('order_date')}, channel FROM ord", True)
 _sql("relationship_contract", " UNION ALL ".join(
     f"""SELECT '{many}.{k} -> {one}.{k}' AS relationship, 'orphans' AS kind, COUNT(*) AS failures
