@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from tillstar.operators.dims import dim_customer, dim_date, dim_product, dim_store  # noqa: E402
 from tillstar.operators.fact import build_fact  # noqa: E402
-from tillstar.session import tune  # noqa: E402
+from tillstar.session import materialize, together, tune  # noqa: E402
 from tillstar.sources.schemas import ORDER_LINES  # noqa: E402
 from tillstar.star import Star  # noqa: E402
 
@@ -27,6 +27,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.wholeStage", "false")  # compiling costs more than these inputs
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
@@ -58,9 +59,8 @@ def make_lines(spark, rows):
 
 
 def make_star(stg, domestic="India"):
-    dims = {
-        "dim_date": dim_date(stg), "dim_customer": dim_customer(stg), "dim_store": dim_store(stg, domestic),
-        "dim_product": dim_product(stg),
-    }
+    builders = (dim_date, dim_customer, lambda s: dim_store(s, domestic), dim_product)
+    built = together(stg.sparkSession, *[lambda b=b: materialize(b(stg), "dim") for b in builders])
+    dims = dict(zip(Star.KEYS, built))
     fact = build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"])
-    return Star(**dims, fact_sales=fact)
+    return Star(**dims, fact_sales=materialize(fact, "fact"))

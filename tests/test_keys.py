@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tillstar import session
 from tillstar.operators.keys import broadcast_if_small, fits, with_dense_key, with_dense_rank, with_running_sums
 
 
@@ -54,3 +55,18 @@ def test_broadcast_only_when_counted_small(spark):
     assert fits(df, 10) and not fits(df, 9)
     assert "ResolvedHint" in broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
     assert broadcast_if_small(df, 9) is df
+
+
+def test_drop_scratch_removes_this_applications_tables_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(session._ROOTS, spark.sparkContext.applicationId, str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert session.materialize(spark.range(3), "t").count() == 3
+    session.drop_scratch(spark)
+    assert [p.name for p in tmp_path.iterdir() if p.name != "tillstar"] == ["other"]
+    assert list((tmp_path / "tillstar").iterdir()) == []
+
+
+def test_jobs_run_together_in_order_and_raise(spark):
+    assert session.together(spark, lambda: spark.range(5).count(), lambda: "b") == [5, "b"]
+    with pytest.raises(ZeroDivisionError):
+        session.together(spark, lambda: 1 / 0, lambda: 1)

@@ -113,15 +113,18 @@ def test_checks_pass_and_fail(spark):
 def test_empty_input_does_not_pass_the_gate(spark, tmp_path):
     with pytest.raises(checks.QualityCheckError, match="empty fact"):
         etl.run(make_lines(spark, []), str(tmp_path / "gold"))
-    assert not (tmp_path / "gold").exists()
+    assert list(tmp_path.iterdir()) == []
 
 
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_run_exports_gold_with_declared_schema(spark, tmp_path, fmt):
     stg = make_lines(spark, [{}, {"order_id": "SO-2", "order_date": "2025-07-01", "brand": 'B "x", y'}])
     mapping = security_map(spark, [("a", "India"), ("a", "UAE")])
-    built = etl.run(stg, str(tmp_path), security=mapping, fmt=fmt)
-    back = {n: read_gold(spark, str(tmp_path), n, fmt) for n in [*built.star.tables(), "security_user_country"]}
+    folder = str(tmp_path / "gold")
+    etl.run(make_lines(spark, [{"order_id": "old"}]), folder, security=mapping, fmt=fmt)
+    built = etl.run(stg, folder, security=mapping, fmt=fmt)  # replaces the first export
+    assert [p.name for p in tmp_path.iterdir()] == ["gold"]
+    back = {n: read_gold(spark, folder, n, fmt) for n in [*built.star.tables(), "security_user_country"]}
     assert checks.schema_contract(spark, {n: d.drop("year") if n == "fact_sales" else d for n, d in back.items()}).count() == 0
     for name, df in back.items():
         want = mapping if name == "security_user_country" else built.star.tables()[name]

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.operators.checks import dq_gate, extended_checks, run_checks
+from tillstar.operators.checks import QualityCheckError, dq_gate, extended_checks, run_checks
 from tillstar.operators.dims import DOMESTIC, dim_customer, dim_date, dim_product, dim_store
 from tillstar.operators.fact import build_fact
 from tillstar.operators.staging import stage
-from tillstar.session import materialize, scratch_path, together, tune
-from tillstar.sources.files import read_gold, write_gold
+from tillstar.session import hadoop_path, materialize, scratch_path, together, tune
+from tillstar.sources.files import move_table, read_gold, write_gold
 from tillstar.star import Star
 
 
@@ -35,12 +36,40 @@ def run(
 ) -> Built:
     """read -> stage -> dimensions -> fact -> checks -> gate -> export.
 
-    The star is written as parquet to the shared scratch folder first, checked
-    there, and exported to ``folder`` only after the gate.
+    The star is written once, as parquet, under a name nobody reads; a parquet
+    export moves those files to ``folder`` after the gate, so the fact is not
+    written twice. A CSV export is a second write by nature. A failed gate
+    leaves ``folder`` as it was.
     """
     spark: SparkSession = tune(raw.sparkSession)
     stg = materialize(stage(raw), "staging")
-    work = scratch_path(spark, "star")
+    publish = folder is not None and fmt == "parquet"
+    work = f"{folder.rstrip('/')}.unchecked-{uuid.uuid4().hex[:12]}" if publish else scratch_path(spark, "star")
+    try:
+        built = _build(spark, stg, work, domestic, fy_start_month)
+    except QualityCheckError:
+        fs, path = hadoop_path(spark, work)
+        fs.delete(path, True)
+        raise
+    extra = {"security_user_country": security} if security is not None else {}
+    if publish:
+        for name in built.star.tables():
+            move_table(spark, f"{work}/{name}", f"{folder}/{name}")
+        fs, path = hadoop_path(spark, work)
+        fs.delete(path, True)
+        if extra:
+            write_gold(extra, folder, fmt)
+        return Built(stg, _read_star(spark, folder), built.checks, folder)
+    if folder:
+        write_gold(built.star.tables() | extra, folder, fmt)
+    return built
+
+
+def _read_star(spark: SparkSession, folder: str) -> Star:
+    return Star(**{n: read_gold(spark, folder, n, "parquet") for n in (*Star.KEYS, "fact_sales")})
+
+
+def _build(spark: SparkSession, stg: DataFrame, work: str, domestic: str, fy_start_month: int) -> Built:
     builders = {
         "dim_date": lambda: dim_date(stg, fy_start_month),
         "dim_customer": lambda: dim_customer(stg),
@@ -49,12 +78,8 @@ def run(
     }
     together(spark, *[lambda n=n, b=b: write_gold({n: b()}, work) for n, b in builders.items()])
     dims = {n: read_gold(spark, work, n, "parquet") for n in Star.KEYS}
-    fact = build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"])
-    write_gold({"fact_sales": fact}, work)
-    star = Star(**dims, fact_sales=read_gold(spark, work, "fact_sales", "parquet"))
+    write_gold({"fact_sales": build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"])}, work)
+    star = _read_star(spark, work)
     checks = materialize(run_checks(star, stg).unionByName(extended_checks(star)), "checks")
     dq_gate(checks)
-    if folder:
-        tables = star.tables() | ({"security_user_country": security} if security is not None else {})
-        write_gold(tables, folder, fmt)
     return Built(stg, star, checks, work)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.columns import ratio
 from tillstar.operators import churn
 from tillstar.plans import customers, etl
-from tillstar.session import materialize, scratch_path
+from tillstar.session import hadoop_path, materialize, scratch_path
 from tillstar.sources.bound import TABLES, bind_order_lines
 from tillstar.sources.files import security_map, write_gold, write_order_lines
 from tillstar.star import Star
@@ -118,12 +118,9 @@ _OPEN: dict[tuple, Warehouse] = {}
 
 def _version(spark: SparkSession, sf_dir: str) -> tuple:
     """Size and time of the input tables, so that changed files are built anew."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     marks = []
     for name in TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
-        fs = path.getFileSystem(conf)
+        fs, path = hadoop_path(spark, f"{sf_dir}/{name}.parquet")
         marks.append((fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
     return tuple(marks)
 

@@ -54,6 +54,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/tillstar/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of any storage Spark can write to."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once their readers are done."""
+    fs, path = hadoop_path(spark, f"{scratch_root(spark)}/tillstar/{spark.sparkContext.applicationId}")
+    fs.delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

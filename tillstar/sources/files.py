@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillstar.functions.columns import risk_order
+from tillstar.session import hadoop_path
 from tillstar.sources.schemas import FACT_ON_DISK, GOLD, RAW_ORDER_LINES
 
 
@@ -54,6 +55,16 @@ def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
     return spark.createDataFrame(rows, "`table` string, path string")
 
 
+def move_table(spark: SparkSession, source: str, target: str) -> None:
+    """Publish finished files under another name, replacing what is there."""
+    fs, src = hadoop_path(spark, source)
+    _, dst = hadoop_path(spark, target)
+    fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def read_gold(spark: SparkSession, folder: str, name: str, fmt: str = "csv") -> DataFrame:
     """A gold table with its declared column types."""
     if fmt == "parquet":
