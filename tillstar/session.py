@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -32,23 +33,28 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only on a local master, where every task
-    runs on this machine. The Spark context gets the same folder, for the
-    estimators that checkpoint by themselves.
+    Where that is unset (tests), a folder under the SQL warehouse is used, which
+    every executor of a session shares as well; never a machine-local temporary
+    folder. The Spark context gets the same folder, for the estimators that
+    checkpoint by themselves. What a session wrote is deleted when it ends.
     """
     sc = spark.sparkContext
     if sc.applicationId not in _ROOTS:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-        if not root:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            root = tempfile.mkdtemp(prefix="tillstar-")
+        root = root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(root)
         _ROOTS[sc.applicationId] = root.rstrip("/")
+        atexit.register(_drop_at_exit, spark)
     return _ROOTS[sc.applicationId]
 
 
+def _drop_at_exit(spark: SparkSession) -> None:
+    """A session that has already ended can no longer reach its storage."""
+    with contextlib.suppress(Exception):
+        drop_scratch(spark)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     app = spark.sparkContext.applicationId
     return f"{scratch_root(spark)}/tillstar/{app}/{label}-{uuid.uuid4().hex[:12]}"
