@@ -82,10 +82,10 @@ class Texts:
         return len(self.lens)
 
 
-def pieces(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20, name: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut to about ``limit`` bytes of text, one row at least: bounds what numpy holds."""
     for batch in batches:
-        column = batch.column(batch.schema.get_field_index("text"))
+        column = batch.column(batch.schema.get_field_index(name))
         sizes = column.cast(pa.large_binary())
         offsets = np.frombuffer(sizes.buffers()[1], np.int64)[sizes.offset : sizes.offset + len(sizes) + 1]
         at = 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm.common import prepare, read
 from tillstar.llm.line_dedup import dedup_lines
+from tillstar.llm.sentencepiece import decode, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,3 +38,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (owner IS NOT NULL AND owner
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (owner IS NULL OR owner = doc_id), '')) AS kept_sha256
 FROM keyed LEFT JOIN owners USING (key) GROUP BY doc_id
 """
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and what they decode to, as digests."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = decode(encode(docs))
+    return coded.select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
