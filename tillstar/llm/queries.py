@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.llm import langid
 from tillstar.llm.common import prepare, read
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.sentencepiece import decode, encode
@@ -52,3 +53,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
     )
+
+
+@query
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "accepted")
