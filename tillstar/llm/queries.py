@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillstar.llm import langid
 from tillstar.llm.common import prepare, read
 from tillstar.llm.line_dedup import dedup_lines
+from tillstar.llm.repeats import remove_repeats
 from tillstar.llm.sentencepiece import decode, encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,8 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out()))
     found = langid.predict(docs, model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"))
