@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillstar.llm import langid
 from tillstar.llm.common import prepare, read
 from tillstar.llm.line_dedup import dedup_lines
+from tillstar.llm.near_dup import near_duplicates
 from tillstar.llm.repeats import remove_repeats
 from tillstar.llm.sentencepiece import decode, encode
 
@@ -67,3 +68,9 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"), words=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
