@@ -32,7 +32,7 @@ def line_positions(docs: DataFrame, min_chars: int) -> DataFrame:
     """``doc_id, th, pos, h1, h2`` of every line whose key has ``min_chars`` code points: two
     independent 64-bit hashes stand for the key."""
     key = lower_ascii(F.btrim(F.col("line"), F.lit(SPACES)))
-    lines = row_keyed(docs).select("doc_id", "th", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
+    lines = row_keyed(docs).select("doc_id", "th", F.posexplode_outer(_lines(F.col("text"))).alias("pos", "line"))
     keyed = lines.select("doc_id", "th", "pos", key.alias("key")).where(F.char_length("key") >= min_chars)
     return keyed.select("doc_id", "th", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import langid
 from tillstar.llm.common import prepare, read
+from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.near_dup import near_duplicates
 from tillstar.llm.repeats import remove_repeats
@@ -74,3 +75,35 @@ def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"), words=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op8_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_windows", "similarity").distinct()
+
+
+ORACLES["op8_simhash_decontam"] = r"""
+WITH texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+worded AS (
+  SELECT kind, id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM texts),
+shingled AS (
+  SELECT kind, id, list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) AS sh FROM worded WHERE len(w) >= 5),
+docs AS (SELECT id AS doc_id, sh, len(sh) AS n FROM shingled WHERE kind = 0),
+items AS (SELECT id AS item_id, sh, len(sh) AS k FROM shingled WHERE kind = 1),
+seeds AS (SELECT DISTINCT item_id, k, unnest(sh) AS h FROM items),
+places AS (SELECT doc_id, n, unnest(sh) AS h, generate_subscripts(sh, 1) - 1 AS p FROM docs),
+starts AS (SELECT DISTINCT doc_id, item_id, k, greatest(0, least(p, n - k)) AS start FROM places JOIN seeds USING (h)),
+wins AS (SELECT s.doc_id, s.item_id, s.start, unnest(d.sh[s.start + 1 : s.start + s.k]) AS h FROM starts s JOIN docs d USING (doc_id)),
+wcount AS (SELECT doc_id, item_id, start, h, count(*) AS a FROM wins GROUP BY ALL),
+wsize AS (SELECT doc_id, item_id, start, sum(a) AS size FROM wcount GROUP BY ALL),
+icount AS (SELECT item_id, h, count(*) AS b FROM (SELECT item_id, unnest(sh) AS h FROM items) GROUP BY ALL),
+overlap AS (
+  SELECT doc_id, item_id, start, sum(least(a, b)) AS o FROM wcount JOIN icount USING (item_id, h) GROUP BY ALL),
+sims AS (
+  SELECT doc_id, item_id, start, o, size + k - o AS u FROM overlap JOIN wsize USING (doc_id, item_id, start) JOIN items USING (item_id)),
+kept AS (SELECT doc_id, item_id, start, o::DOUBLE / u::DOUBLE AS similarity FROM sims WHERE 100 * o >= 80 * u)
+SELECT doc_id, item_id, arg_min(start, (-similarity, start))::BIGINT AS start, count(*) AS n_windows, max(similarity) AS similarity
+FROM kept GROUP BY doc_id, item_id
+"""
