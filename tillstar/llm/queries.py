@@ -89,7 +89,7 @@ WITH texts AS (
 worded AS (
   SELECT kind, id, string_split(trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')), ' ') AS w FROM texts),
 shingled AS (
-  SELECT kind, id, list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) AS sh FROM worded WHERE len(w) >= 5),
+  SELECT kind, id, list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) AS sh FROM worded WHERE len(w) >= 5),
 docs AS (SELECT id AS doc_id, sh, len(sh) AS n FROM shingled WHERE kind = 0),
 items AS (SELECT id AS item_id, sh, len(sh) AS k FROM shingled WHERE kind = 1),
 seeds AS (SELECT DISTINCT item_id, k, unnest(sh) AS h FROM items),
