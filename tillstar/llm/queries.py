@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import langid
+from tillstar.llm import langid, warc
 from tillstar.llm.common import prepare, read
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.near_dup import near_duplicates
 from tillstar.llm.repeats import remove_repeats
 from tillstar.llm.sentencepiece import decode, encode
+from tillstar.session import hadoop_path, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +108,25 @@ kept AS (SELECT doc_id, item_id, start, o::DOUBLE / u::DOUBLE AS similarity FROM
 SELECT doc_id, item_id, arg_min(start, (-similarity, start))::BIGINT AS start, count(*) AS n_windows, max(similarity) AS similarity
 FROM kept GROUP BY doc_id, item_id
 """
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    streams, members = scratch_path(spark, "streams"), scratch_path(spark, "archives")
+    warc.write_archives(pages, streams)
+    index = warc.normalise(spark, streams, members)
+    fs, path = hadoop_path(spark, streams)
+    fs.delete(path, True)
+    found = warc.read_records(index, payloads=False)
+    return found.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to")
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS digest FROM p),
+top AS (SELECT digest, max(page_id) AS top FROM d WHERE n >= 1000 GROUP BY digest)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to
+FROM d LEFT JOIN top USING (digest)
+"""
