@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import langid, warc
+from tillstar.llm import langid, perplexity, warc
 from tillstar.llm.common import prepare, read
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
@@ -130,3 +130,9 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
   CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN top <> page_id THEN top END AS refers_to
 FROM d LEFT JOIN top USING (digest)
 """
+
+
+@query
+def op6_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = perplexity.judge(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity")
