@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import langid, perplexity, warc
+from tillstar.llm import langid, perplexity, rules, warc
 from tillstar.llm.common import prepare, read
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
@@ -136,3 +136,11 @@ FROM d LEFT JOIN top USING (digest)
 def op6_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = perplexity.judge(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "perplexity")
+
+
+@query
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = rules.statistics(read(spark, sf_dir, "documents"))
+    out = langid.held_out("doc_id", 3, 1)
+    model = rules.fit(stats, read(spark, sf_dir, "labels").where(~out))
+    return rules.score(stats, model).select("doc_id", out.alias("held_out"), "score", "predicted")
