@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import langid, perplexity, rules, warc
+from tillstar.llm import langid, licenses, perplexity, rules, warc
 from tillstar.llm.common import prepare, read
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
@@ -144,3 +144,11 @@ def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = langid.held_out("doc_id", 3, 1)
     model = rules.fit(stats, read(spark, sf_dir, "labels").where(~out))
     return rules.score(stats, model).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents")).select("doc_id", "n_hits", "identifiers", "licenses")
+
+
+ORACLES["op4_license_scan"] = licenses.twin()
