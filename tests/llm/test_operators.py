@@ -1,0 +1,323 @@
+"""Operators against plain versions, with nulls, empty and odd texts, ties, repeated rows and extra columns."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece as spm
+
+import brute
+from tillstar.llm import langid, licenses, perplexity, repeats, rules, warc
+from tillstar.llm import sentencepiece as sp
+from tillstar.llm.decontam import contaminated
+from tillstar.llm.line_dedup import dedup_lines
+from tillstar.llm.near_dup import near_duplicates
+
+SCHEMA = "doc_id bigint, text string, lang string, th string, h1 bigint, key string"
+_WORDS = "the of and ingre ention éoux schein über atre bleson ondre wh haou qu erst mentai ly ñas ciónes".split()
+
+
+def _sentence(rnd, n):
+    return " ".join(rnd.choice(_WORDS) + str(rnd.randrange(40)) for _ in range(n))
+
+
+def sample(seed=3, n=40):
+    """(doc_id, text): null, empty and blank texts, a long one, copies, near copies, shared lines and passages."""
+    rnd = random.Random(seed)
+    passage = _sentence(rnd, 60)
+    rows = [(0, None), (1, ""), (2, " \t\n"), (3, "one"), (4, "\n\n"), (5, "Ab cd"), (6, "ab CD")]
+    for d in range(7, n):
+        lines = [_sentence(rnd, rnd.randrange(3, 40)) for _ in range(rnd.randrange(1, 6))]
+        if d % 3 == 0:
+            lines.insert(rnd.randrange(len(lines) + 1), passage)
+        if d % 4 == 0:
+            lines.append("  A Shared LINE of text\t")
+        rows.append((d, "\n".join(lines)))
+    base = _sentence(rnd, 120).split()
+    for d in range(n, n + 12):  # near copies, some close to the threshold
+        words = list(base)
+        for _ in range(rnd.randrange(0, 7)):
+            words[rnd.randrange(len(words))] = f"x{rnd.randrange(1000)}"
+        rows.append((d, " ".join(words)))
+    rows += [(n + 20, rows[10][1]), (n + 21, rows[10][1]), (n + 22, "a" * 1200), (n + 23, _sentence(rnd, 6000))]
+    return rows
+
+
+def odd(rows):
+    """Rows without an id and repeated rows as well."""
+    return [*rows, (None, rows[12][1]), (None, "alone without an id, a text of some length"), rows[15], rows[15], (20, rows[9][1])]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(d, t, "en" if i % 2 else None, "x", i, "k") for i, (d, t) in enumerate(rows)], SCHEMA).repartition(3)
+
+
+def plain(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("hot", [8192, 1])
+def test_repeats(spark, hot):
+    rows = odd(sample())
+    got = repeats.remove_repeats(frame(spark, rows), span=60, gram=24, hot=hot).collect()
+    assert plain(got) == plain(brute.repeats(rows, 60))
+
+
+def test_repeat_nodes_hold_equal_strings(spark):
+    rows = sample()
+    texts = {d: (t or "").encode() for d, t in rows}
+    found = repeats.occurrences(frame(spark, rows), span=60, gram=24).where("maximal").collect()
+    strings = {}
+    for r in found:
+        piece = texts[r["doc_id"]][r["start"] : r["start"] + r["len"]]
+        assert len(piece) == r["len"] and strings.setdefault(r["node"], piece) == piece
+    assert len(strings) > 3
+
+
+def test_suffix_array_and_tree():
+    text = b"mississippi\xffmiss\xff"
+    starts = np.array([i for i in range(len(text)) if text[i] != 255])
+    left = np.array([text.index(b"\xff", i) - i for i in starts])
+    sa, lcp = repeats.suffix_array(np.frombuffer(text, np.uint8), starts, left, 16)
+    cut = lambda i: text[i : text.index(b"\xff", i) + 1]
+    assert [cut(i) for i in sa] == sorted(cut(i) for i in starts)
+    for k in range(1, len(sa)):
+        a, b = cut(sa[k - 1])[:-1], cut(sa[k])[:-1]
+        assert lcp[k] == max(n for n in range(len(a) + 1) if b.startswith(a[:n]))
+    nodes, deepest = repeats.intervals(lcp.tolist(), 1)
+    for depth, first, last, parent in nodes:
+        assert min(lcp[first + 1 : last + 1]) == depth and (parent < 0 or nodes[parent][0] < depth)
+    assert all(k < 0 or nodes[k][1] <= i <= nodes[k][2] for i, k in enumerate(deepest))
+
+
+@pytest.mark.parametrize(("batches", "fanout"), [(1, 2), (5, 2), (4, 3)])
+def test_line_dedup(spark, batches, fanout):
+    rows = odd(sample())
+    got = dedup_lines(frame(spark, rows), batches=batches, fanout=fanout).select("doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert plain(got) == plain(brute.line_dedup(rows))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
+
+
+@pytest.mark.parametrize(("words", "k"), [(4, 32), (5, 32)])
+def test_near_duplicates(spark, words, k):
+    rows = odd(sample())
+    got = near_duplicates(frame(spark, rows), words=words, k=k).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert plain(got) == plain(brute.near_duplicates(rows, words))
+
+
+def test_near_duplicates_in_a_large_list(spark):
+    """More near copies than hubs: later rounds must find what the first leave."""
+    rnd = random.Random(5)
+    base = _sentence(rnd, 60).split()
+    rows = []
+    for d in range(90):
+        words = list(base)
+        for _ in range(rnd.randrange(0, 4)):
+            words[rnd.randrange(60)] = f"y{rnd.randrange(100)}"
+        rows.append((d, " ".join(words)))
+    got = near_duplicates(frame(spark, rows), words=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert plain(got) == plain(brute.near_duplicates(rows, 2))
+
+
+def test_contaminated(spark):
+    rnd = random.Random(8)
+    items = [(i, _sentence(rnd, rnd.randrange(12, 40)).capitalize() + ".") for i in range(6)] + [(6, None), (7, "too few words"), (8, "")]
+    rows = odd(sample())
+    for d, (i, edits) in enumerate([(0, 0), (1, 1), (2, 2), (3, 0), (4, 6)], 200):
+        words = items[i][1].split()
+        for _ in range(edits):
+            words[rnd.randrange(len(words))] = "changed"
+        rows.append((d, "Some words before, " + " ".join(words).upper() + " and after it.\nMore."))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = contaminated(frame(spark, rows), bench)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == brute.contaminated(rows, items)
+    assert (200, 0) in brute.contaminated(rows, items)
+
+
+def test_warc(spark, tmp_path):
+    rnd = random.Random(2)
+    big, other = _sentence(rnd, 400), "<p>\r\n\r\né" + _sentence(rnd, 300)
+    rows = [(1, "u1", big), (5, "u\r\n5", big), (3, None, big), (2, "u", "small"), (4, "u", "small"), (6, "u", None), (7, "u", ""), (8, "u", other)]
+    rows += [(9, "u", other), (9, "u", other), (None, "u", other), (10, "x", _sentence(rnd, 250))]
+    pages = spark.createDataFrame([(*r, "z") for r in rows], "page_id bigint, url string, html string, digest string")
+    warc.write_archives(pages.repartition(2), str(tmp_path / "a"), per_file=4)
+    index = warc.normalise(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    got = warc.read_records(index).collect()
+    top, want = {}, []
+    for page, _, html in rows:
+        if len((html or "").encode()) >= 1000:
+            top[html] = max(top.get(html, -1), -1 if page is None else page)
+    answered = set()
+    for page, _, html in rows:
+        data = (html or "").encode()
+        revisit = html in top and (page != top[html] or (page, html) in answered)
+        answered.add((page, html))
+        want.append((page, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", top[html] if revisit else None))
+    assert plain((r["page_id"], r["payload_bytes"], r["digest"], r["kind"], r["refers_to"]) for r in got) == plain(want)
+    assert {bytes(r["payload"]) for r in got if r["kind"] == "response"} == {(h or "").encode() for _, _, h in rows}
+    one = index.where("offset > 0").limit(1).collect()[0]
+    assert one["length"] > 0 and one["archive"].endswith(".warc.gz")
+
+
+def test_licenses(spark):
+    s = licenses.SENTENCES
+    texts = [f"{s['m']}.\n{s['n']}. {s['o']}! {s['p']}.", f"{s['m']}. Odd one. {s['n']}.\n\n{s['o']}", "Released under the MIT License.\nAll rights reserved."]
+    rows = odd([(i + 500, t) for i, t in enumerate(texts)] + sample())
+    got = licenses.scan(frame(spark, rows)).select("doc_id", "n_hits", "identifiers", "licenses").collect()
+    want = [(d, *brute.licenses(t, s, licenses.RULES, licenses.END, licenses.OTHER, licenses.pattern)) for d, t in rows]
+    assert plain(got) == plain(want)
+    assert {r["licenses"] for r in got} >= {"BSD-3-Clause:1", "BSD-2-Clause:1", "MIT:1;all rights reserved:1"}
+
+
+def test_langid(spark):
+    rnd = random.Random(4)
+    stems = {"aa": "the ing tion of and", "bb": "schen ung keit der und", "cc": "eau aux ment de la"}
+    rows = []
+    for d in range(300):
+        lang = "aabbcc"[d % 3 * 2 : d % 3 * 2 + 2]
+        text = " ".join("".join(rnd.choices(stems[lang].split(), k=2)) for _ in range(rnd.randrange(3, 60)))
+        rows.append((d, text, lang if d % 7 else None, d))
+    rows += [(300, None, "aa", 0), (301, "", "aa", 0), (302, "12 -- 34", "bb", 0), (None, "the ingtion", "aa", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int")
+    model = langid.fit(docs.where(~langid.held_out()))
+    got = {r["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    assert len(got) == 304 and {got[d]["lang_pred"] for d in (300, 301, 302)} == {"und"} and not got[302]["accepted"]
+    truth = {d: "aabbcc"[d % 3 * 2 : d % 3 * 2 + 2] for d in range(300)}
+    assert sum(got[d]["lang_pred"] == truth[d] for d in truth) >= 294
+    none = langid.predict(docs, langid.fit(docs.where("false"))).collect()
+    assert {r["lang_pred"] for r in none} == {"und"} and {r["score"] for r in none} == {0.0}
+
+
+def test_bucket_table_is_the_two_layer_model():
+    texts = [b"abcd efg", b"x", b"", b"aaaa bbbb cccc"]
+    rng = np.random.default_rng(1)
+    table = rng.normal(size=((2 << langid.BITS) + 1, 3)).astype(np.float32)
+    table[-1] = 0
+    model = langid.Model(["a", "b", "c"], table, np.zeros(3))
+    together = model.logits(langid.Texts(pa.array(texts)))
+    for i, t in enumerate(texts):
+        assert np.allclose(together[i], model.logits(langid.Texts(pa.array([t])))[0], atol=1e-5)
+
+
+def test_perplexity_counts_and_model(spark):
+    rows = odd(sample())
+    rows.append((900, "so it is said again and now so it is said again and now " * 3))
+    got = perplexity.judge(frame(spark, rows)).collect()
+    want = [(d, *brute.base_rules(t)) for d, t in rows]
+    assert plain((r["doc_id"], r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) for r in got) == plain(want)
+    for r in got:
+        failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+        assert r["base_failed"] == failed and not (failed and r["kept"])
+
+
+def test_kneser_ney_sums_to_one():
+    texts = perplexity.Texts(pa.array([s for _, s in sample() if s]))
+    code, _ = perplexity.ngrams(texts)
+    codes, counts = np.unique(code.astype(np.int64), return_counts=True)
+    model = perplexity.Model.loads(perplexity.Model.build(codes, counts).dumps())
+    for context in [*np.unique(codes >> 6)[::200].tolist(), 17, (5 << 12) | 63]:  # seen and unseen ones
+        p = 2.0 ** model.log2(context << 6 | np.arange(64)).astype(float)
+        assert abs(p.sum() - 1) < 1e-3
+
+
+def test_repeated_words_at_block_size():
+    ids = np.array([1, 2, 3, 1, 2, 3, 9, 1, 2, 3, 1, 2])
+    doc = np.array([0] * 6 + [1] * 6)
+    assert perplexity.repeated_words(ids, doc, 3, 2).tolist() == [6, 0]
+
+
+def test_rule_ensemble(spark):
+    rnd = random.Random(6)
+    rows, labels = [], []
+    for d in range(600):
+        good = rnd.random() < 0.7
+        words = _sentence(rnd, rnd.randrange(5, 60))
+        rows.append((d, words if good else words.replace(" ", " | ")))
+        labels.append((d, int(good) if d % 11 else None, 0))
+    rows = odd(rows + [(700, None), (701, "")])
+    stats = rules.statistics(frame(spark, rows))
+    out = langid.held_out("doc_id", 3, 1)
+    model = rules.fit(stats, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").where(~out))
+    table = rules.score(stats, model).toPandas()
+    features = stats.toPandas()
+    want = model.scores(features[model.features].to_numpy(float))
+    joined = table.sort_values(["score"])["score"].to_numpy()
+    assert len(table) == len(rows) and np.allclose(joined, np.sort(want)) and table["score"].between(0, 1).all()
+    truth = {d: y for d, y, _ in labels if y is not None}
+    right = [(p == truth[d]) for d, p in zip(table["doc_id"], table["predicted"], strict=True) if d in truth]
+    assert np.mean(right) > 0.97 and 0 < len(model.rules) < 200
+    none = rules.fit(stats, spark.createDataFrame([], "doc_id bigint, quality int"))
+    assert set(rules.score(stats, none).toPandas()["score"]) == {0.5}
+
+
+_TEXTS = [
+    None, "", " ", "  a", "a  b", "     a      b", "\n\t z ", "▁x▁▁ y", "中文 字 \x00 \U0001f600 é", "a" * 700, "<s></s><unk><0x41>",
+    "Hello wörld, the the the", " " * 40 + "x" + " " * 17,
+]
+
+
+def test_sentencepiece_matches_the_library(spark):
+    rnd = random.Random(1)
+    texts = _TEXTS + ["".join(rnd.choice("  abcdeéthing\n中▁.,!-") for _ in range(rnd.randrange(60))) for _ in range(300)] + [t for _, t in sample()]
+    library = spm.SentencePieceProcessor(model_file=sp.MODEL)
+    docs = spark.createDataFrame([(i, t, "e") for i, t in enumerate(texts)], "doc_id bigint, text string, extra string")
+    got = {r["doc_id"]: r for r in sp.decode(sp.encode(docs)).collect()}
+    for i, t in enumerate(texts):
+        assert got[i]["ids"] == (None if t is None else library.encode(t)), t
+        assert got[i]["decoded"] == (None if t is None else library.decode(library.encode(t)))
+        if t is not None and "▁" not in t:
+            assert got[i]["decoded"] == t
+
+
+def test_unigram_model_by_viterbi():
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    proto.ParseFromString(sp.load(sp.MODEL))
+    proto.trainer_spec.model_type = 1
+    for i, piece in enumerate(proto.pieces):  # scores without ties, in the range of a unigram model
+        if piece.type == pb.ModelProto.SentencePiece.NORMAL:
+            piece.score = -1.0 - (i * 7919 % 31991) / 3199.1 - 2.0 / len(piece.piece)
+    model = proto.SerializeToString()
+    library = spm.SentencePieceProcessor(model_proto=model)
+    texts = [t for _, t in sample() if t and "\n" not in t][:30] + ["hello wonderful world", "  two  spaces "]
+    score = lambda ids: sum(library.get_score(k) for k in ids)
+    for t, ids in zip(texts, sp.Encoder(model).encode(pa.array(texts)).to_pylist(), strict=True):
+        assert library.decode(ids) == t
+        assert score(ids) >= score(library.encode(t)) - 1e-3
+
+
+def test_empty_tables(spark):
+    docs = frame(spark, sample()).where("false")
+    assert repeats.remove_repeats(docs).count() == 0
+    assert dedup_lines(docs).count() == 0
+    assert near_duplicates(docs).count() == 0
+    assert contaminated(docs, spark.createDataFrame([(1, "a b c d e f")], "item_id bigint, text string")).count() == 0
+    assert contaminated(frame(spark, sample()), spark.createDataFrame([], "item_id bigint, text string")).count() == 0
+    assert licenses.scan(docs).count() == 0
+    assert langid.predict(docs, None).count() == 0
+    assert perplexity.judge(docs).count() == 0
+    assert rules.score(rules.statistics(docs), rules.Ensemble([], [], [], 0.0)).count() == 0
+    assert sp.decode(sp.encode(docs)).count() == 0
+
+
+def test_empty_archive(spark, tmp_path):
+    warc.write_archives(spark.createDataFrame([], "page_id bigint, url string, html string"), str(tmp_path / "a"))
+    index = warc.normalise(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    assert warc.read_records(index).count() == 0
+
+
+def test_damaged_archive(tmp_path):
+    import gzip
+
+    data = gzip.compress(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc")
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc.stream_records([gzip.decompress(data)]))
+    path = tmp_path / "cut.gz"
+    path.write_bytes(data[:-6])
+    with pytest.raises(ValueError, match="cut off"), path.open("rb") as stream:
+        list(warc.inflated(stream))
+
+
