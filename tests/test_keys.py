@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstar import session
-from tillstar.operators.keys import broadcast_if_small, fits, with_dense_key, with_dense_rank, with_running_sums
+from tillstar.operators.keys import with_dense_key, with_dense_rank, with_running_sums
 
 
 @pytest.fixture(params=["true", "false"], autouse=True)
@@ -43,18 +43,10 @@ def test_running_sums_over_partitions(spark):
         assert got[i] == (total, i + 1)
 
 
-def test_dense_rank_both_ways_agree(spark):
+def test_dense_rank(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", 9), ("e", 0)], "m string, v int")
-    small = {r.m: r.rank for r in with_dense_rank(df, "v", "rank", True).collect()}
-    large = {r.m: r.rank for r in with_dense_rank(df, "v", "rank", False).collect()}
-    assert small == large == {"d": 1, "a": 2, "b": 2, "c": 3, "e": 4}
-
-
-def test_broadcast_only_when_counted_small(spark):
-    df = spark.range(10)
-    assert fits(df, 10) and not fits(df, 9)
-    assert "ResolvedHint" in broadcast_if_small(df, 10)._jdf.queryExecution().analyzed().toString()
-    assert broadcast_if_small(df, 9) is df
+    ranks = {r.m: r.rank for r in with_dense_rank(df, "v", "rank").collect()}
+    assert ranks == {"d": 1, "a": 2, "b": 2, "c": 3, "e": 4}
 
 
 def test_drop_scratch_removes_this_applications_tables_only(spark, tmp_path, monkeypatch):

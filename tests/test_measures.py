@@ -95,6 +95,17 @@ def test_city_rank_within_the_selection(star):
     assert [(r.city, r.rank) for r in got] == [("Dubai", 1)]
 
 
+def test_city_rank_counts_only_the_selected_country(spark):
+    lines = [
+        {"order_id": "1", "city": "Pune", "country": "India", "unit_price": 100},
+        {"order_id": "2", "city": "Pune", "country": "UAE", "unit_price": 900},
+        {"order_id": "3", "city": "Delhi", "country": "India", "unit_price": 300},
+    ]
+    two = make_star(make_lines(spark, lines))
+    got = {r.city: (float(r.revenue), r.rank) for r in ranking.rank_by(two, "city", members=F.col("country") == "India").collect()}
+    assert got == {"Delhi": (300, 1), "Pune": (100, 2)}
+
+
 def test_top_n(star):
     rows = {r.category: r.top_n_revenue for r in ranking.top_n(star, 1).collect()}
     assert float(rows["X"]) == 190 and rows["Z"] is None and float(rows[None]) == 250

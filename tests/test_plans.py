@@ -28,6 +28,20 @@ def test_year_filter_prunes_partitions_and_is_pushed(spark):
     assert {c.split(":")[0] for c in columns.split(",") if ":" in c} == {"product_key", "is_returned", "date_key", "net_revenue"}
 
 
+def test_month_filter_reads_one_month(spark):
+    """Files of different months have disjoint days, so a month costs a month."""
+    star = open_warehouse(spark, SF_DIR).star
+    year = in_period(star.fact_sales, year=1997)
+    month = in_period(star.fact_sales, between=("1997-05-01", "1997-05-31"))
+    files, some = set(year.inputFiles()), set(month.inputFiles())
+    spans = [r for r in year.groupBy(F.input_file_name().alias("f"), "year_month_key").agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")).collect()]
+    assert all(r.a // 100 == r.b // 100 == r.year_month_key for r in spans)
+    read = [r for r in spans if r.year_month_key == 199705]
+    scan = next(x for x in plan(month).split("\n") if "FileScan" in x)
+    assert re.search(r"PartitionFilters: \[.*year_month_key.*199705", scan)
+    assert len(files) >= 12 and 1 <= len(read) <= len(files) / 6 and some <= set(star.fact_sales.inputFiles())
+
+
 @pytest.mark.parametrize(
     "name",
     ["m_all_by_country_channel", "kpi_table", "calc_group", "ti_ytd_customers", "rpt_overview_kpis", "share_of_parent",

@@ -107,12 +107,8 @@ def risk_order(band: Column | str) -> Column:
     )
 
 
-def as_text(value: Column | str, kind: str, currency: str = "₹") -> Column:
-    """Display text of a number: money, pct (1 decimal), pct2 (2 decimals) or int."""
-    v = as_column(value).cast("decimal(38,6)")
-    if kind == "money":
-        return F.concat(F.lit(currency + " "), F.format_number(F.round(v, 0), 0))
-    if kind == "int":
-        return F.format_number(F.round(v, 0), 0)
-    decimals = {"pct": 1, "pct2": 2}[kind]
-    return F.concat(F.round(v * 100, decimals).cast(f"decimal(38,{decimals})").cast("string"), F.lit("%"))
+def as_text(value: Column | str, decimals: int = 0, prefix: str = "", suffix: str = "") -> Column:
+    """Display text of a number: thousands grouped for whole numbers, fixed decimals otherwise."""
+    v = F.round(as_column(value).cast("decimal(38,6)"), decimals)
+    digits = v.cast(f"decimal(38,{decimals})").cast("string") if decimals else F.format_number(v, 0)
+    return F.concat(F.lit(prefix), digits, F.lit(suffix))

@@ -94,7 +94,7 @@ def in_period(
     """Fact rows of a calendar year, a fiscal year or a closed date range.
 
     All three become a range on ``date_key`` (pushed to the parquet scan) and,
-    where the fact is partitioned by year, a range on the partition column.
+    where the fact is partitioned by year and month, ranges on the partition columns.
     """
     if sum(x is not None for x in (year, fy, between)) != 1:
         raise ValueError("give exactly one of year, fy, between")
@@ -108,6 +108,8 @@ def in_period(
     condition: Column = F.col("date_key").between(_key(first), _key(last))
     if "year" in fact.columns:
         condition &= F.col("year").between(first.year, last.year)
+    if "year_month_key" in fact.columns:
+        condition &= F.col("year_month_key").between(_key(first) // 100, _key(last) // 100)
     return fact.filter(condition)
 
 

@@ -19,11 +19,6 @@ from tillstar.session import materialize
 # monotonically_increasing_id: partition number in the upper bits, row number in the lower 33.
 _ROW_BITS = 33
 
-# Largest input that may be ranked in one task (a plain global window).
-ONE_TASK_ROWS = 100_000
-# Largest join side that is broadcast by hint.
-BROADCAST_ROWS = 500_000
-
 
 def _placed(df: DataFrame, order: Sequence[Column | str], label: str) -> DataFrame:
     # No number given: AQE merges neighbouring ranges of a small input, which keeps their order.
@@ -64,21 +59,8 @@ def with_running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[s
     )
 
 
-def fits(df: DataFrame, rows: int = ONE_TASK_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows. For parquet the count reads footers only."""
-    return df.count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint for a side counted to be small; otherwise no hint, and the join
-    shuffles both sides with adaptive skew splitting."""
-    return F.broadcast(df) if fits(df, rows) else df
-
-
-def with_dense_rank(df: DataFrame, value: str, name: str, small: bool) -> DataFrame:
-    """Dense rank of ``value``, largest first. ``small`` = checked to fit one task."""
-    if small:
-        return df.withColumn(name, F.dense_rank().over(Window.orderBy(F.desc(value))).cast("long"))
+def with_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Dense rank of ``value``, largest first."""
     ranked = with_dense_key(df.select(value).distinct(), [F.desc(value)], name)
     return df.join(ranked, value)
 

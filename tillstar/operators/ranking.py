@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.columns import ratio
-from tillstar.operators.keys import fits, with_dense_rank
+from tillstar.operators.keys import with_dense_rank
 from tillstar.operators.measures import measure
 from tillstar.star import Star
 
@@ -16,10 +16,10 @@ TOP_N_CHOICES = range(1, 11)
 TOP_N_DEFAULT = 5
 
 
-def _owner(star: Star, column: str) -> DataFrame:
-    for dim in star.dims().values():
+def _owner(star: Star, column: str) -> str:
+    for name, dim in star.dims().items():
         if column in dim.columns:
-            return dim
+            return name
     raise ValueError(f"{column} is not a dimension column")
 
 
@@ -35,20 +35,22 @@ def rank_by(
     """Dense rank by revenue over all members of a dimension column.
 
     Members without sales take part with revenue 0, as a blank ranks as 0.
-    ``where`` / ``period`` are filters on the sales, ``members`` narrows the
-    members themselves (the current selection). Returns column, revenue, rank.
+    ``where`` / ``period`` are filters on the sales. ``members`` is the current selection:
+    it narrows the dimension and, through its keys, the sales, so a name that also
+    occurs outside the selection counts with its selected rows only.
+    Returns column, revenue, rank.
     """
-    dim = _owner(star, column)
+    owner = _owner(star, column)
+    dim = getattr(star, owner)
     if members is not None:
         dim = dim.filter(members)
+        star = star.narrowed(owner, dim)
     revenue = measure(star, "total_revenue", [column], where, touching, period)
     every = dim.select(column).distinct()
     known = every.join(revenue, every[column].eqNullSafe(revenue[column]), "left").select(
         every[column], F.col("total_revenue").alias("revenue")
     )
-    # The dimension has at least as many rows as members: its size decides the way.
-    small = fits(dim)
-    ranked = with_dense_rank(known.withColumn("_v", F.coalesce("revenue", F.lit(0))), "_v", name, small)
+    ranked = with_dense_rank(known.withColumn("_v", F.coalesce("revenue", F.lit(0))), "_v", name)
     return ranked.select(column, "revenue", F.col(name).cast("long").alias(name))
 
 
@@ -71,18 +73,11 @@ def top_n(
     """Revenue of the members ranked up to N, NULL for the others; the total row keeps the total."""
     limit = top_n_value(n)
     ranked = rank_by(star, column, period=period)
-    rows = ranked.select(
-        column, "rank", "revenue", F.when(F.col("rank") <= limit, F.col("revenue")).alias("top_n_revenue")
-    )
-    if not total:
-        return rows
-    whole = measure(star, "total_revenue", period=period).select(
-        F.lit(None).cast("string").alias(column),
-        F.lit(None).cast("long").alias("rank"),
-        F.col("total_revenue").alias("revenue"),
-        F.col("total_revenue").alias("top_n_revenue"),
-    )
-    return rows.unionByName(whole)
+    if total:  # members add up to the total: a row more per member, no second scan of the sales
+        whole = ranked.rollup(column, "rank").agg(F.sum("revenue").alias("revenue"), F.grouping_id().alias("_id"))
+        ranked = whole.filter(F.col("_id").isin(0, 3))
+    shown = F.col("rank").isNull() | (F.col("rank") <= limit)
+    return ranked.select(column, "rank", "revenue", F.when(shown, F.col("revenue")).alias("top_n_revenue"))
 
 
 def with_share_of_parent(levels_frame: DataFrame, levels: Sequence[str], value: str = "total_revenue") -> DataFrame:

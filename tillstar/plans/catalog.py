@@ -17,6 +17,7 @@ from tillstar.plans import customers, report
 from tillstar.plans.kpi import kpi_table
 from tillstar.plans.warehouse import (
     COUNTRY,
+    FORMULA_TERMS,
     CORPORATE,
     FY,
     HORIZON_END,
@@ -28,11 +29,11 @@ from tillstar.plans.warehouse import (
 )
 from tillstar.session import materialize, scratch_path, tune
 from tillstar.sources.bound import bind_order_lines
-from tillstar.sources.files import read_cohorts, read_gold, read_order_lines, read_scores, write_gold
+from tillstar.sources.files import read_cohorts, read_gold, read_header, read_order_lines, read_scores, write_gold
+from tillstar.sources.schemas import GOLD
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
-TREES = 20  # boosting rounds of the registered queries; the library default is 300
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -133,11 +134,7 @@ def _(w):
 
 @query("analytics_summary")
 def _(w):
-    train = w.split.filter(~F.col("is_test"))
-    test = w.split.filter("is_test")
-    model = churn.fit_logistic(train)
-    found = materialize(churn.evaluate(churn.with_probability(model, test), "logistic_regression"), "metrics")
-    return customers.analytics_summary(w.base, w.split, found, churn.linear_attribution(model, test))
+    return customers.analytics_summary(w.base, w.split, w.model_metrics, w.drivers)
 
 
 # ---------------------------------------------------------------- projections and filters
@@ -206,8 +203,11 @@ def _(w):
 
 @query("orphan_keys")
 def _(w):
-    parts = [fact.orphan_keys(w.star.fact_sales, d, w.star.KEYS[n]) for n, d in w.star.dims().items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return _orphans(w.star)
+
+
+def _orphans(star) -> DataFrame:
+    return reduce(DataFrame.unionByName, [fact.orphan_keys(star.fact_sales, d, star.KEYS[n]) for n, d in star.dims().items()])
 
 
 @query("churn_label")
@@ -488,8 +488,7 @@ def _(w):
 
 @query("top_drivers")
 def _(w):
-    model = churn.fit_logistic(w.split.filter(~F.col("is_test")))
-    return churn.top_drivers(churn.linear_attribution(model, w.split.filter("is_test")))
+    return churn.top_drivers(churn.linear_terms(w.split.filter("is_test"), *FORMULA_TERMS), 3)
 
 
 # ---------------------------------------------------------------- quality
@@ -535,9 +534,15 @@ def _(w):
 
 @query("schema_contract")
 def _(w):
-    tables = w.star.tables() | {"security_user_country": w.mapping, "cohort_retention": w.base.cohorts}
-    tables["fact_sales"] = tables["fact_sales"].drop("year")
-    return checks.schema_contract(w.spark, tables)
+    return checks.schema_contract({name: read_header(w.spark, w.gold_csv, name) for name in GOLD})
+
+
+@query("schema_contract_damaged")
+def _(w):
+    tables = {name: read_header(w.spark, w.gold_csv, name) for name in GOLD}
+    unpriced = F.when(F.col("product_key").cast("int") % 20 == 0, "n/a").otherwise(F.col("list_price"))
+    tables["dim_product"] = tables["dim_product"].withColumnRenamed("brand", "label").withColumn("list_price", unpriced)
+    return checks.schema_contract(tables)
 
 
 @query("relationship_contract")
@@ -545,6 +550,47 @@ def _(w):
     return checks.relationship_contract(w.star.tables() | {"customer_scores": w.scores})
 
 
+# The same checks where they must find something.
+@query("dq_row_parity_damaged")
+def _(w):
+    return checks.dq_row_parity(w.damaged.fact_sales, w.stg)
+
+
+@query("dq_orphan_dates_damaged")
+def _(w):
+    return checks.dq_orphan_dates(w.damaged.fact_sales, w.damaged.dim_date)
+
+
+@query("dq_duplicate_keys_damaged")
+def _(w):
+    return checks.dq_duplicate_keys(w.damaged.dim_customer)
+
+
+@query("dq_negative_revenue_damaged")
+def _(w):
+    return checks.dq_negative_revenue(w.damaged.fact_sales)
+
+
+@query("dq_revenue_reconciles_damaged")
+def _(w):
+    return checks.dq_revenue_reconciles(w.damaged.fact_sales, w.stg)
+
+
+@query("quality_checks_damaged")
+def _(w):
+    return checks.run_checks(w.damaged, w.stg)
+
+
+@query("orphan_keys_damaged")
+def _(w):
+    return _orphans(w.damaged)
+
+
+@query("relationship_contract_damaged")
+def _(w):
+    return checks.relationship_contract(w.damaged.tables() | {"customer_scores": w.scores})
+
+
 # ---------------------------------------------------------------- security
 @query("rls_static")
 def _(w):
@@ -600,9 +646,7 @@ def _(w):
 
 
 def _test_metrics(name: str, w: Warehouse) -> DataFrame:
-    train, test = w.split.filter(~F.col("is_test")), w.split.filter("is_test")
-    model = churn.fit_logistic(train) if name == "logistic_regression" else churn.fit_gbt(train, TREES)
-    return churn.evaluate(churn.with_probability(model, test), name)
+    return w.model_metrics.filter(F.col("model") == name)
 
 
 query("churn_logistic")(partial(_test_metrics, "logistic_regression"))
@@ -647,21 +691,23 @@ def _(w):
 
 @query("customer_scores")
 def _(w):
-    model = churn.fit_gbt(w.split.filter(~F.col("is_test")), TREES)
-    scored = churn.with_probability(model, w.base.labelled)
+    scored = churn.with_probability(w.boosted, w.base.labelled)
     return churn.score_frame(scored, w.base.segments, F.col("p"))
 
 
 @query("attribution")
 def _(w):
-    model = churn.fit_logistic(w.split.filter(~F.col("is_test")))
-    return churn.linear_attribution(model, w.split.filter("is_test"))
+    return churn.linear_attribution(w.logistic, w.split.filter("is_test"))
+
+
+@query("attribution_formula")
+def _(w):
+    return churn.linear_terms(w.split.filter("is_test"), *FORMULA_TERMS)
 
 
 @query("attribution_permutation")
 def _(w):
-    model = churn.fit_gbt(w.split.filter(~F.col("is_test")), TREES)
-    return churn.permutation_attribution(model, w.split.filter("is_test"))
+    return w.drivers
 
 
 # ---------------------------------------------------------------- report datasets

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.operators.checks import QualityCheckError, dq_gate, extended_checks, run_checks
+from tillstar.operators.checks import dq_gate, extended_checks, run_checks
 from tillstar.operators.dims import DOMESTIC, dim_customer, dim_date, dim_product, dim_store
 from tillstar.operators.fact import build_fact
 from tillstar.operators.staging import stage
 from tillstar.session import hadoop_path, materialize, scratch_path, together, tune
-from tillstar.sources.files import move_table, read_gold, write_gold
+from tillstar.sources.files import new_version, publish, read_gold, write_gold
 from tillstar.star import Star
 
 
@@ -36,33 +35,26 @@ def run(
 ) -> Built:
     """read -> stage -> dimensions -> fact -> checks -> gate -> export.
 
-    The star is written once, as parquet, under a name nobody reads; a parquet
-    export moves those files to ``folder`` after the gate, so the fact is not
-    written twice. A CSV export is a second write by nature. A failed gate
-    leaves ``folder`` as it was.
+    Everything is written to a new version of ``folder``, which is published after the gate by
+    one small file; a failed run leaves the old version as it was. A parquet star is not written
+    twice; a CSV export is a second write by nature. Intermediate tables are deleted.
     """
     spark: SparkSession = tune(raw.sparkSession)
     stg = materialize(stage(raw), "staging")
-    publish = folder is not None and fmt == "parquet"
-    work = f"{folder.rstrip('/')}.unchecked-{uuid.uuid4().hex[:12]}" if publish else scratch_path(spark, "star")
+    version = new_version(folder) if folder else None
+    work = version if folder and fmt == "parquet" else scratch_path(spark, "star")
     try:
         built = _build(spark, stg, work, domestic, fy_start_month)
-    except QualityCheckError:
-        fs, path = hadoop_path(spark, work)
-        fs.delete(path, True)
+        if folder:
+            extra = {"security_user_country": security} if security is not None else {}
+            write_gold(extra if fmt == "parquet" else built.star.tables() | extra, version, fmt)
+            publish(spark, folder, version)
+    except Exception:
+        for left in {work, version} - {None}:
+            fs, path = hadoop_path(spark, left)
+            fs.delete(path, True)
         raise
-    extra = {"security_user_country": security} if security is not None else {}
-    if publish:
-        for name in built.star.tables():
-            move_table(spark, f"{work}/{name}", f"{folder}/{name}")
-        fs, path = hadoop_path(spark, work)
-        fs.delete(path, True)
-        if extra:
-            write_gold(extra, folder, fmt)
-        return Built(stg, _read_star(spark, folder), built.checks, folder)
-    if folder:
-        write_gold(built.star.tables() | extra, folder, fmt)
-    return built
+    return built if folder is None or fmt != "parquet" else Built(stg, _read_star(spark, folder), built.checks, folder)
 
 
 def _read_star(spark: SparkSession, folder: str) -> Star:

@@ -47,29 +47,35 @@ def kpi_table(star: Star, year: int, country: str, fy: int | None = None, fy_sta
         blank_if_zero(F.count_distinct("_order")).alias("orders"),
         blank_if_zero(F.count_distinct("_customer")).alias("customers"),
     )
-    fy_end = f"last date of FY{fy}"
+    money, count = {"prefix": "₹ "}, {}
+    one_digit, two_digits = {"decimals": 1, "suffix": "%", "times": 100}, {"decimals": 2, "suffix": "%", "times": 100}
     this, last = f"year = {year}", f"year = {year - 1}"
-    rows = [
-        ("Total Revenue", this, F.col("rev"), "money"),
-        ("Total Revenue", last, F.col("rev_py"), "money"),
-        ("Revenue YoY %", this, ratio("rev", "rev_py") - 1, "pct"),
-        ("Orders", this, F.col("orders"), "int"),
-        ("Avg Order Value", this, ratio("rev", "orders"), "money"),
-        ("Gross Margin %", this, ratio(blank_sub("rev", "cost"), "rev"), "pct"),
-        ("Return Rate %", this, ratio("returned", "lines"), "pct2"),
-        ("Active Customers", this, F.col("customers"), "int"),
-        ("Revenue FYTD", fy_end, F.col("fytd"), "money"),
-        ("Revenue YTD", f"30-Jun-{year}", F.col("ytd"), "money"),
-        (f"Total Revenue (RLS: {country} Only)", this, F.col("secured"), "money"),
+    # Position, label and context of the expected table.
+    shown = [
+        (1, "Total Revenue", this, F.col("rev"), money),
+        (2, "Total Revenue", last, F.col("rev_py"), money),
+        (3, "Revenue YoY %", this, ratio("rev", "rev_py") - 1, one_digit),
+        (4, "Orders", this, F.col("orders"), count),
+        (5, "Avg Order Value", this, ratio("rev", "orders"), money),
+        (6, "Gross Margin %", this, ratio(blank_sub("rev", "cost"), "rev"), one_digit),
+        (7, "Return Rate %", this, ratio("returned", "lines"), two_digits),
+        (8, "Active Customers", this, F.col("customers"), count),
+        (9, "Revenue FYTD", f"last date of FY{fy}", F.col("fytd"), money),
+        (10, "Revenue YTD", f"30-Jun-{year}", F.col("ytd"), money),
+        (12, f"Total Revenue (RLS: {country} Only)", this, F.col("secured"), money),
     ]
-    positions = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12]
+
+    def text(value, style):
+        scaled = value.cast("decimal(38,6)") * style.get("times", 1)
+        return as_text(scaled, style.get("decimals", 0), style.get("prefix", ""), style.get("suffix", ""))
+
     entries = F.array(
         *[
             F.struct(
-                F.lit(i).alias("position"), F.lit(m).alias("measure"), F.lit(c).alias("context"),
-                v.cast("double").alias("value"), as_text(v, kind).alias("text"),
+                F.lit(i).alias("position"), F.lit(label).alias("measure"), F.lit(context).alias("context"),
+                value.cast("double").alias("value"), text(value, style).alias("text"),
             )
-            for i, (m, c, v, kind) in zip(positions, rows)
+            for i, label, context, value, style in shown
         ]
     )
     table = one.select(F.explode(entries).alias("e")).select("e.*")

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from tillstar.operators.rollups import CALENDAR, GEOGRAPHY, PRODUCT
 from tillstar.plans.catalog import CALC_GROUP_QUERIES, NAMES, TIME_QUERIES
-from tillstar.plans.warehouse import COUNTRY, CORPORATE, FY, HORIZON_END, SNAPSHOT, USERS, YEAR
+from tillstar.sources.schemas import GOLD
+from tillstar.plans.warehouse import COUNTRY, CORPORATE, FORMULA_TERMS, FY, HORIZON_END, SNAPSHOT, USERS, YEAR
 
 ORACLES: dict[str, str] = {}
 
@@ -19,7 +20,7 @@ def _code(prefix: str, key: str) -> str:
 
 STG = f"""
 signup AS (SELECT o_custkey AS sk, MIN(CAST(o_orderdate AS DATE)) AS signup_date FROM orders GROUP BY 1),
-stg AS (
+stg AS MATERIALIZED (
   SELECT {_code("SO-", "o_orderkey")} AS order_id, CAST(o_orderdate AS DATE) AS order_date,
     {_code("C", "c_custkey")} AS customer_id, c_mktsegment AS segment, signup_date,
     s_name AS store_name, n_name || '-' || CAST(s_suppkey % 2 AS VARCHAR) AS city, n_name AS state, r_name AS country,
@@ -33,29 +34,29 @@ stg AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
     JOIN signup ON sk = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey),
+span AS (SELECT year(MIN(order_date)) AS y0, year(MAX(order_date)) AS y1 FROM stg),
+days AS (
+  SELECT make_date(y0, 1, 1) + CAST(n AS INTEGER) AS d
+  FROM span, range((make_date(y1 + 1, 1, 1) - make_date(y0, 1, 1))) AS t(n)),
 dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS date, year(d) AS year,
+  SELECT year(d) * 10000 + month(d) * 100 + day(d) AS date_key, d AS date, year(d) AS year,
     quarter(d) AS quarter, month(d) AS month, strftime(d, '%b') AS month_name, strftime(d, '%Y-%m') AS year_month,
-    dayofweek(d) IN (0, 6) AS is_weekend, year(d) + CASE WHEN month(d) >= 4 THEN 1 ELSE 0 END AS fiscal_year
-  FROM (SELECT unnest(generate_series(CAST(date_trunc('year', MIN(order_date)) AS TIMESTAMP),
-    CAST(make_date(year(MAX(order_date)), 12, 31) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM stg)),
+    isodow(d) > 5 AS is_weekend, year(d + INTERVAL 9 MONTH) AS fiscal_year FROM days),
 dim_customer AS (
-  SELECT customer_id, MIN(segment) AS segment, MIN(signup_date) AS signup_date,
-    ROW_NUMBER() OVER (ORDER BY customer_id) AS customer_key FROM stg GROUP BY customer_id),
+  SELECT DISTINCT ON (customer_id) customer_id, MIN(segment) OVER one AS segment, MIN(signup_date) OVER one AS signup_date,
+    DENSE_RANK() OVER (ORDER BY customer_id) AS customer_key FROM stg WINDOW one AS (PARTITION BY customer_id)),
 dim_store AS (
-  SELECT store_name, city, state, country,
-    CASE WHEN country = '{COUNTRY}' THEN 'Domestic' ELSE 'International' END AS region,
-    ROW_NUMBER() OVER (ORDER BY country, state, city, store_name) AS store_key
-  FROM (SELECT DISTINCT store_name, city, state, country FROM stg)),
+  SELECT DISTINCT store_name, city, state, country, if(country = '{COUNTRY}', 'Domestic', 'International') AS region,
+    DENSE_RANK() OVER (ORDER BY country, state, city, store_name) AS store_key FROM stg),
 dim_product AS (
-  SELECT sku, MIN(product_name) AS product_name, MIN(category) AS category, MIN(subcategory) AS subcategory,
-    MIN(brand) AS brand, MAX(unit_price) AS list_price, ROW_NUMBER() OVER (ORDER BY sku) AS product_key
-  FROM stg GROUP BY sku),
+  SELECT p.*, (SELECT COUNT(DISTINCT sku) FROM stg) - RANK() OVER (ORDER BY sku DESC) + 1 AS product_key
+  FROM (SELECT sku, MIN(product_name) AS product_name, MIN(category) AS category, MIN(subcategory) AS subcategory,
+    MIN(brand) AS brand, MAX(unit_price) AS list_price FROM stg GROUP BY ALL) p),
 amounts AS (
   SELECT *, CAST(ROUND(quantity * unit_price * (1 - discount_pct), 2) AS DECIMAL(18,2)) AS net_revenue,
     CAST(ROUND(quantity * unit_price * discount_pct, 2) AS DECIMAL(18,2)) AS discount_amount,
     CAST(ROUND(quantity * unit_cost, 2) AS DECIMAL(18,2)) AS cost FROM stg),
-w AS (
+w AS MATERIALIZED (
   SELECT a.*, d.* EXCLUDE (date), customer_key, store_key, product_key, region,
     year * 12 + month - 1 AS mi, order_date - DATE '1970-01-01' AS di
   FROM amounts a JOIN dim_date d ON a.order_date = d.date JOIN dim_customer USING (customer_id)
@@ -205,10 +206,6 @@ _sql("active_customers_asof", "SELECT customer_id, recency_days FROM active", Tr
 # joins
 _sql("star_join", f"""SELECT order_id, date_key, customer_id, sku, store_name, city, region, category, month_name,
   fiscal_year, {_d('net_revenue')} FROM w""")
-_sql("orphan_keys", " UNION ALL ".join(
-    f"SELECT 'orphan {k}' AS check_name, COUNT(*) AS failures FROM w LEFT JOIN {t} t ON w.{k} = t.{k} WHERE t.{k} IS NULL"
-    for t, k in (("dim_date", "date_key"), ("dim_customer", "customer_key"), ("dim_store", "store_key"),
-                 ("dim_product", "product_key"))))
 _sql("churn_label", "SELECT customer_id, churned FROM active", True)
 _sql("scores_customer", f"""SELECT customer_id, customer_key, c.segment, {_s('signup_date')}, s.segment AS rfm_segment,
   churn_risk FROM scores s JOIN dim_customer c USING (customer_id)""", True)
@@ -290,41 +287,48 @@ _sql("segment_summary", """SELECT segment, COUNT(*) AS customers,
   CAST((SUM(churned) * 2000 + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 10 AS churn_rate_pct FROM rfm GROUP BY segment""", True)
 
 
+# Position, label and context of the expected table; then value, decimals, text before and after, scale.
+KPI = (
+    (1, "Total Revenue", f"year = {YEAR}", "rev", 0, "₹ ", "", 1),
+    (2, "Total Revenue", f"year = {YEAR - 1}", "rev_py", 0, "₹ ", "", 1),
+    (3, "Revenue YoY %", f"year = {YEAR}", "rev / NULLIF(rev_py, 0) - 1", 1, "", "%", 100),
+    (4, "Orders", f"year = {YEAR}", "orders", 0, "", "", 1),
+    (5, "Avg Order Value", f"year = {YEAR}", "rev / NULLIF(orders, 0)", 0, "₹ ", "", 1),
+    (6, "Gross Margin %", f"year = {YEAR}", "(rev - cost) / NULLIF(rev, 0)", 1, "", "%", 100),
+    (7, "Return Rate %", f"year = {YEAR}", "returned / NULLIF(lines, 0)", 2, "", "%", 100),
+    (8, "Active Customers", f"year = {YEAR}", "customers", 0, "", "", 1),
+    (9, "Revenue FYTD", f"last date of FY{FY}", "fytd", 0, "₹ ", "", 1),
+    (10, "Revenue YTD", f"30-Jun-{YEAR}", "ytd", 0, "₹ ", "", 1),
+    (12, f"Total Revenue (RLS: {COUNTRY} Only)", f"year = {YEAR}", "secured", 0, "₹ ", "", 1),
+)
+
+
 def _kpi() -> str:
-    money = "'₹ ' || format('{{:,}}', CAST(ROUND(CAST({v} AS DECIMAL(38,6)), 0) AS BIGINT))"
-    kinds = {
-        "money": money,
-        "int": "format('{{:,}}', CAST({v} AS BIGINT))",
-        "pct": "printf('%.1f', CAST(ROUND(CAST({v} AS DECIMAL(38,6)) * 100, 1) AS DOUBLE)) || '%'",
-        "pct2": "printf('%.2f', CAST(ROUND(CAST({v} AS DECIMAL(38,6)) * 100, 2) AS DOUBLE)) || '%'",
+    """One grouped pass for all sums; each row of the table is an expression of them."""
+    sums = {
+        "rev": f"SUM(net_revenue) FILTER (NOT is_returned AND year = {YEAR})",
+        "rev_py": f"SUM(net_revenue) FILTER (NOT is_returned AND year = {YEAR - 1})",
+        "cost": f"SUM(cost) FILTER (NOT is_returned AND year = {YEAR})",
+        "orders": f"COUNT(DISTINCT order_id) FILTER (NOT is_returned AND year = {YEAR})",
+        "customers": f"COUNT(DISTINCT customer_key) FILTER (NOT is_returned AND year = {YEAR})",
+        "lines": f"COUNT(*) FILTER (year = {YEAR})",
+        "returned": f"COUNT(*) FILTER (is_returned AND year = {YEAR})",
+        "fytd": f"SUM(net_revenue) FILTER (NOT is_returned AND fiscal_year = {FY})",
+        "ytd": f"SUM(net_revenue) FILTER (NOT is_returned AND year = {YEAR} AND month <= 6)",
+        "secured": f"SUM(net_revenue) FILTER (NOT is_returned AND year = {YEAR} AND country = '{COUNTRY}')",
     }
-    this, kept = f"year = {YEAR}", "NOT is_returned"
-    rows = [
-        (1, "Total Revenue", this, "SUM(net_revenue)", f"{kept} AND year = {YEAR}", "money"),
-        (2, "Total Revenue", f"year = {YEAR - 1}", "SUM(net_revenue)", f"{kept} AND year = {YEAR - 1}", "money"),
-        (3, "Revenue YoY %", this, _div(f"SUM(net_revenue) FILTER (WHERE year = {YEAR})",
-            f"SUM(net_revenue) FILTER (WHERE year = {YEAR - 1})") + " - 1", kept, "pct"),
-        (4, "Orders", this, "COUNT(DISTINCT order_id)", f"{kept} AND year = {YEAR}", "int"),
-        (5, "Avg Order Value", this, _div("SUM(net_revenue)", "COUNT(DISTINCT order_id)"), f"{kept} AND year = {YEAR}", "money"),
-        (6, "Gross Margin %", this, _div("(SUM(net_revenue) - SUM(cost))", "SUM(net_revenue)"), f"{kept} AND year = {YEAR}", "pct"),
-        (7, "Return Rate %", this, _div("SUM(CASE WHEN is_returned THEN 1 ELSE 0 END)", "COUNT(*)"), f"year = {YEAR}", "pct2"),
-        (8, "Active Customers", this, "COUNT(DISTINCT customer_key)", f"{kept} AND year = {YEAR}", "int"),
-        (9, "Revenue FYTD", f"last date of FY{FY}", "SUM(net_revenue)", f"{kept} AND fiscal_year = {FY}", "money"),
-        (10, "Revenue YTD", f"30-Jun-{YEAR}", "SUM(net_revenue)",
-            f"{kept} AND order_date BETWEEN DATE '{YEAR}-01-01' AND DATE '{YEAR}-06-30'", "money"),
-        (12, f"Total Revenue (RLS: {COUNTRY} Only)", this, "SUM(net_revenue)",
-            f"{kept} AND year = {YEAR} AND country = '{COUNTRY}'", "money"),
-    ]
-    parts = [
-        f"SELECT {i} AS position, '{m}' AS measure, '{c}' AS context, CAST(v AS DOUBLE) AS value, "
-        f"{kinds[k].format(v='CAST(v AS DOUBLE)')} AS text FROM (SELECT {e} AS v FROM w WHERE {cond})"
-        for i, m, c, e, cond, k in rows
-    ]
-    parts.append(
-        f"SELECT 11, 'Category Rank = 1', '{this}', CAST(NULL AS DOUBLE), category FROM (SELECT category FROM w WHERE {kept} "
-        f"AND year = {YEAR} GROUP BY 1 ORDER BY SUM(net_revenue) DESC, category LIMIT 1)"
-    )
-    return " UNION ALL ".join(parts)
+    one = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in sums.items())
+    rows = []
+    for position, label, context, value, decimals, before, after, scale in KPI:
+        number = f"ROUND(CAST(v AS DECIMAL(38,6)) * {scale}, {decimals})"
+        shown = f"printf('%.{decimals}f', CAST({number} AS DOUBLE))" if decimals else f"format('{{:,}}', CAST({number} AS BIGINT))"
+        rows.append(
+            f"SELECT {position} AS position, '{label}' AS measure, '{context}' AS context, v AS value, "
+            f"'{before}' || {shown} || '{after}' AS text FROM (SELECT {value} AS v FROM one)"
+        )
+    best = f"""SELECT 11, 'Category Rank = 1', 'year = {YEAR}', NULL, arg_min(category, (-r, category)) FROM (
+      SELECT category, SUM(net_revenue) AS r FROM w WHERE NOT is_returned AND year = {YEAR} GROUP BY ALL)"""
+    return f"SELECT * FROM (WITH one AS (SELECT {one} FROM w) {' UNION ALL '.join([*rows, best])})"
 
 
 _sql("kpi_table", _kpi())
@@ -357,6 +361,13 @@ def _range(item: str, grain: str) -> tuple[str, str]:
     return start[item], "hi"
 
 
+def _rows(measure: str, by: str, at: str) -> str:
+    """What the contexts are joined with; sums of one column are taken per position first."""
+    if measure == "total_revenue":
+        return f"SELECT {by}, {at} AS at_, is_returned, SUM(net_revenue) AS net_revenue FROM w GROUP BY ALL"
+    return f"SELECT *, {at} AS at_ FROM w{FIRST_ROW.format(by=by) if measure == 'new_customers' else ''}"
+
+
 def _time_base(measure: str, items: tuple, by: str, grain: str) -> tuple[str, str]:
     """CTEs ctx and one per plain item; returns (CTEs, SELECT source)."""
     at, group, label = PERIOD[grain]
@@ -369,7 +380,7 @@ def _time_base(measure: str, items: tuple, by: str, grain: str) -> tuple[str, st
         "cal AS (SELECT *, year * 12 + month - 1 AS mi, date - DATE '1970-01-01' AS di FROM dim_date)",
         f"per AS (SELECT {label} AS period, MIN({at}) AS lo, MAX({at}) AS hi FROM cal GROUP BY {group})",
         f"ctx AS (SELECT * FROM per CROSS JOIN (SELECT DISTINCT {by} FROM w))",
-        f"rows_ AS (SELECT *, {at} AS at_ FROM w{FIRST_ROW.format(by=by) if measure == 'new_customers' else ''})",
+        f"rows_ AS MATERIALIZED ({_rows(measure, by, at)})",
     ]
     joins = ""
     for i, item in enumerate(plain):
@@ -416,10 +427,11 @@ for _n, (_m, _by, _grain) in CALC_GROUP_QUERIES.items():
 
 
 # ranking
-def _rank(column: str, dim: str, members: str = "TRUE") -> str:
-    return f"""SELECT m.{column}, CAST(v AS DOUBLE) AS revenue, DENSE_RANK() OVER (ORDER BY COALESCE(v, 0) DESC) AS rank
-  FROM (SELECT DISTINCT {column} FROM {dim} WHERE {members}) m
-  LEFT JOIN (SELECT {column}, {REV} AS v FROM w WHERE year = {YEAR} GROUP BY 1) r ON m.{column} = r.{column}"""
+def _rank(column: str, dim: str, selected: str = "TRUE") -> str:
+    """Members and sales within the selection; a member without sales ranks as 0."""
+    return f"""SELECT {column}, CAST(v AS DOUBLE) AS revenue, DENSE_RANK() OVER (ORDER BY COALESCE(v, 0) DESC) AS rank
+  FROM (SELECT DISTINCT {column} FROM {dim} WHERE {selected})
+  LEFT JOIN (SELECT {column}, {REV} AS v FROM w WHERE year = {YEAR} AND {selected} GROUP BY 1) USING ({column})"""
 
 
 _sql("category_rank", _rank("category", "dim_product"))
@@ -458,33 +470,99 @@ _sql("top_category", f"""SELECT category, CAST({REV} AS DOUBLE) AS total_revenue
   GROUP BY 1 ORDER BY {REV} DESC, category LIMIT 1""")
 RISKY = "SELECT customer_id, segment, churn_probability, recency_days, monetary FROM scores ORDER BY churn_probability DESC, customer_id"
 _sql("highest_risk_customers", f"{RISKY} LIMIT 20", True)
-_sql("rpt_highest_risk", f"{RISKY} LIMIT 100", True)
+_sql("rpt_highest_risk", RISKY, True)
 _sql("revenue_by_category", f"SELECT category, CAST({REV} AS DOUBLE) AS total_revenue FROM w WHERE year = {YEAR} GROUP BY 1")
 for _n in ("churn_by_segment", "rpt_segment_churn"):
     _sql(_n, f"SELECT segment, {SCORE_SQL['observed_churn_pct']} AS observed_churn_pct FROM scores GROUP BY 1", True)
 _sql("sort_by_column", "SELECT month_name, month, COUNT(*) AS lines FROM w GROUP BY 1, 2 ORDER BY month")
 
-# quality
-DQ = {
-    "dq_row_parity": "SELECT 'fact rows = staging rows' AS check_name, ABS((SELECT COUNT(*) FROM w) - (SELECT COUNT(*) FROM stg)) AS failures",
-    "dq_orphan_dates": "SELECT 'orphan date keys' AS check_name, COUNT(*) AS failures FROM w LEFT JOIN dim_date d ON w.date_key = d.date_key WHERE d.date_key IS NULL",
-    "dq_duplicate_keys": "SELECT 'duplicate customer keys' AS check_name, COUNT(*) - COUNT(DISTINCT customer_key) AS failures FROM dim_customer",
-    "dq_negative_revenue": "SELECT 'negative revenue' AS check_name, COUNT(*) AS failures FROM w WHERE net_revenue < 0",
-    "dq_revenue_reconciles": "SELECT 'revenue reconciles to staging (paise)' AS check_name, CAST(ABS((SELECT SUM(net_revenue) FROM w) - (SELECT SUM(net_revenue) FROM amounts)) * 100 AS BIGINT) AS failures",
-}
-for _n, _body in DQ.items():
-    _sql(_n, _body)
-for _n in ("quality_checks", "dq_gate"):
-    _sql(_n, " UNION ALL ".join(DQ.values()))
+# quality: on the star, and on a star damaged in known places
+DAMAGED = f"""
+bad_fact AS (SELECT * REPLACE (if(product_key % 50 = 0, -net_revenue, net_revenue) AS net_revenue) FROM w WHERE store_key <> 1),
+bad_date AS (SELECT * FROM dim_date WHERE NOT (year = {YEAR} AND month = 1)),
+bad_customer AS (SELECT * FROM dim_customer WHERE customer_key % 7 <> 0 UNION ALL SELECT * FROM dim_customer WHERE customer_key <= 3),
+bad_store AS (SELECT * FROM dim_store WHERE store_key <> 2),
+bad_product AS (SELECT * FROM dim_product WHERE product_key % 11 <> 0)""".strip()
+
+
+def _without_partner(many: str, one: str, key: str) -> str:
+    """Rows of the many side whose key lies in the set difference of the keys."""
+    lost = f"SELECT {key} FROM {many} EXCEPT SELECT {key} FROM {one}"
+    return f"(SELECT COUNT(*) FROM {many} SEMI JOIN ({lost}) USING ({key}))"
+
+
+def _surplus(table: str, key: str) -> str:
+    """Rows beyond the first of each key."""
+    return f"(SELECT COALESCE(SUM(n - 1), 0)::BIGINT FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {key}))"
+
+
+def _apart(left: str, right: str, value: str) -> str:
+    """Difference of a sum over two tables, without its sign."""
+    return f"(SELECT ABS(SUM(v))::BIGINT FROM (SELECT {value} AS v FROM {left} UNION ALL SELECT -({value}) FROM {right}))"
+
+
+def _dq(fact: str, calendar: str, customer: str) -> dict[str, str]:
+    # The names of the checks.
+    found = {
+        "dq_row_parity": ("fact rows = staging rows", _apart(fact, "stg", "1")),
+        "dq_orphan_dates": ("orphan date keys", _without_partner(fact, calendar, "date_key")),
+        "dq_duplicate_keys": ("duplicate customer keys", _surplus(customer, "customer_key")),
+        "dq_negative_revenue": ("negative revenue", f"(SELECT COUNT_IF(net_revenue < 0) FROM {fact})"),
+        "dq_revenue_reconciles": ("revenue reconciles to staging (paise)", _apart(fact, "amounts", "net_revenue * 100")),
+    }
+    return {n: f"SELECT '{name}' AS check_name, {value} AS failures" for n, (name, value) in found.items()}
+
+
+def _relationships(fact: str, dims: dict[str, str]) -> str:
+    keys = (("fact_sales", fact, "dim_date", "date_key"), ("fact_sales", fact, "dim_customer", "customer_key"),
+            ("fact_sales", fact, "dim_store", "store_key"), ("fact_sales", fact, "dim_product", "product_key"),
+            ("customer_scores", "scores", "dim_customer", "customer_id"))
+    rows = []
+    for many, source, one, key in keys:
+        name = f"SELECT '{many}.{key} -> {one}.{key}' AS relationship"
+        rows.append(f"{name}, 'orphans' AS kind, {_without_partner(source, dims[one], key)} AS failures")
+        rows.append(f"{name}, 'duplicates', {_surplus(dims[one], key)}")
+    return " UNION ALL ".join(rows)
+
+
+def _orphans(fact: str, dims: dict[str, str]) -> str:
+    keys = {"dim_date": "date_key", "dim_customer": "customer_key", "dim_store": "store_key", "dim_product": "product_key"}
+    return " UNION ALL ".join(
+        f"SELECT 'orphan {k}' AS check_name, {_without_partner(fact, dims[t], k)} AS failures" for t, k in keys.items()
+    )
+
+
+for _suffix, _fact, _prefix, _more in (("", "w", "dim", ""), ("_damaged", "bad_fact", "bad", DAMAGED)):
+    _dims = {f"dim_{t}": f"{_prefix}_{t}" for t in ("date", "customer", "store", "product")}
+    _checks = _dq(_fact, _dims["dim_date"], _dims["dim_customer"])
+    for _n, _body in _checks.items():
+        _sql(_n + _suffix, _body, ctes=_more)
+    _sql("quality_checks" + _suffix, " UNION ALL ".join(_checks.values()), ctes=_more)
+    _sql("orphan_keys" + _suffix, _orphans(_fact, _dims), ctes=_more)
+    _sql("relationship_contract" + _suffix, _relationships(_fact, _dims), True, ctes=_more)
+ORACLES["dq_gate"] = ORACLES["quality_checks"]
 _sql("order_dedup", f"SELECT order_id, customer_id, {_s('order_date')}, channel FROM ord", True)
-_sql("relationship_contract", " UNION ALL ".join(
-    f"""SELECT '{many}.{k} -> {one}.{k}' AS relationship, 'orphans' AS kind, COUNT(*) AS failures
-    FROM {src} m LEFT JOIN {one} o ON m.{k} = o.{k} WHERE o.{k} IS NULL
-    UNION ALL SELECT '{many}.{k} -> {one}.{k}', 'duplicates', COUNT(*) - COUNT(DISTINCT {k}) FROM {one}"""
-    for many, src, one, k in (
-        ("fact_sales", "w", "dim_date", "date_key"), ("fact_sales", "w", "dim_customer", "customer_key"),
-        ("fact_sales", "w", "dim_store", "store_key"), ("fact_sales", "w", "dim_product", "product_key"),
-        ("customer_scores", "scores", "dim_customer", "customer_id"))), True)
+
+
+def _contract(damaged: bool = False) -> str:
+    """Every declared column is found with values of its type; the damaged export has a renamed
+    column and texts among its prices."""
+    rows = []
+    for table, schema in GOLD.items():
+        for f in schema.fields:
+            found, bad = "TRUE", "0"
+            if damaged and (table, f.name) == ("dim_product", "brand"):
+                found = "FALSE"
+            if damaged and (table, f.name) == ("dim_product", "list_price"):
+                bad = "(SELECT COUNT(*) FROM dim_product WHERE product_key % 20 = 0)"
+            rows.append(f"SELECT '{table}' AS \"table\", '{f.name}' AS \"column\", TRUE AS declared, {found} AS found, {bad} AS bad_values")
+    if damaged:
+        rows.append("SELECT 'dim_product', 'label', FALSE, TRUE, 0")
+    return f"SELECT *, declared AND found AND bad_values = 0 AS ok FROM ({' UNION ALL '.join(rows)})"
+
+
+_sql("schema_contract", _contract())
+_sql("schema_contract_damaged", _contract(True))
 
 # security
 _sql("rls_static", f"SELECT country, COUNT(*) AS lines FROM w WHERE country = '{COUNTRY}' GROUP BY country")
@@ -501,6 +579,13 @@ _sql("customer_features", f"""SELECT customer_id, recency_days, tenure_days, fre
   avg_discount, online_share, n_categories, return_rate, orders_last_90d, is_corporate, orders_per_month,
   {_d('monetary_12m')} FROM feat""", True)
 _sql("train_test_split", "SELECT customer_id, churned, is_test FROM split", True)
+TERMS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, AVG(ABS((CAST({c} AS DOUBLE) - {m}::DOUBLE) * {w}::DOUBLE)) AS importance "
+    "FROM active SEMI JOIN (SELECT customer_id FROM split WHERE is_test) USING (customer_id)"
+    for c, w, m in zip(*FORMULA_TERMS)
+)
+_sql("attribution_formula", TERMS, True)
+_sql("top_drivers", f"SELECT * FROM ({TERMS}) ORDER BY importance DESC, feature LIMIT 3", True)
 
 
 def _auc(by: str = "") -> str:

@@ -80,10 +80,11 @@ def churn_by_segment(scores: DataFrame) -> DataFrame:
     return rows.orderBy(F.desc("observed_churn_pct"), "segment")
 
 
-def highest_risk_customers(scores: DataFrame, k: int = 100) -> DataFrame:
-    """The top of the score table by probability; ties go by customer_id."""
+def highest_risk_customers(scores: DataFrame, k: int | None = None) -> DataFrame:
+    """The score table by falling probability, ties by customer_id; the first ``k`` where asked for."""
     columns = ("customer_id", "segment", "churn_probability", "recency_days", "monetary")
-    return scores.select(*columns).orderBy(F.desc("churn_probability"), "customer_id").limit(k)
+    rows = scores.select(*columns).orderBy(F.desc("churn_probability"), "customer_id")
+    return rows if k is None else rows.limit(k)
 
 
 def cohort_matrix(cohorts: DataFrame, max_months: int = MAX_MONTHS) -> DataFrame:

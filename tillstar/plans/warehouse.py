@@ -17,6 +17,7 @@ from tillstar.operators import churn
 from tillstar.plans import customers, etl
 from tillstar.session import hadoop_path, materialize, scratch_path
 from tillstar.sources.bound import TABLES, bind_order_lines
+from tillstar.sources.schemas import ORDER_LINES_TEXT
 from tillstar.sources.files import security_map, write_gold, write_order_lines
 from tillstar.star import Star
 
@@ -48,6 +49,10 @@ def formula_probability():
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+# The formula's linear terms: features, weights, centres.
+FORMULA_TERMS = (("recency_days", "return_rate", "orders_last_90d", "online_share"), (0.02, 0.5, -0.25, -0.75), (100.0, 0.25, 1.0, 0.5))
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -76,11 +81,26 @@ class Warehouse:
 
     @cached_property
     def raw_csv(self) -> str:
-        """The order lines as the headered CSV extract the ETL starts from."""
+        """The order lines as the headered CSV extract the ETL starts from: texts padded, nothing staged."""
         path = scratch_path(self.spark, "order-lines-csv")
-        write_order_lines(self.stg, path)
+        lines = bind_order_lines(self.spark, self.sf_dir)
+        padded = {c: F.concat(F.lit("  "), F.col(c), F.lit(" ")) for c in ORDER_LINES_TEXT}
+        write_order_lines(lines.withColumns(padded), path)
         return path
 
+    @cached_property
+    def damaged(self) -> Star:
+        """The star with known faults: what the quality checks must find."""
+        s = self.star
+        turned = F.when(F.col("product_key") % 50 == 0, -F.col("net_revenue")).otherwise(F.col("net_revenue"))
+        return Star(
+            dim_date=s.dim_date.filter(~((F.col("year") == YEAR) & (F.col("month") == 1))),
+            dim_customer=s.dim_customer.filter("customer_key % 7 <> 0").unionAll(s.dim_customer.filter("customer_key <= 3")),
+            dim_store=s.dim_store.filter("store_key <> 2"),
+            dim_product=s.dim_product.filter("product_key % 11 <> 0"),
+            fact_sales=s.fact_sales.filter("store_key <> 1").withColumn("net_revenue", turned.cast("decimal(18,2)")),
+        )
+
     @cached_property
     def base(self) -> customers.Base:
         return customers.prepare(self.star, SNAPSHOT, HORIZON_END, CORPORATE)
@@ -100,6 +120,31 @@ class Warehouse:
     def split(self) -> DataFrame:
         return materialize(churn.train_test_split(self.base.labelled), "split")
 
+    @cached_property
+    def logistic(self):
+        return churn.fit_logistic(self.split.filter(~F.col("is_test")))
+
+    @cached_property
+    def boosted(self):
+        """The boosted model, fitted once per application."""
+        return churn.fit_gbt(self.split.filter(~F.col("is_test")))
+
+    @cached_property
+    def model_metrics(self) -> DataFrame:
+        """Test metrics of both models."""
+        test = self.split.filter("is_test")
+        return materialize(
+            churn.evaluate(churn.with_probability(self.logistic, test), "logistic_regression").unionByName(
+                churn.evaluate(churn.with_probability(self.boosted, test), "gradient_boosting")
+            ),
+            "metrics",
+        )
+
+    @cached_property
+    def drivers(self) -> DataFrame:
+        """Importance of the features for the boosted model."""
+        return materialize(churn.permutation_attribution(self.boosted, self.split.filter("is_test")), "drivers")
+
     @cached_property
     def gold_csv(self) -> str:
         """Every gold table exported as headered CSV."""

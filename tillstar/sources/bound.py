@@ -7,8 +7,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.operators.keys import broadcast_if_small
-
 TABLES = ("region", "nation", "supplier", "part", "customer", "orders", "lineitem")
 
 
@@ -24,9 +22,8 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Dimension-like tables are joined to each other first (nation-region-supplier,
     orders-customer), so the line items are joined three times only. Orders and
     line items both grow with the data: those joins are sort-merge joins, whose
-    hot keys AQE splits. Stores and products are broadcast if counted small;
-    Catalyst's own estimate of a joined side is a product of sizes, too high to
-    broadcast and too late to save the shuffle of the line items.
+    hot keys AQE splits. Whether stores and products are broadcast is left to
+    Catalyst's byte limit and to AQE.
     """
     t = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
     places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
@@ -70,8 +67,8 @@ def bind_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         t["lineitem"]
         .join(headers.hint("merge"), "l_orderkey")
-        .join(broadcast_if_small(stores), "l_suppkey")
-        .join(broadcast_if_small(products), "l_partkey")
+        .join(stores, "l_suppkey")
+        .join(products, "l_partkey")
         .select(
             "order_id", "order_date", "customer_id", "segment", "signup_date",
             "store_name", "city", "state", "country", "channel",

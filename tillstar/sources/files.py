@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar.functions.columns import risk_order
 from tillstar.session import hadoop_path
@@ -16,27 +18,52 @@ from tillstar.sources.schemas import FACT_ON_DISK, GOLD, RAW_ORDER_LINES
 def read_order_lines(
     spark: SparkSession, path: str, schema: StructType = RAW_ORDER_LINES, fmt: str = "csv"
 ) -> DataFrame:
-    """The raw extract: headered CSV with an explicit schema (or parquet)."""
+    """The raw extract: headered CSV with an explicit schema (or parquet).
+
+    A row with another number of fields than the header fails the read, also where a query needs
+    few columns. Quoted fields may hold line breaks only with ``multiLine``, which gives up
+    splitting files; extracts are expected without them.
+    """
     if fmt == "parquet":
         return spark.read.parquet(path)
-    # Doubled quotes are the CSV escape; enforceSchema=False compares the header names.
-    return spark.read.schema(schema).csv(path, header=True, escape='"', enforceSchema=False)
+    return _csv(spark, path, schema, mode="FAILFAST")
+
+
+def read_order_lines_quarantined(spark: SparkSession, path: str, schema: StructType = RAW_ORDER_LINES) -> tuple[DataFrame, DataFrame]:
+    """(good rows, malformed rows as ``record`` text) of the raw CSV extract."""
+    with_text = StructType([*schema.fields, StructField("record", StringType())])
+    rows = _csv(spark, path, with_text, mode="PERMISSIVE", columnNameOfCorruptRecord="record")
+    return rows.filter("record IS NULL").drop("record"), rows.filter("record IS NOT NULL").select("record")
+
+
+def _csv(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
+    # Doubled quotes are the CSV escape; enforceSchema=False compares the header names. Without
+    # column pruning the parser sees whole rows.
+    reader = spark.read.schema(schema).option("columnPruning", False)
+    return reader.csv(path, header=True, escape='"', enforceSchema="record" in schema.names, **options)
+
+
+def read_header(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """An exported CSV table as text, with the columns its own header names."""
+    return spark.read.csv(f"{folder}/{name}", header=True, escape='"')
 
 
 def write_order_lines(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").option("escape", '"').csv(path, header=True)
 
 
-def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> DataFrame:
-    """Export every table; returns (table, path), the manifest.
+def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> DataFrame | None:
+    """Export every table; returns (table, path), None without tables.
 
-    The parquet fact is partitioned by year for pruning and sorted by day
-    within a file for row-group skipping. The rebalance hint lets AQE split a
-    year that holds much of the data and merge small ones, so there is neither
-    one huge task per year nor a file per task and year.
+    The parquet fact is partitioned by year and month, so files of different months never
+    overlap in their days, and sorted by day within a file for row-group skipping. The
+    rebalance hint lets AQE split a month that holds much of the data and merge small
+    ones in a task.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError("fmt must be 'parquet' or 'csv'")
+    if not tables:
+        return None
     spark = None
     for name, df in tables.items():
         spark = df.sparkSession
@@ -46,27 +73,57 @@ def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
             writer = df.select(*contract).write.mode("overwrite").option("escape", '"')
             writer.csv(path, header=True)
         elif name == "fact_sales":
-            by_year = df.select(*contract, F.floor(F.col("date_key") / 10000).cast("int").alias("year"))
-            laid_out = by_year.hint("rebalance", F.col("year")).sortWithinPartitions("year", "date_key")
-            laid_out.write.mode("overwrite").partitionBy("year").parquet(path)
+            month = F.floor(F.col("date_key") / 100).cast("int")
+            placed = df.select(*contract, F.floor(month / 100).cast("int").alias("year"), month.alias("year_month_key"))
+            laid_out = placed.hint("rebalance", F.col("year_month_key")).sortWithinPartitions("year_month_key", "date_key")
+            laid_out.write.mode("overwrite").partitionBy("year", "year_month_key").parquet(path)
         else:
             df.select(*contract).write.mode("overwrite").parquet(path)
     rows = [(name, f"{folder}/{name}") for name in tables]
     return spark.createDataFrame(rows, "`table` string, path string")
 
 
-def move_table(spark: SparkSession, source: str, target: str) -> None:
-    """Publish finished files under another name, replacing what is there."""
-    fs, src = hadoop_path(spark, source)
-    _, dst = hadoop_path(spark, target)
-    fs.delete(dst, True)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"cannot move {source} to {target}")
+def new_version(folder: str) -> str:
+    """A folder beside the published ones that nobody reads yet."""
+    return f"{folder.rstrip('/')}/versions/{uuid.uuid4().hex[:12]}"
+
+
+def _manifests(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    fs, path = hadoop_path(spark, f"{folder.rstrip('/')}/manifests")
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    found = [re.fullmatch(r"(\d{9})-([0-9a-f]+)", n) for n in names]
+    return sorted((int(m[1]), m[2]) for m in found if m)
+
+
+def publish(spark: SparkSession, folder: str, version: str, keep: int = 2) -> None:
+    """Make a finished version the one that readers of ``folder`` get.
+
+    One empty file named after the version is created last; no data is moved, so a failure
+    before it leaves the old version published whole. Readers that opened an older version
+    keep its files until ``keep`` newer ones exist.
+    """
+    root, done = folder.rstrip("/"), _manifests(spark, folder)
+    number = done[-1][0] + 1 if done else 1
+    fs, manifests = hadoop_path(spark, f"{root}/manifests")
+    fs.mkdirs(manifests)
+    _, mark = hadoop_path(spark, f"{root}/manifests/{number:09d}-{version.rpartition('/')[2]}")
+    fs.create(mark, False).close()
+    for old, name in done[: len(done) + 1 - keep]:
+        for gone in (f"{root}/manifests/{old:09d}-{name}", f"{root}/versions/{name}"):
+            fs.delete(hadoop_path(spark, gone)[1], True)
+
+
+def published(spark: SparkSession, folder: str) -> str:
+    """The published version's folder; ``folder`` itself where tables lie in it directly."""
+    done = _manifests(spark, folder)
+    return f"{folder.rstrip('/')}/versions/{done[-1][1]}" if done else folder
 
 
 def read_gold(spark: SparkSession, folder: str, name: str, fmt: str = "csv") -> DataFrame:
-    """A gold table with its declared column types."""
+    """A gold table with its declared column types, of the published version."""
+    folder = published(spark, folder)
     if fmt == "parquet":
         schema = FACT_ON_DISK if name == "fact_sales" else GOLD[name]
         return spark.read.schema(schema).parquet(f"{folder}/{name}")

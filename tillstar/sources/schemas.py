@@ -48,8 +48,8 @@ GOLD: dict[str, StructType] = {
     "cohort_retention": _schema(cohort=TEXT, months_since_first=INT, retention_pct=DOUBLE),
 }
 
-# The parquet fact also has the partition column.
-FACT_ON_DISK = StructType([*GOLD["fact_sales"].fields, StructField("year", INT)])
+# The parquet fact also has the partition columns: year, and year x 100 + month.
+FACT_ON_DISK = StructType([*GOLD["fact_sales"].fields, StructField("year", INT), StructField("year_month_key", INT)])
 
 # (from table, column) -> (to table, column): many-to-one, single direction.
 RELATIONSHIPS = {

@@ -39,10 +39,14 @@ class Star:
     def tables(self) -> dict[str, DataFrame]:
         return {**self.dims(), "fact_sales": self.fact_sales}
 
+    def narrowed(self, name: str, members: DataFrame) -> Star:
+        """Narrow a dimension to ``members``; the filter flows to the fact."""
+        key = self.KEYS[name]
+        fact = self.fact_sales.join(members.select(key), key, "left_semi")
+        return replace(self, **{name: members}, fact_sales=fact.select(*self.fact_sales.columns))
+
     def with_stores(self, stores: DataFrame) -> Star:
-        """Narrow the store dimension; the filter flows to the fact."""
-        fact = self.fact_sales.join(stores.select("store_key"), "store_key", "left_semi")
-        return replace(self, dim_store=stores, fact_sales=fact.select(*self.fact_sales.columns))
+        return self.narrowed("dim_store", stores)
 
     def sales(self, *columns: str) -> DataFrame:
         """Fact rows with the dimension columns asked for.
