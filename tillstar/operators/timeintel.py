@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.columns import blank_if_zero, blank_sub, ratio
 from tillstar.operators.measures import ADDITIVE, DISTINCT, MEASURES, Measure, bases_of, first_purchases
+from tillstar.session import materialize
 
 # New customers add up over the first-purchase rows, which count like lines.
 NEW_CUSTOMERS = Measure(("lines",), lambda b: b["lines"])
@@ -36,6 +37,7 @@ CUMULATIVE = (*TO_DATE, "Running Total", "3M Total")
 DERIVED = {"YoY": ("Current", "PY"), "YoY %": ("Current", "PY"), "MoM %": ("Current", "PM"), "3M Avg": ("3M Total",)}
 # The items of the calculation group in display order.
 CALC_GROUP = ("Current", "PY", "YoY", "YoY %", "MTD", "QTD", "YTD", "FYTD")
+_MONTHS = {"month": 1, "quarter": 3, "year": 12}
 GRAINS = ("day", "month", "quarter", "year", "fiscal_year")
 
 
@@ -88,6 +90,13 @@ class _Axis:
             return at, at + 1
         return self._forward(at, months), self._forward(at + 1, months)
 
+    def aligned(self, months: int) -> bool:
+        """Whether a shift moves whole periods onto whole periods of the calendar (whole years)."""
+        return self.grain in _MONTHS and months % _MONTHS[self.grain] == 0
+
+    def periods(self, months: int) -> int:
+        return months // _MONTHS[self.grain]
+
     def leave(self, at: Column, calc: str) -> Column:
         """First position at which ``at`` no longer counts."""
         m = self._month(at)
@@ -179,6 +188,20 @@ def _shift(axis: _Axis, items: Sequence[str], frame: DataFrame) -> DataFrame:
     return moved.select(*rest, F.col("seen.calc").alias("calc"), axis.period(F.col("seen.step")).alias("p"))
 
 
+def _cells(axis: _Axis, frame: DataFrame, by: Sequence[str], additive: Sequence[str], distinct: Sequence[str]) -> DataFrame:
+    """The one pass over the facts: a row per (by, position), and per identifier where
+    distinct counts are asked for. Written, as every item starts from it."""
+    ids = [DISTINCT[b]().alias(f"id_{b}") for b in distinct]
+    rows = frame.select(*by, axis.atom().alias("at"), *ids, "is_returned", *[ADDITIVE[b]().alias(f"_{b}") for b in additive])
+    # _kept / _all: rows behind each base, so that a sum of 0 differs from no rows.
+    sums = [
+        *[F.coalesce(F.sum(f"_{b}"), F.lit(0)).alias(f"_{b}") for b in additive],
+        F.count_if(~F.col("is_returned")).alias("_kept"),
+        F.count("*").alias("_all"),
+    ]
+    return materialize(rows.groupBy(*by, "at", *[f"id_{b}" for b in distinct]).agg(*sums), "cells")
+
+
 def time_calc(
     frame: DataFrame,
     bounds: tuple[dt.date, dt.date],
@@ -213,19 +236,11 @@ def time_calc(
     shifts = [c for c in SHIFTS if c in needed]
     sweeps = [c for c in CUMULATIVE if c in needed]
     pieces: list[DataFrame] = []
+    values = [*[f"_{b}" for b in additive], "_kept", "_all"] if additive else []
+    cells = _cells(axis, frame, by, additive, distinct)
 
     if additive:
-        # _kept / _all: rows behind each base, so that a sum of 0 differs from no rows.
-        atoms = (
-            frame.select(*by, axis.atom().alias("at"), "is_returned", *[ADDITIVE[b]().alias(f"_{b}") for b in additive])
-            .groupBy(*by, "at")
-            .agg(
-                *[F.coalesce(F.sum(f"_{b}"), F.lit(0)).alias(f"_{b}") for b in additive],
-                F.count_if(~F.col("is_returned")).alias("_kept"),
-                F.count("*").alias("_all"),
-            )
-        )
-        values = [*[f"_{b}" for b in additive], "_kept", "_all"]
+        atoms = cells if not distinct else cells.groupBy(*by, "at").agg(*[F.sum(v).alias(v) for v in values])
         if shifts:
             moved = _shift(axis, shifts, atoms)
             pieces.append(moved.groupBy(*by, "calc", "p").agg(*[F.sum(v).alias(v) for v in values]))
@@ -233,19 +248,24 @@ def time_calc(
             pieces.append(_sweep(axis, _steps(axis, sweeps, atoms, by, False), by, values))
 
     for b in distinct:
-        ids = (
-            frame.select(*by, axis.atom().alias("at"), DISTINCT[b]().alias("id"))
-            .filter(F.col("id").isNotNull())
-            .distinct()
-        )
-        if shifts:
-            moved = _shift(axis, shifts, ids)
+        ids = cells.select(*by, "at", F.col(f"id_{b}").alias("id")).filter(F.col("id").isNotNull())
+        ids = ids.repartition(*by, "id").distinct()  # placed once, for the distinct and for the window below
+        aligned = [c for c in shifts if axis.aligned(SHIFTS[c])]
+        if aligned:
+            per = ids.select(*by, axis.period(F.col("at")).alias("p"), "id").distinct().groupBy(*by, "p").agg(F.count("*").alias(f"_{b}"))
+            moves = [F.struct(F.lit(c).alias("calc"), F.lit(axis.periods(SHIFTS[c])).alias("on")) for c in aligned]
+            ends = axis.period(F.lit(axis.first)), axis.period(F.lit(axis.last))
+            moved = per.withColumn("m", F.explode(F.array(*moves))).select(*by, "m.calc", (F.col("p") + F.col("m.on")).alias("p"), f"_{b}")
+            pieces.append(moved.filter(F.col("p").between(*ends)))
+        other = [c for c in shifts if c not in aligned]
+        if other:
+            moved = _shift(axis, other, ids)
             pieces.append(moved.groupBy(*by, "calc", "p").agg(F.count_distinct("id").alias(f"_{b}")))
         if sweeps:
+            # When an identifier leaves depends on its day and its next day only: count these pairs first.
             again = Window.partitionBy(*by, "id").orderBy("at")
-            occurrences = ids.withColumn("next_at", F.lead("at").over(again)).withColumn(f"_{b}", F.lit(1))
-            steps = _steps(axis, sweeps, occurrences.drop("id"), by, True)
-            pieces.append(_sweep(axis, steps, by, [f"_{b}"]))
+            spans = ids.withColumn("next_at", F.lead("at").over(again)).groupBy(*by, "at", "next_at").agg(F.count("*").alias(f"_{b}"))
+            pieces.append(_sweep(axis, _steps(axis, sweeps, spans, by, True), by, [f"_{b}"]))
 
     long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
 
