@@ -121,7 +121,9 @@ def test_near_duplicates_in_a_large_list(spark):
     assert plain(got) == plain(brute.near_duplicates(rows, 2))
 
 
-def test_contaminated(spark):
+@pytest.mark.parametrize("limit", [64 << 20, 0])
+def test_contaminated(spark, monkeypatch, limit):
+    monkeypatch.setattr("tillstar.llm.common.BROADCAST_BYTES", limit)
     rnd = random.Random(8)
     items = [(i, _sentence(rnd, rnd.randrange(12, 40)).capitalize() + ".") for i in range(6)] + [(6, None), (7, "too few words"), (8, "")]
     rows = odd(sample())
