@@ -488,7 +488,12 @@ def _(w):
 
 @query("top_drivers")
 def _(w):
-    return churn.top_drivers(churn.linear_terms(w.split.filter("is_test"), *FORMULA_TERMS), 3)
+    return churn.top_drivers(_formula_terms(w), 3)
+
+
+def _formula_terms(w: Warehouse) -> DataFrame:
+    found = churn.linear_terms(w.split.filter("is_test"), *FORMULA_TERMS)
+    return found.select("feature", F.round("importance", 8).alias("importance"))
 
 
 # ---------------------------------------------------------------- quality
@@ -702,7 +707,7 @@ def _(w):
 
 @query("attribution_formula")
 def _(w):
-    return churn.linear_terms(w.split.filter("is_test"), *FORMULA_TERMS)
+    return _formula_terms(w)
 
 
 @query("attribution_permutation")

@@ -49,7 +49,8 @@ def read_header(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def write_order_lines(lines: DataFrame, path: str) -> None:
-    lines.write.mode("overwrite").option("escape", '"').csv(path, header=True)
+    writer = lines.write.mode("overwrite").option("escape", '"')
+    writer.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> DataFrame | None:
