@@ -335,7 +335,9 @@ def occurrences(docs: DataFrame, span: int = SPAN, gram: int = GRAM, hot: int =
     prefix that occurs more often, so all places of a node are those of its subtree."""
     every = materialize(segments(docs, span, gram), "segments")
     shared = every.groupBy("anchor").agg(F.count("*").alias("c"), (F.min("seg") != F.max("seg")).alias("differ")).where("c > 1")
-    again = materialize(every.join(shared.drop("c"), "anchor"), "again")
+    # Written before the join, so that Spark can split a hot anchor's side of it.
+    shared = materialize(shared.select("anchor", "differ"), "shared")
+    again = materialize(every.join(shared, "anchor"), "again")
     delete(every)
     # One place of each different segment, where an anchor has several; and how often each occurs.
     place = F.struct("doc_id", "th", "lo", "n")
