@@ -73,14 +73,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
     seeds = materialize(items.select("item", "k", F.explode(F.array_distinct("sh")).alias("h")), "seeds")
     rows = row_keyed(docs)
     # The outer form keeps Spark from computing the array once more to test whether it is empty.
-    every = with_shingles(rows, words).select("doc_id", "th", F.size("sh").alias("n"), F.posexplode_outer("sh").alias("p", "h"))
-    hits = every.join(_small(seeds, 48), "h")
+    shingled = with_shingles(rows, words)
+    every = shingled.select("doc_id", "th", F.size("sh").alias("n"), "sh", F.posexplode_outer("sh").alias("p", "h"))
     start = F.greatest(F.lit(0), F.least(F.col("p"), F.col("n") - F.col("k")))
-    starts = hits.select("doc_id", "th", F.struct("item", "k", start.alias("start")).alias("w")).groupBy("doc_id", "th").agg(F.collect_set("w").alias("ws"))
-    starts = materialize(starts, "starts")
-    held = with_shingles(null_safe(rows, starts, ["doc_id", "th"], "inner").distinct(), words)
-    windows = held.select("doc_id", "th", "sh", F.explode("ws").alias("w"))
-    windows = windows.select("doc_id", "th", "w.item", "w.start", F.expr("slice(sh, w.start + 1, w.k)").alias("win"))
+    if fits(seeds, 48):
+        # Seeds are looked up where the text is read; a hit takes its window along, and no text is shuffled.
+        hits = every.join(F.broadcast(seeds), "h").withColumn("start", start)
+        windows = hits.select("doc_id", "th", "item", "start", F.expr("slice(sh, start + 1, k)").alias("win")).dropDuplicates(["doc_id", "th", "item", "start"])
+    else:
+        hits = every.drop("sh").join(seeds, "h")
+        starts = hits.select("doc_id", "th", F.struct("item", "k", start.alias("start")).alias("w")).groupBy("doc_id", "th").agg(F.collect_set("w").alias("ws"))
+        held = with_shingles(null_safe(rows, starts, ["doc_id", "th"], "inner").distinct(), words)
+        windows = held.select("doc_id", "th", "sh", F.explode("ws").alias("w"))
+        windows = windows.select("doc_id", "th", "w.item", "w.start", F.expr("slice(sh, w.start + 1, w.k)").alias("win"))
     windows = materialize(windows, "windows").withColumn("wfp", _fingerprint("win"))
     index = items.select("item", F.explode(_blocks("fp", radius)).alias("x")).select("item", "x.*")
     probes = windows.select("doc_id", "th", "item", "start", "wfp", F.explode(_blocks("wfp", radius)).alias("x")).select("*", "x.*").drop("x")
