@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tillstar.functions.columns import risk_order
-from tillstar.session import hadoop_path
+from tillstar.session import hadoop_path, materialize
 from tillstar.sources.schemas import FACT_ON_DISK, GOLD, RAW_ORDER_LINES
 
 
@@ -30,9 +30,9 @@ def read_order_lines(
 
 
 def read_order_lines_quarantined(spark: SparkSession, path: str, schema: StructType = RAW_ORDER_LINES) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed rows as ``record`` text) of the raw CSV extract."""
+    """(good rows, malformed rows as ``record`` text) of the raw CSV extract, parsed once."""
     with_text = StructType([*schema.fields, StructField("record", StringType())])
-    rows = _csv(spark, path, with_text, mode="PERMISSIVE", columnNameOfCorruptRecord="record")
+    rows = materialize(_csv(spark, path, with_text, mode="PERMISSIVE", columnNameOfCorruptRecord="record"), "parsed")
     return rows.filter("record IS NULL").drop("record"), rows.filter("record IS NOT NULL").select("record")
 
 
