@@ -36,7 +36,7 @@ from tillstar.llm.common import pieces
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Units a task remembers between blocks.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 _MODEL_LIMIT = 32 << 20
 
 
@@ -225,6 +225,8 @@ class Encoder:
         index, counts, names = self._marked(texts)
         if len(self.memory) > REMEMBERED:
             self.memory.clear()
+        if len(self.vocabulary.apart) > REMEMBERED:
+            self.vocabulary.apart.clear()
         self._learn([w for w in names if w not in self.memory])
         coded = [self.memory[w] for w in names]
         flat = np.frombuffer(b"".join(coded), np.int32)
@@ -281,7 +283,7 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", ids: str = "
 
     def work(batches):
         encoder = Encoder(data)
-        for batch in pieces(batches, 16 << 20, text):
+        for batch in pieces(batches, 8 << 20, text):
             column = encoder.encode(batch.column(batch.schema.get_field_index(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, ids])
 
