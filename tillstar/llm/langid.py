@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import SPACES, Texts, pieces, table_batch
 
 BITS, DIM, EPOCHS, RATE = 16, 16, 6, 0.5
-PER_LANGUAGE, TRAIN_BYTES, REJECT_RATE = 1000, 1 << 17, 0.001
+MIN_STEPS = 12_000  # a small sample is passed over more often
+PER_LANGUAGE, TRAIN_BYTES, REJECT_RATE = 700, 1 << 15, 0.001
 UNKNOWN = "und"
+_TOGETHER = 100
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[ord("A") : ord("Z") + 1] += 32
@@ -89,25 +91,27 @@ def train(texts: list[bytes], labels: list[str], reject_rate: float = REJECT_RAT
     languages = sorted(set(labels))
     y = np.array([languages.index(x) for x in labels])
     held = np.arange(len(texts)) % 5 == 4
-    packed = Texts(pa.array(texts, pa.binary()))
-    buckets, counts = subwords(packed)
-    ends = np.cumsum(counts)
+    found: list[np.ndarray] = []
+    for at in range(0, len(texts), _TOGETHER):  # few texts at once: only their buckets stay
+        buckets, counts = subwords(Texts(pa.array(texts[at : at + _TOGETHER], pa.binary())))
+        found += [part.copy() for part in np.split(buckets, np.cumsum(counts)[:-1])]
     rng = np.random.default_rng(seed)
     size = (2 << BITS) + 1
     embed = rng.uniform(-1.0 / DIM, 1.0 / DIM, (size, DIM)).astype(np.float32)
     embed[-1] = 0
     weights = np.zeros((DIM, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    order = np.flatnonzero(~held & (counts > 0))
-    steps, step = max(1, EPOCHS * len(order)), 0
-    for _ in range(EPOCHS):
+    order = np.flatnonzero(~held & (np.array([len(f) for f in found]) > 0))
+    epochs = max(EPOCHS, -(-MIN_STEPS // max(1, len(order))))
+    steps, step = max(1, epochs * len(order)), 0
+    for _ in range(epochs):
         for i in rng.permutation(order):
-            first, last = ends[i] - counts[i], ends[i]
+            first, last = 0, len(found[i])
             if rng.random() < 0.5:  # a short part, so that short texts are learned too
                 part = 2 * int(rng.integers(8, 200))
                 first = first + 2 * int(rng.integers(0, max(1, (last - first - part) // 2 + 1)))
                 last = min(last, first + part)
-            index, times = np.unique(buckets[first:last], return_counts=True)
+            index, times = np.unique(found[i][first:last], return_counts=True)
             share = (times / times.sum()).astype(np.float32)
             hidden = share @ embed[index]
             z = hidden @ weights + bias
@@ -123,8 +127,9 @@ def train(texts: list[bytes], labels: list[str], reject_rate: float = REJECT_RAT
     embed[-1] = 0
     model = Model(languages, (embed @ weights).astype(np.float32), bias.astype(np.float64))
     if held.any():
-        check = Texts(pa.array([t for t, h in zip(texts, held, strict=True) if h], pa.binary()))
-        logits, truth = model.logits(check), y[held]
+        check = [t for t, h in zip(texts, held, strict=True) if h]
+        parts = [Texts(pa.array(check[at : at + _TOGETHER], pa.binary())) for at in range(0, len(check), _TOGETHER)]
+        logits, truth = np.concatenate([model.logits(p) for p in parts]), y[held]
         rows = np.arange(len(truth))
 
         def loss(t: float) -> float:
