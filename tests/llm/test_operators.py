@@ -100,7 +100,7 @@ def test_line_dedup(spark, batches, fanout):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
 
 
-@pytest.mark.parametrize(("words", "k"), [(4, 32), (5, 32)])
+@pytest.mark.parametrize(("words", "k"), [(4, 64), (5, 64)])
 def test_near_duplicates(spark, words, k):
     rows = odd(sample())
     got = near_duplicates(frame(spark, rows), words=words, k=k).select("doc_id", "n_shingles", "component_id", "kept").collect()

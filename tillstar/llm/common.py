@@ -19,8 +19,9 @@ BROADCAST_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """SQL settings of these jobs: shuffle files go when a job has ended."""
+    """SQL settings of these jobs; shuffle files go when a job has ended."""
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # bounds what a Python worker holds
     return tune(spark)
 
 
@@ -111,19 +112,23 @@ def components(links: DataFrame) -> DataFrame:
     smallest one, which keeps the number of links and halves the distances. Each step is
     written, so that a lost executor costs one step. Nodes are comparable (numbers or structs).
     """
-    edges, mark = materialize(links.select("a", "b").where("a <> b").distinct(), "links"), None
-    while True:
+    edges = materialize(links.select("a", "b").where("a <> b").distinct(), "links")
+    while _open(edges):
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lows = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        lows = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         large = both.where("b > a").join(lows, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
         tops = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(tops, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(tops.selectExpr("a", "m as b"))
         new = materialize(small.where("a <> b").distinct(), "links")
         delete(edges)
-        edges, before = new, mark
-        mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.hash("a", "b"))).first()
-        if mark == before:
-            break
+        edges = new
     nodes = edges.selectExpr("a as node", "b as component")
     return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def _open(edges: DataFrame) -> bool:
+    """Whether some node is not a leaf of one top, or a top of leaves."""
+    roles = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), (F.col("b") > F.col("a")).cast("int").alias("down"))
+    roles = roles.unionAll(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    wrong = roles.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 OR (up > 0 AND down > 0)")
+    return wrong.count() > 0

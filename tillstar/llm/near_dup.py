@@ -6,7 +6,7 @@ A document is the set of its hashed word shingles. Equal sets form a class. A cl
 one's rarest ``k - least + 1`` values: only those enter the inverted lists, and values that
 very many documents hold stay out of them. Members of a list are compared with hubs of the list, in rounds:
 links found merge components, lists that lie in one component are done, and a list with open
-members gets twice as many other hubs in the next round, so that every two members of a list end in
+members gets more, other hubs in the next round, so that every two members of a list end in
 one component or have been compared. A compared pair must pass the estimate from the union
 of both sketches, then exact similarity on the full sets.
 
@@ -18,6 +18,8 @@ largest and a component of such rows alone has a null id; an empty table gives a
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,10 +29,9 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import components, pieces, row_keyed, table_batch
 from tillstar.session import materialize
 
-K, PERCENT, WORDS = 32, 80, 5
+K, PERCENT, WORDS = 64, 80, 5
 #: Share of the retained values that a linked pair has in common but for a chance below 1e-8.
-LEAST = 0.3
-HUBS = 8
+LEAST = 0.47
 _NO_ID = (1 << 63) - 1
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
@@ -103,14 +104,18 @@ def full_sets(rows: DataFrame, words: int) -> DataFrame:
     return rows.select("rep", "d1", "text").mapInArrow(work, schema)
 
 
-def inverted_lists(classes: DataFrame, k: int, least: float) -> DataFrame:
+def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> DataFrame:
     """``v, rep, d1, n``: each class under its rarest retained values that another class holds too."""
     values = classes.select("rep", "d1", "n", F.explode("sketch").alias("v"))
-    shared = values.join(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "v")
+    # Written before the join, so that Spark can split a hot value's side of it.
+    counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "counts")
+    shared = values.join(counts, "v")
     kept = F.least(F.col("n"), F.lit(k))
+    # A set so small that its partners are retained whole too has `percent` of itself in common with them.
+    needed = F.when(100 * F.col("n") <= percent * k, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(kept * least))
     rarest = shared.groupBy("rep", "d1", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
     # values that no other class holds are the rarest and take the first places
-    room = kept - F.ceil(kept * least).cast("int") + 1 - (kept - F.size("vs"))
+    room = kept - needed.cast("int") + 1 - (kept - F.size("vs"))
     return rarest.select("rep", "d1", "n", F.explode(F.slice("vs", 1, F.greatest(room, F.lit(0)))).alias("x")).select("x.v", "rep", "d1", "n")
 
 
@@ -124,28 +129,34 @@ def verified(pairs: DataFrame, sets: DataFrame, k: int, percent: int, least: flo
     both = pairs.join(brief.toDF("a", "sa"), "a").join(brief.toDF("b", "sb"), "b")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
-    likely = materialize(both.where(common >= least * F.size(union)).select("a", "b"), "likely")
+    # Two sets that are retained whole and give a short union are compared exactly here.
+    whole = (F.size("sa") < k) & (F.size("sb") < k) & (F.size(union) < k)
+    enough = F.when(whole, percent / 100 - 1e-9).otherwise(least)
+    likely = materialize(both.where(common >= enough * F.size(union)).select("a", "b"), "likely")
     whole = sets.select(_node().alias("node"), "shingles")
     both = likely.join(whole.toDF("a", "sa"), "a").join(whole.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def links(lists: DataFrame, sets: DataFrame, k: int, percent: int, least: float, hubs: int = HUBS) -> DataFrame | None:
-    """``node, component`` of the linked classes, None without any link."""
-    open_, found, comps = lists, None, None
+def links(lists: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame | None:
+    """``node, component`` of the linked classes, None without any link.
+
+    A list's first hub is its member with the smallest hash, so lists with nearly the same members share
+    their hub and its comparisons. Later rounds take other members by hash, sixteen times as many each."""
+    open_, comps, hubs = lists.select("v", "n", _node().alias("node")), None, 1
     while True:
-        named = open_.select("v", "n", _node().alias("node"))
-        if comps is None:
-            named = named.withColumn("comp", F.col("node"))
-        else:
-            named = named.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        # lists with members of several components
-        spread = named.groupBy("v").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        spread = spread.where("lo <> hi").select("v", "size")
-        place = F.pmod(F.xxhash64("v", "node", F.lit(hubs)), F.lit(1 << 30)) / float(1 << 30)
-        hub = (F.col("size") <= 2 * hubs) | (place < hubs / F.col("size"))
-        marked = materialize(named.join(spread, "v").withColumn("hub", hub), "marked")
+        named = open_.withColumn("comp", F.col("node"))
+        if comps is not None:
+            named = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+        place = F.xxhash64(F.lit(hubs), "node")
+        named = named.withColumn("place", place)
+        spread = named.groupBy("v").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("place").alias("first"))
+        spread = spread.where("lo <> hi").select("v", "size", "first")  # lists with members of several components
+        hub = F.col("place") == F.col("first")
+        if hubs > 1:
+            hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("place", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
+        marked = materialize(named.join(spread, "v").select("v", "n", "node", "comp", hub.alias("hub")), "marked")
         if marked.isEmpty():
             return comps
         heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
@@ -154,10 +165,11 @@ def links(lists: DataFrame, sets: DataFrame, k: int, percent: int, least: float,
         pairs = pairs.where(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = materialize(verified(pairs, sets, k, percent, least), "verified")
-        found = new if found is None else found.unionAll(new)
-        comps = components(found)
-        open_ = marked.where("not hub").select("v", "node.rep", "node.d1", "n")
-        hubs *= 2
+        if not new.isEmpty():
+            known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+            comps = components(reduce(DataFrame.unionAll, known, new))
+        open_ = marked.where("not hub").select("v", "n", "node")
+        hubs *= 16
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, k: int = K, least: float = LEAST) -> DataFrame:
@@ -167,7 +179,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"), F.col("th"))).alias("first")
     classes = filled.groupBy("d1", "d2").agg(first, F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = materialize(classes.select("d1", "d2", "first.rep", "first.th", "n", "sketch"), "classes")
-    lists = inverted_lists(classes, k, least)
+    lists = inverted_lists(classes, k, percent, least)
     lists = materialize(lists, "lists")
     wanted = lists.select("rep", "d1").distinct().join(classes.select("rep", "d1", "th"), ["rep", "d1"])
     keyed = row_keyed(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"), "th", "text")
