@@ -173,6 +173,80 @@ def test_licenses(spark):
     assert {r["licenses"] for r in got} >= {"BSD-3-Clause:1", "BSD-2-Clause:1", "MIT:1;all rights reserved:1"}
 
 
+_MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE.
+"""
+_APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+_GPL2 = """ * This program is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License
+ * as published by the Free Software Foundation; either version 2
+ * of the License, or (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+"""
+_BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+_MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_published_licenses(spark):
+    want = {
+        _MIT: ("ghi", "MIT:1"), _APACHE: ("xbcde", "Apache-2.0:1"), _GPL2: ("Al", "GPL-2.0-or-later:1"), _BSD: ("mno", "BSD-2-Clause:1"),
+        _MPL: ("IK", "MPL-2.0:1"), _ISC: ("L", "ISC:1"), _MIT.replace("\n", "\r\n"): ("ghi", "MIT:1"), _BSD + "\n" + _MIT: ("mnoghi", "MIT:1;BSD-2-Clause:1"),
+        "// SPDX-License-Identifier: MIT\nint x;": ("t", "MIT:1"), "# SPDX-License-Identifier: Apache-2.0": ("u", "Apache-2.0:1"),
+        "All rights\n\nreserved": ("", ""), "All rights.\nreserved": ("", ""), "All rights\nreserved by\nall": ("", ""), "\n" * 50_000 + "All\nrights\nreserved" + " \n" * 50_000: ("w", "all rights reserved:1"),
+        **{f"x\nSPDX-License-Identifier: {name}\n\ny": (k, f"{name}:1") for k, (name, v) in licenses.MORE.items() if v.startswith("spdx")},
+    }
+    texts = list(want)
+    got = licenses.scan(frame(spark, list(enumerate(texts)))).collect()
+    assert {texts[r["doc_id"]]: (r["identifiers"], r["licenses"]) for r in got} == want
+
+
 def test_langid(spark):
     rnd = random.Random(4)
     stems = {"aa": "the ing tion of and", "bb": "schen ung keit der und", "cc": "eau aux ment de la"}

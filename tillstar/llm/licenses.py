@@ -1,21 +1,27 @@
 """Licence scan by sentence rules.
 
-Every text is cut into sentences, which are normalised (lower case, runs of other than a-z and 0-9 as one
-space) and looked up among known licence sentences. A document's hits, in text order, form a sequence of
+Every text is cut into parts, which are normalised (lower case, runs of other than a-z and 0-9 as one
+space). A known licence sentence is a hit where it is one part or several successive ones: a single line break, a
+colon and a semicolon may stand inside it, so hard-wrapped texts (with comment signs as well) and SPDX tags are
+found; a stop and a blank line may not. Of the sentences that start at a part the longest counts.
+A document's hits, in text order, form a sequence of
 identifiers, and ordered rules are matched against it: a rule is a sequence of identifiers that may
 stand ``GAP`` hits apart; what a rule has matched is gone for the rules after it, so complete licence
 texts come before their parts and short notices.
 
 Defined cases: null and empty texts have no hits; a sentence that occurs n times counts n times; rows are
-documents; an empty table gives an empty result; other columns are ignored.
+documents; an empty table gives an empty result; other columns are ignored. The SQL twin looks up single parts
+among ``SENTENCES`` and ``RULES``; it does not know ``MORE`` and sentences over several parts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import groupby
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import null_safe, row_keyed
+from tillstar.llm.common import row_keyed
 
 GAP = 2
 #: Where a sentence ends: a stop before white space or the end, or a line break.
@@ -59,35 +65,88 @@ RULES = (
 )
 
 
+_GNU = "is free software you can redistribute it and or modify it under the terms of the gnu"
+_FSF = "general public license as published by the free software foundation"
+_LATER = "of the license or at your option any later version"
+_SPDX = (
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "ISC", "0BSD", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "BSD-2-Clause", "BSD-3-Clause",
+    "Unlicense",
+)
+#: Further sentences of common licences as published, with the licence they stand for; "" for none by themselves.
+_PUBLISHED = (
+    ("GPL-2.0-or-later", f"this program {_GNU} {_FSF} either version 2 {_LATER}"),
+    ("GPL-2.0-only", f"this program {_GNU} general public license version 2 as published by the free software foundation"),
+    ("GPL-2.0-only", f"this program {_GNU} {_FSF} version 2 of the license"),
+    ("LGPL-2.1-or-later", f"this library {_GNU} lesser {_FSF} either version 2 1 {_LATER}"),
+    ("LGPL-3.0-or-later", f"this program {_GNU} lesser {_FSF} either version 3 {_LATER}"),
+    ("LGPL-3.0-or-later", f"this library {_GNU} lesser {_FSF} either version 3 {_LATER}"),
+    ("AGPL-3.0-or-later", f"this program {_GNU} affero {_FSF} either version 3 {_LATER}"),
+    ("", "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    # The published text has "v. 2.0": its stop ends the sentence.
+    ("MPL-2.0", "this source code form is subject to the terms of the mozilla public license v"),
+    ("MPL-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("MPL-2.0", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    ("ISC", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("0BSD", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("CC0-1.0", "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    ("CC0-1.0", "cc0 1 0 universal"),
+    ("CC-BY-SA-4.0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("CC-BY-SA-4.0", "this work is licensed under cc by sa 4 0"),
+    ("CC-BY-4.0", "this work is licensed under cc by 4 0"),
+)
+_NAMED = (*_PUBLISHED, *((name, "spdx license identifier " + name.lower().replace("-", " ").replace(".", " ")) for name in _SPDX))
+MORE = dict(zip("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789yz", _NAMED, strict=True))
+#: Their rules: texts of several sentences first, then each sentence alone.
+MORE_RULES = (
+    ("GPL-2.0-or-later", "Al"), ("GPL-2.0-only", "Bl"), ("GPL-2.0-only", "Cl"), ("LGPL-2.1-or-later", "DH"), ("LGPL-3.0-or-later", "El"),
+    ("LGPL-3.0-or-later", "FH"), ("AGPL-3.0-or-later", "Gl"), ("MPL-2.0", "IJ"), ("MPL-2.0", "IK"), ("ISC", "LN"), ("ISC", "MN"), ("0BSD", "ON"),
+    *((name, k) for k, (name, _) in MORE.items() if name),
+)
+
+_BLANK = r"[\x20\x09-\x0D]"
+#: Sentence ends: signs that may stand inside a known sentence (one break), stops (a blank line).
+_WITHIN, _STOP = rf"(?<![.!?:;])[:;]++({_BLANK}++|$)", rf"(?<![.!?:;])[.!?:;]++({_BLANK}++|$)"
+
+
 def pattern(identifiers: str) -> str:
     """A rule as a pattern over identifiers; it takes the hits in its gaps with it."""
     return f"[a-z]{{0,{GAP}}}?".join(identifiers)
 
 
+def normalised(text: Column) -> Column:
+    """The normalised parts of a text as lines; an empty line where a known sentence cannot go on."""
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), _WITHIN, "\n"), _STOP, "\n\n")
+    return F.btrim(F.regexp_replace(F.regexp_replace(lines, r"[^a-z0-9\n]+", " "), r" ?\n ?", "\n"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, th, n_hits, identifiers, licenses``, a row for each input row: the hits in order, and each
     licence with its number of matches, in rule order."""
-    spark = docs.sparkSession
-    rows = row_keyed(docs)
-    known = F.broadcast(spark.createDataFrame([(v, k) for k, v in SENTENCES.items()], "sentence string, id string"))
+    known = {v: k for k, v in SENTENCES.items()} | {v: k for k, (_, v) in MORE.items()}
+    longest = sorted(known, key=len, reverse=True)
+    whole = "(?m)^(" + "|".join(v.replace(" ", r"[ \n]") for v in longest) + ")$"
+    ids = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
     # Texts go through a rough test first: every known sentence has one of these words.
     cue = F.lower("text").rlike("licens|permission|redistribut|software|rights")
-    cut = rows.where(cue).select("doc_id", "th", F.posexplode_outer(F.split("text", END)).alias("pos", "sentence"))
-    normal = F.btrim(F.regexp_replace(F.lower("sentence"), OTHER, " ")).alias("sentence")
-    hits = cut.select("doc_id", "th", "pos", normal).join(known, "sentence").select("doc_id", "th", F.struct("pos", "id").alias("hit")).distinct()
-    found = hits.groupBy("doc_id", "th").agg(F.array_join(F.transform(F.sort_array(F.collect_list("hit")), lambda h: h["id"]), "").alias("identifiers"))
-    for k, (_, identifiers) in enumerate(RULES):
-        left = F.col("left") if k else F.col("identifiers")
-        found = found.withColumn(f"n{k}", F.regexp_count(left, F.lit(pattern(identifiers)))).withColumn("left", F.regexp_replace(left, pattern(identifiers), ""))
-    names = list(dict.fromkeys(name for name, _ in RULES))
+    hits = F.transform(F.regexp_extract_all(normalised(F.col("text")), F.lit(whole), F.lit(0)), lambda h: ids[F.translate(h, "\n", " ")])
+    found = row_keyed(docs).select("doc_id", "th", F.coalesce(F.when(cue, F.array_join(hits, "")), F.lit("")).alias("identifiers"))
+    rules = [(name, f".{{0,{GAP}}}?".join(identifiers)) for name, identifiers in (*RULES, *MORE_RULES)]
+    left = "identifiers"
+    # Rules of one identifier do not take from each other: successive ones are one step.
+    for single, step in groupby(enumerate(rules), lambda r: len(r[1][1]) == 1):
+        for these in [list(step)] if single else [[r] for r in step]:
+            counts = {f"n{k}": F.regexp_count(left, F.lit(rule)) for k, (_, rule) in these}
+            gone = "|".join(rule for _, (_, rule) in these)
+            found = found.withColumns({**counts, f"left{these[0][0]}": F.regexp_replace(left, gone, "")})
+            left = f"left{these[0][0]}"
     parts = []
-    for name in names:
-        total = sum((F.col(f"n{k}") for k, (n, _) in enumerate(RULES) if n == name), F.lit(0))
+    for name in dict.fromkeys(name for name, _ in rules):
+        total = sum((F.col(f"n{k}") for k, (n, _) in enumerate(rules) if n == name), F.lit(0))
         parts.append(F.when(total > 0, F.concat(F.lit(f"{name}:"), total.cast("string"))))
-    found = found.select("doc_id", "th", "identifiers", F.concat_ws(";", *parts).alias("licenses"))
-    out = null_safe(rows.select("doc_id", "th"), found, ["doc_id", "th"], "left")
-    text = F.coalesce("identifiers", F.lit(""))
-    return out.select("doc_id", "th", F.length(text).cast("long").alias("n_hits"), text.alias("identifiers"), F.coalesce("licenses", F.lit("")).alias("licenses"))
+    return found.select("doc_id", "th", F.length("identifiers").cast("long").alias("n_hits"), "identifiers", F.concat_ws(";", *parts).alias("licenses"))
 
 
 def twin() -> str:
