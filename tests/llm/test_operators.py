@@ -247,6 +247,12 @@ def test_published_licenses(spark):
     assert {texts[r["doc_id"]]: (r["identifiers"], r["licenses"]) for r in got} == want
 
 
+def test_every_license_sentence_is_found_alone(spark):
+    known = {**licenses.SENTENCES, **{k: v for k, (_, v) in licenses.MORE.items()}}
+    got = licenses.scan(frame(spark, list(enumerate(known.values())))).collect()
+    assert {r["doc_id"]: r["identifiers"] for r in got} == dict(enumerate(known))
+
+
 def test_langid(spark):
     rnd = random.Random(4)
     stems = {"aa": "the ing tion of and", "bb": "schen ung keit der und", "cc": "eau aux ment de la"}

@@ -16,6 +16,7 @@ among ``SENTENCES`` and ``RULES``; it does not know ``MORE`` and sentences over
 
 from __future__ import annotations
 
+import re
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -106,6 +107,11 @@ MORE_RULES = (
     *((name, k) for k, (name, _) in MORE.items() if name),
 )
 
+#: Texts without any of these parts of words hold no known sentence and are not searched.
+CUE = "licens|permission|redistribut|software|rights|merchantability|mozilla|universal"
+if missed := [v for v in (*SENTENCES.values(), *(v for _, v in MORE.values())) if not re.search(CUE, v)]:
+    raise ValueError(f"sentences without a cue: {missed}")
+
 _BLANK = r"[\x20\x09-\x0D]"
 #: Sentence ends: signs that may stand inside a known sentence (one break), stops (a blank line).
 _WITHIN, _STOP = rf"(?<![.!?:;])[:;]++({_BLANK}++|$)", rf"(?<![.!?:;])[.!?:;]++({_BLANK}++|$)"
@@ -129,8 +135,7 @@ def scan(docs: DataFrame) -> DataFrame:
     longest = sorted(known, key=len, reverse=True)
     whole = "(?m)^(" + "|".join(v.replace(" ", r"[ \n]") for v in longest) + ")$"
     ids = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    # Texts go through a rough test first: every known sentence has one of these words.
-    cue = F.lower("text").rlike("licens|permission|redistribut|software|rights")
+    cue = F.lower("text").rlike(CUE)
     hits = F.transform(F.regexp_extract_all(normalised(F.col("text")), F.lit(whole), F.lit(0)), lambda h: ids[F.translate(h, "\n", " ")])
     found = row_keyed(docs).select("doc_id", "th", F.coalesce(F.when(cue, F.array_join(hits, "")), F.lit("")).alias("identifiers"))
     rules = [(name, f".{{0,{GAP}}}?".join(identifiers)) for name, identifiers in (*RULES, *MORE_RULES)]
