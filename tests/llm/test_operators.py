@@ -294,6 +294,17 @@ def test_perplexity_counts_and_model(spark):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+def test_perplexity_bands_of_copies_and_rare_classes(spark):
+    rnd = random.Random(8)
+    clean = [_sentence(rnd, 100) for _ in range(60)]
+    copy = " ".join(rnd.choice(["abab", "cdcd", "efef", "ghgh"]) + str(k) for k in range(100))
+    junk = " ".join("".join(rnd.choices("qzxjkvwbpy", k=9)) for _ in range(1500))
+    texts = [*clean, *[copy] * 100, junk]
+    docs = spark.createDataFrame([(d, t, "en") for d, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in perplexity.judge(docs).collect()}
+    assert all(kept[d] for d in range(60)) and not kept[160]
+
+
 def test_kneser_ney_sums_to_one():
     texts = perplexity.Texts(pa.array([s for _, s in sample() if s]))
     code, _ = perplexity.ngrams(texts)
