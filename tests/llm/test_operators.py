@@ -138,6 +138,19 @@ def test_contaminated(spark, monkeypatch, limit):
     assert (200, 0) in brute.contaminated(rows, items)
 
 
+def test_contaminated_with_repeated_words(spark):
+    """A run of equal words, as in a table, replaced by another value: one heavy shingle, and most of the others shared."""
+    rnd = random.Random(5)
+    rows, items = [], []
+    for i in range(12):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(330)]
+        items.append((i, " ".join(words[:160] + ["0"] * 34 + words[160:])))
+        rows.append((i, " ".join(words[:160] + ["1"] * 34 + words[160:])))
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(frame(spark, rows), bench).collect()}
+    assert got == brute.contaminated(rows, items) == {(i, i) for i in range(12)}
+
+
 def test_warc(spark, tmp_path):
     rnd = random.Random(2)
     big, other = _sentence(rnd, 400), "<p>\r\n\r\né" + _sentence(rnd, 300)

@@ -1,15 +1,14 @@
-"""Benchmark passages in documents: SimHash of item-sized windows.
+"""Benchmark passages in documents: exact similarity of item-sized windows.
 
 Texts become lower-case words of letters and digits, and these become five-word shingles by hash. Windows of
 an item's length start at every shingle that document and item share: a window of the highest
-overlap can always be moved right to such a start without losing one. A window's fingerprint
-is the 64-bit SimHash of its shingles, each weighted by its number of occurrences. A fingerprint
-is cut into ``radius + 1`` blocks; two fingerprints within the radius agree in one block at least, so
-a join on (item, block, bits) finds them all. The Hamming distance and then the exact similarity of the
-weighted shingles, sum of minima over sum of maxima, decide.
+overlap can always be moved right to such a start without losing one. The exact similarity of the
+weighted shingles, sum of minima over sum of maxima, decides on every such window.
 
-At a similarity of 0.8 two fingerprints differ in 10 of 64 bits on average (standard deviation 3);
-the radius of 23 is more than four deviations above. DataFrame operations only. Defined cases: null or
+There is no SimHash: where a shingle is repeated it decides the bits of a window's fingerprint, so blocks and
+a Hamming radius miss windows far above the threshold. A linear bound that the overlap cannot pass (shared
+distinct shingles and the window's repetitions) comes before the exact count instead and loses nothing.
+DataFrame operations only. Defined cases: null or
 empty texts, and items or documents of fewer than five words, match nothing; a document shorter than an item is
 one window; repeated rows give one result; other columns are ignored.
 """
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import fits, null_safe, row_keyed
 from tillstar.session import materialize
 
-WORDS, PERCENT, RADIUS, BITS = 5, 80, 23, 64
+WORDS, PERCENT = 5, 80
 
 
 def with_shingles(rows: DataFrame, words: int) -> DataFrame:
@@ -34,42 +33,18 @@ def with_shingles(rows: DataFrame, words: int) -> DataFrame:
     return hashed.withColumn("sh", F.when(last >= 0, every).otherwise(F.array().cast("array<bigint>"))).drop("wh", "text")
 
 
-def _fingerprint(shingles: str) -> Column:
-    """A bit is set where more than half of the shingles' hashes have it."""
-    ones = f"size(filter({shingles}, s -> (shiftright(s, b) & 1L) = 1L))"
-    bits = f"transform(sequence(0, {BITS - 1}), b -> if(2 * {ones} > size({shingles}), shiftleft(1L, b), 0L))"
-    return F.expr(f"aggregate({bits}, 0L, (a, x) -> a | x)")
-
-
-def _blocks(fingerprint: str, radius: int) -> Column:
-    """``radius + 1`` structs (number, bits) that cover the fingerprint."""
-    n, at, out = radius + 1, 0, []
-    for k in range(n):
-        size = BITS // n + (k < BITS % n)
-        bits = F.shiftrightunsigned(fingerprint, at).bitwiseAND(F.lit((1 << size) - 1))
-        out.append(F.struct(F.lit(k).alias("block"), bits.alias("bits")))
-        at += size
-    return F.array(*out)
-
-
 def _overlap(a: str, b: str) -> Column:
     """Sum over shingles of the smaller number of occurrences."""
     times = f"least(size(filter({a}, x -> x = h)), size(filter({b}, x -> x = h)))"
     return F.expr(f"aggregate(array_distinct(array_intersect({a}, {b})), 0, (acc, h) -> acc + {times})")
 
 
-def _small(df: DataFrame, row_bytes: int) -> DataFrame:
-    """Broadcast below a checked size, else joined by shuffle."""
-    return F.broadcast(df) if fits(df, row_bytes) else df
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, percent: int = PERCENT, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, th, item_id, start, n_windows, similarity``: for every document and item alike, the first of the
     most similar windows (counted in words) and the number of windows above the threshold."""
     # Arrays are written before expressions read them many times.
     items = materialize(with_shingles(benchmark.select("item_id", "text").distinct(), words), "items").withColumn("k", F.size("sh"))
-    items = items.where("k > 0").withColumn("item", F.xxhash64("item_id", "sh"))
-    items = materialize(items.withColumn("fp", _fingerprint("sh")), "items")
+    items = materialize(items.where("k > 0").withColumn("item", F.xxhash64("item_id", "sh")), "items")
     seeds = materialize(items.select("item", "k", F.explode(F.array_distinct("sh")).alias("h")), "seeds")
     rows = row_keyed(docs)
     # The outer form keeps Spark from computing the array once more to test whether it is empty.
@@ -86,14 +61,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, words: int = WORDS, perc
         held = with_shingles(null_safe(rows, starts, ["doc_id", "th"], "inner").distinct(), words)
         windows = held.select("doc_id", "th", "sh", F.explode("ws").alias("w"))
         windows = windows.select("doc_id", "th", "w.item", "w.start", F.expr("slice(sh, w.start + 1, w.k)").alias("win"))
-    windows = materialize(windows, "windows").withColumn("wfp", _fingerprint("win"))
-    index = items.select("item", F.explode(_blocks("fp", radius)).alias("x")).select("item", "x.*")
-    probes = windows.select("doc_id", "th", "item", "start", "wfp", F.explode(_blocks("wfp", radius)).alias("x")).select("*", "x.*").drop("x")
-    agree = probes.join(_small(materialize(index, "index"), 48), ["item", "block", "bits"])
-    near = agree.select("doc_id", "th", "item", "start", "wfp").distinct()
-    near = near.join(_small(items.select("item", "fp"), 48), "item").where(F.bit_count(F.col("wfp").bitwiseXOR(F.col("fp"))) <= radius)
-    near = null_safe(near.select("doc_id", "th", "item", "start"), windows.drop("wfp"), ["doc_id", "th", "item", "start"], "inner")
-    both = near.join(items.select("item", "item_id", F.col("sh").alias("ish")), "item")
+    windows = materialize(windows, "windows")
+    both = windows.join(items.select("item", "item_id", F.col("sh").alias("ish")), "item")
+    # The overlap is at most the distinct shared shingles and the window's repetitions.
+    most = F.size(F.array_intersect("win", "ish")) + F.size("win") - F.size(F.array_distinct("win"))
+    both = both.withColumn("most", most).where(f"100 * most >= {percent} * (size(win) + size(ish) - most)")
     both = both.withColumn("o", _overlap("win", "ish")).withColumn("u", F.size("win") + F.size("ish") - F.col("o")).where(f"100 * o >= {percent} * u")
     both = both.withColumn("similarity", F.col("o") / F.col("u"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"))).alias("best")
