@@ -285,6 +285,20 @@ def test_langid(spark):
     assert {r["lang_pred"] for r in none} == {"und"} and {r["score"] for r in none} == {0.0}
 
 
+def test_langid_learns_from_whole_texts(spark):
+    """Long texts with the same header, longer than what is taken of a text."""
+    rnd = random.Random(9)
+    stems = {"aa": "the ing tion of and", "bb": "schen ung keit der und", "cc": "eau aux ment de la"}
+    words = lambda lang, n: " ".join("".join(rnd.choices(stems[lang].split(), k=2)) for _ in range(n))
+    header = words("aa", 6000)
+    assert len(header) > langid.TRAIN_BYTES
+    rows = [(d, header + " " + words(lang, 9000), lang) for d, lang in enumerate(["aa", "bb", "cc"] * 10)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = [(d, words(lang, 30), lang) for d, lang in enumerate(["aa", "bb", "cc"] * 10)]
+    got = langid.predict(spark.createDataFrame(texts, "doc_id bigint, text string, lang string"), model).collect()
+    assert sum(r["lang_pred"] == texts[r["doc_id"]][2] for r in got) >= 29
+
+
 def test_bucket_table_is_the_two_layer_model():
     texts = [b"abcd efg", b"x", b"", b"aaaa bbbb cccc"]
     rng = np.random.default_rng(1)

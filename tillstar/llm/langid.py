@@ -3,11 +3,12 @@
 Subwords are the 3- and 4-byte strings of the text (A-Z lower-cased, white space as a space, digits
 alike, a space at both ends), hashed to buckets. A text's hidden vector is the mean of its subwords'
 embeddings. Both layers are trained by stochastic gradient descent in numpy on a bounded sample of
-labelled rows: about ``per_language`` rows of each language, chosen by a hash of the id, and the first
-``train_bytes`` of each. A fifth of the sample is kept from training; it sets the softmax temperature
-and the confidence below which a prediction is rejected (the ``reject_rate`` quantile of its correct
-predictions, a half at most). Prediction reads whole texts; as both layers are linear, a table of bucket logits
-serves for them.
+labelled rows: about ``per_language`` rows of each language, chosen by a hash of the id; of a text of more than
+``train_bytes`` as many bytes in chunks at random places all over it. A fifth of the rows (of a language of ``FEW`` at
+least) is kept from training; up to ``HELD`` times as many of them, read whole in tasks that send their
+logits only, set the softmax temperature and the confidence below which a prediction is rejected (the
+``reject_rate`` quantile of their correct predictions, a half at most). Prediction reads whole texts; as both layers are
+linear, a table of bucket logits serves for them.
 
 Defined cases: ``und`` with score 0 for a null text, a text without a letter, or if there is no
 labelled row; null labels are not learned; an empty table gives an empty result; of equal labels'
@@ -28,6 +29,8 @@ from tillstar.llm.common import SPACES, Texts, pieces, table_batch
 BITS, DIM, EPOCHS, RATE = 16, 16, 6, 0.5
 MIN_STEPS = 12_000  # a small sample is passed over more often
 PER_LANGUAGE, TRAIN_BYTES, REJECT_RATE = 700, 1 << 15, 0.001
+CHUNKS = 32  # of a long text
+FEW, HELD = 25, 8
 UNKNOWN = "und"
 _TOGETHER = 100
 
@@ -84,13 +87,12 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def train(texts: list[bytes], labels: list[str], reject_rate: float = REJECT_RATE, seed: int = 7) -> Model | None:
+def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Model | None:
     """Stochastic gradient descent over whole sample texts and random parts of them."""
     if not texts:
         return None
     languages = sorted(set(labels))
     y = np.array([languages.index(x) for x in labels])
-    held = np.arange(len(texts)) % 5 == 4
     found: list[np.ndarray] = []
     for at in range(0, len(texts), _TOGETHER):  # few texts at once: only their buckets stay
         buckets, counts = subwords(Texts(pa.array(texts[at : at + _TOGETHER], pa.binary())))
@@ -101,7 +103,7 @@ def train(texts: list[bytes], labels: list[str], reject_rate: float = REJECT_RAT
     embed[-1] = 0
     weights = np.zeros((DIM, len(languages)), np.float32)
     bias = np.zeros(len(languages), np.float32)
-    order = np.flatnonzero(~held & (np.array([len(f) for f in found]) > 0))
+    order = np.flatnonzero(np.array([len(f) for f in found]) > 0)
     epochs = max(EPOCHS, -(-MIN_STEPS // max(1, len(order))))
     steps, step = max(1, epochs * len(order)), 0
     for _ in range(epochs):
@@ -125,24 +127,23 @@ def train(texts: list[bytes], labels: list[str], reject_rate: float = REJECT_RAT
             embed[index] -= rate * 10 * share[:, None] * back
             step += 1
     embed[-1] = 0
-    model = Model(languages, (embed @ weights).astype(np.float32), bias.astype(np.float64))
-    if held.any():
-        check = [t for t, h in zip(texts, held, strict=True) if h]
-        parts = [Texts(pa.array(check[at : at + _TOGETHER], pa.binary())) for at in range(0, len(check), _TOGETHER)]
-        logits, truth = np.concatenate([model.logits(p) for p in parts]), y[held]
-        rows = np.arange(len(truth))
-
-        def loss(t: float) -> float:
-            model.temperature = t
-            return -float(np.log(np.maximum(model.probabilities(logits)[rows, truth], 1e-300)).mean())
-
-        model.temperature = min(np.geomspace(0.25, 8, 41), key=loss)
-        p = model.probabilities(logits)
-        right = p.argmax(axis=1) == truth
-        if right.any():
-            # never reject what is more likely right than wrong
-            model.threshold = min(0.5, float(np.quantile(p.max(axis=1)[right], reject_rate)))
-    return model
+    return Model(languages, (embed @ weights).astype(np.float32), bias.astype(np.float64))
+
+
+def calibrate(model: Model, logits: np.ndarray, truth: np.ndarray, reject_rate: float = REJECT_RATE) -> None:
+    """Set temperature and threshold from the logits of rows that were not trained on."""
+    rows = np.arange(len(truth))
+
+    def loss(t: float) -> float:
+        model.temperature = t
+        return -float(np.log(np.maximum(model.probabilities(logits)[rows, truth], 1e-300)).mean())
+
+    model.temperature = min(np.geomspace(0.25, 8, 41), key=loss)
+    p = model.probabilities(logits)
+    right = p.argmax(axis=1) == truth
+    if right.any():
+        # never reject what is more likely right than wrong
+        model.threshold = min(0.5, float(np.quantile(p.max(axis=1)[right], reject_rate)))
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
@@ -154,12 +155,50 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int
     rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.lit(False)
+    fifth = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0
+    trained, held = F.lit(False), F.lit(False)
     for lang, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == lang) & (place < per_language / n))
-    sample = rows.where(chosen).select(F.substring(F.encode("text", "UTF-8"), 1, train_bytes).alias("text"), "lang", place.alias("place"))
-    table = sample.toArrow().to_pandas().sort_values(["place", "lang", "text"])
-    return train(table["text"].tolist(), table["lang"].tolist(), reject_rate)
+        mine = F.col("lang") == lang
+        trained = trained | (mine & (place < per_language / n) & (~fifth if n >= FEW else F.lit(True)))
+        held = held | (mine & (place < HELD * per_language / n) & fifth & F.lit(n >= FEW))
+    table = rows.where(trained).select(_spread(train_bytes).alias("text"), "lang", place.alias("place")).toArrow().to_pandas()
+    table = table.sort_values(["place", "lang", "text"])
+    model = train(table["text"].tolist(), table["lang"].tolist())
+    if model is None:
+        return None
+    del table
+    known = _logits(rows.where(held).select("text", "lang", place.alias("place")), model).toPandas().sort_values(["place", "lang"], kind="stable")
+    known = known[known["lang"].isin(model.languages)]
+    if len(known):
+        calibrate(model, np.stack(known["logits"].to_list()), np.array([model.languages.index(x) for x in known["lang"]]), reject_rate)
+    return model
+
+
+def _spread(size: int) -> Column:
+    """The bytes of ``text``, or of a text of more than ``size`` chunks at random places of ``CHUNKS`` equal parts."""
+    data, n, part = F.col("text").cast("binary"), F.octet_length("text").cast("long"), size // CHUNKS
+    chunks = []
+    for k in range(CHUNKS):
+        first = F.floor(n * k / CHUNKS)
+        room = F.greatest(F.floor(n / CHUNKS) - part, F.lit(0)) + 1
+        at = (first + F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int")
+        chunks += [F.substr(data, at, F.lit(part)), F.lit(b" ")]
+    return F.when(n <= size, data).otherwise(F.concat(*chunks))
+
+
+def _logits(rows: DataFrame, model: Model) -> DataFrame:
+    """``place, lang, logits`` of whole texts."""
+    schema = "place double, lang string, logits array<double>"
+    limit = (4 << 20) // max(4, len(model.languages))
+
+    def work(batches):
+        for batch in pieces(batches, limit):
+            text, lang, place = batch.columns
+            z = model.logits(Texts(text))
+            flat = pa.ListArray.from_arrays(np.arange(len(z) + 1, dtype=np.int32) * z.shape[1], z.reshape(-1))
+            yield table_batch(schema, [place, lang, flat])
+
+    return rows.mapInArrow(work, schema)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
