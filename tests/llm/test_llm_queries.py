@@ -31,7 +31,7 @@ def rows_of(df):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(registered.queries()) and set(ORACLES) <= set(registered.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import langid, licenses, perplexity, rules, warc
+from tillstar.llm import bpe, langid, lexical, licenses, perplexity, rules, warc
 from tillstar.llm.common import prepare, read
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.near_dup import near_duplicates
 from tillstar.llm.repeats import remove_repeats
 from tillstar.llm.sentencepiece import decode, encode
+from tillstar.llm.word_runs import word_runs
 from tillstar.session import hadoop_path, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +153,77 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_license_scan"] = licenses.twin()
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(read(spark, sf_dir, "documents"))
+    return lexical.search(index, read(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op11_lexical_search"] = r"""
+WITH cut AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+sized AS (SELECT r, doc_id, terms, len(terms)::BIGINT AS n FROM cut WHERE len(terms) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sized),
+scaled AS (SELECT r, doc_id, terms, 100 - 50 + ((50 * n * docs) // words) AS m FROM sized, totals),
+postings AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(terms) AS term FROM scaled) GROUP BY ALL),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM postings, totals GROUP BY term),
+scores AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN postings USING (term) JOIN scaled USING (r) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    coded = bpe.decode(bpe.encode(docs).drop("text"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """The texts that op13 is asked about: one document in ten repeats a stretch of its words to its end."""
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.withColumn("_w", F.when(h % 10 == 0, words)).withColumn("_n", F.when(h % 10 == 0, F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))))
+    g = F.floor(h / 10)
+    n = F.col("_n")
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    rest = F.slice(F.flatten(F.array_repeat(F.slice("_w", a + 1, p), F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    text = F.when(n > 0, F.array_join(F.concat(F.slice("_w", F.lit(1), a), rest), " ")).otherwise(F.col("text"))
+    return chosen.withColumn("text", text).drop("_w", "_n")
+
+
+@query
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs(planted_periods(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("_longest", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_longest.s")).alias("start"),
+        F.col("_longest.length").alias("length"),
+        (-F.col("_longest.p")).alias("period"),
+        F.floor(1000 * F.col("_longest.length") / -F.col("_longest.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
