@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import make_lines, make_star
+from support import make_lines, make_star
 from pyspark.sql import functions as F
 
 from tillstar.functions.columns import pct_one_decimal, quartile, risk_band

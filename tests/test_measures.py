@@ -1,7 +1,7 @@
 """Measures, ranks, hierarchies, security, report tables."""
 
 import pytest
-from conftest import make_lines, make_star
+from support import make_lines, make_star
 from pyspark.sql import functions as F
 
 from tillstar.operators import measures, ranking, rollups, security

@@ -4,7 +4,6 @@ import math
 
 import duckdb
 import pytest
-from conftest import ROOT  # noqa: F401
 
 import __spark_entry__ as registered
 from tillstar.plans.catalog import CATALOG as QUERIES

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import DEFAULTS, make_lines, make_star
+from support import DEFAULTS, make_lines, make_star
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F

@@ -5,7 +5,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import make_lines, make_star
+from support import make_lines, make_star
 
 from tillstar.operators.timeintel import CALC_GROUP, calc_group, time_calc
 
