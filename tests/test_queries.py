@@ -34,9 +34,10 @@ def same(a, b):
 def test_registered_names():
     assert set(QUERIES) <= set(registered.queries()) and set(ORACLES) <= set(registered.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
-    # No SQL for fitted models.
+    # No SQL for fitted models and sketches.
     assert set(QUERIES) - set(ORACLES) == {
         "analytics_summary", "attribution", "attribution_permutation", "churn_gbt", "churn_logistic", "customer_scores",
+        "m_active_customers_approx", "quantile_threshold_approx",
     }
 
 

@@ -59,10 +59,18 @@ def with_running_sums(df: DataFrame, order: Sequence[Column | str], sums: dict[s
     )
 
 
-def with_dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
-    """Dense rank of ``value``, largest first."""
-    ranked = with_dense_key(df.select(value).distinct(), [F.desc(value)], name)
-    return df.join(ranked, value)
+def with_dense_rank(df: DataFrame, value: str, name: str, within: Sequence[str] = ()) -> DataFrame:
+    """Dense rank of ``value``, largest first; ``within`` these columns, if any.
+
+    The distinct values get one global order. A rank within a group is the distance
+    to the group's first key, so no group is gathered in one task.
+    """
+    ranked = with_dense_key(df.select(*within, value).distinct(), [*within, F.desc(value)], name)
+    if within:
+        ranked = materialize(ranked, name)
+        first = ranked.groupBy(*within).agg(F.min(name).alias("_first"))
+        ranked = ranked.join(first, list(within)).select(*within, value, (F.col(name) - F.col("_first") + 1).alias(name))
+    return df.join(ranked, [*within, value])
 
 
 def side_by_side(*rows: DataFrame) -> DataFrame:

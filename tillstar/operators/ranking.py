@@ -80,19 +80,23 @@ def top_n(
     return ranked.select(column, "rank", "revenue", F.when(shown, F.col("revenue")).alias("top_n_revenue"))
 
 
-def with_share_of_parent(levels_frame: DataFrame, levels: Sequence[str], value: str = "total_revenue") -> DataFrame:
-    """Share of the enclosing level for every row of a ``hierarchy`` result.
+def with_share_of_parent(
+    levels_frame: DataFrame, levels: Sequence[str], value: str = "total_revenue", within: Sequence[str] = ()
+) -> DataFrame:
+    """Share of the enclosing level for every row of a ``hierarchy`` result, apart for each value of ``within``.
 
     The parent's value is its own row, found by an equi-join on the parent's
     member columns: a parent with very many children is not gathered in one
     window group.
     """
     up = levels_frame.select(
-        (F.col("level") + 1).alias("_level"), *[F.col(c).alias(f"_{c}") for c in levels], F.col(value).alias("_whole")
+        (F.col("level") + 1).alias("_level"), *[F.col(c).alias(f"_{c}") for c in (*levels, *within)], F.col(value).alias("_whole")
     )
     child = levels_frame
     depth = F.col("level")
     condition = depth == F.col("_level")
+    for c in within:
+        condition &= F.col(c) == F.col(f"_{c}")
     for i, c in enumerate(levels):
         # Above its own level a parent row has NULL; the child matches on the levels above its own.
         wanted = F.when(depth > i + 1, F.col(c))

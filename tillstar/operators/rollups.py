@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.columns import blank_if_zero
+from tillstar.operators.distincts import bitmaps, counted, merged
 from tillstar.operators.measures import ADDITIVE, DISTINCT, bases_of, combine
 from tillstar.star import Star
 
@@ -24,11 +25,10 @@ def hierarchy(
 ) -> DataFrame:
     """Measures at every level of a drill path, with the grand total.
 
-    ``level`` is 0 for the total and counts the levels in scope. A rollup
-    multiplies its input by the number of levels, so the fact is first reduced
-    by the surrogate key of the levels' dimension (additive measures to one row
-    per member, distinct counts to one per member and identifier); only those
-    rows get the members' texts and are expanded.
+    ``level`` is 0 for the total and counts the levels in scope. The fact is reduced
+    once, by the surrogate key of the levels' dimension; the members' texts join the
+    reduced rows. Then every level comes from the one below it: sums are added and
+    the bitmaps behind distinct counts OR-ed, so no row is expanded per level.
     """
     levels = list(levels)
     owners = [n for n, dim in star.dims().items() if set(levels) <= set(dim.columns)]
@@ -37,16 +37,25 @@ def hierarchy(
     dim, key = getattr(star, owners[0]), star.KEYS[owners[0]]
     fact = star.fact_sales if period is None else period(star.fact_sales)
     additive, distinct = bases_of(names)
-    ids = [f"_{b}" for b in distinct]
+    ids = {b: f"_{b}" for b in distinct}
     leaf = (
-        fact.select("*", *[DISTINCT[b]().alias(f"_{b}") for b in distinct])
-        .groupBy(key, *ids)
+        fact.select("*", *[DISTINCT[b]().alias(c) for b, c in ids.items()])
+        .groupBy(key, *ids.values())
         .agg(*[F.sum(ADDITIVE[b]()).alias(f"_{b}") for b in additive], F.lit(1).alias("_seen"))
-        .join(dim.select(key, *levels), key)
     )
+    members = dim.select(key, *levels)
     sums = [F.sum(f"_{b}").alias(f"_{b}") for b in additive]
-    counts = [blank_if_zero(F.count_distinct(f"_{b}")).alias(f"_{b}") for b in distinct]
-    # grouping_id has one bit per level out of scope; they are the trailing ones.
-    bits = F.bit_count(F.grouping_id()).cast("int")
-    rows = leaf.rollup(*levels).agg(*sums, *counts, (F.lit(len(levels)) - bits).alias("level"))
-    return combine(rows, list(names), ["level", *levels])
+    total = leaf.groupBy(key).agg(*sums, F.lit(1).alias("_seen")).join(members, key)
+    sets = bitmaps(leaf.select(key, *ids.values()), [key], ids, fact.count()).join(members, key) if distinct else None
+    found = []
+    for n in range(len(levels), -1, -1):
+        keys = levels[:n]
+        total = total.groupBy(*keys).agg(*sums, F.max("_seen").alias("_seen"))
+        rows = total
+        if distinct:
+            sets = merged(sets, keys)
+            both = total.unionByName(counted(sets, keys, distinct), allowMissingColumns=True)
+            rows = both.groupBy(*keys).agg(*[F.max(c).alias(c) for c in both.columns if c not in keys])
+        out_of_scope = [F.lit(None).cast(dim.schema[c].dataType).alias(c) for c in levels[n:]]
+        found.append(combine(rows.select("*", *out_of_scope, F.lit(n).alias("level")), list(names), ["level", *levels]))
+    return reduce(DataFrame.unionAll, found)

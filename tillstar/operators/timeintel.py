@@ -138,6 +138,12 @@ class _Axis:
         return (self.period(at) != self.period(at + 1)) | (at == self.last)
 
 
+def period_labels(bounds: tuple[dt.date, dt.date], grain: str, fy_start_month: int = 4) -> Column:
+    """All periods of the calendar, as one array."""
+    axis = _Axis(grain, *bounds, fy_start_month)
+    return F.transform(F.sequence(axis.period(F.lit(axis.first)), axis.period(F.lit(axis.last))), axis.label)
+
+
 def _steps(axis: _Axis, items: Sequence[str], frame: DataFrame, by: Sequence[str], capped: bool) -> DataFrame:
     """Changes (by, calc, at, sign) of the cumulative items, one pair per atom and item."""
     at = F.col("at")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.operators import checks, churn, cohorts, dims, fact, features, measures, metrics, ranking, rollups, security
+from tillstar.operators import calcitems, checks, churn, cohorts, context, dims, distincts, fact, features, measures, metrics, ranking, rollups, security
 from tillstar.operators.keys import with_dense_key
 from tillstar.operators.staging import stage
 from tillstar.operators.timeintel import calc_group, time_calc
@@ -411,6 +411,52 @@ for _name, _spec in CALC_GROUP_QUERIES.items():
     query(_name)(partial(_calc_group, *_spec))
 
 
+# measures of two stages and without a calendar under the items: name -> (measure, by, grain, further arguments)
+CALC_ANY_QUERIES: dict[str, tuple] = {
+    "calc_group_category_rank": ("category_rank", ("category",), "quarter", {}),
+    "calc_group_city_rank": ("city_rank", ("city",), "month", {}),
+    "calc_group_top_n": ("top_n_revenue", ("category",), "year", {"top": 3}),
+    "calc_group_share_of_parent": ("share_of_parent", ("country", "state", "city"), "quarter", {}),
+    "calc_group_high_risk_pct": ("high_risk_pct", ("segment",), "year", {}),
+    "calc_group_retention": ("retention_pct", ("months_since_first",), "fiscal_year", {}),
+}
+
+
+def _calc_any(name: str, w: Warehouse) -> DataFrame:
+    measure, by, grain, more = CALC_ANY_QUERIES[name]
+    if measure == "city_rank":
+        more = {"members": F.col("country") == COUNTRY}
+    return calcitems.calc_any(measure, w.bounds, by, w.star, w.scores, w.cohorts, grain, **more)
+
+
+for _name in CALC_ANY_QUERIES:
+    query(_name)(partial(_calc_any, _name))
+
+
+# ---------------------------------------------------------------- mergeable distinct counts
+@query("distinct_cube_year")
+def _(w):
+    cube = distincts.DistinctCube.build(w.star, ["category"])
+    return cube.count(["category", F.floor(F.col("month") / 100).cast("int").alias("year")])
+
+
+@query("distinct_cube_country")
+def _(w):
+    cube = distincts.DistinctCube.build(w.star, ["country", "channel"])
+    return cube.count(["country"], F.col("month").between(YEAR * 100 + 1, YEAR * 100 + 6))
+
+
+@query("distinct_cube_trailing")
+def _(w):
+    return distincts.DistinctCube.build(w.star, ["country", "channel"]).trailing(["country"], 12)
+
+
+@query("m_active_customers_approx")
+def _(w):
+    sketches = distincts.customer_sketches(w.star, ["category"])
+    return distincts.approx_active_customers(sketches, ["category", F.floor(F.col("date_key") / 10000).cast("int").alias("year")])
+
+
 # ---------------------------------------------------------------- ranking
 @query("category_rank")
 def _(w):
@@ -459,6 +505,35 @@ def _(w):
     return metrics.quantile(curve, 0.8).select(F.round("threshold", 8).alias("threshold"))
 
 
+@query("quantile_threshold_approx")
+def _(w):
+    parts = metrics.quantile_sketches(w.scores, "churn_probability", ["segment"])
+    return metrics.sketched_quantile(parts, 0.8)
+
+
+# ---------------------------------------------------------------- filter contexts
+@query("context_shares")
+def _(w):
+    chosen = context.Context().select("year", F.col("year") == YEAR).select("country", F.col("country").isin("ASIA", "EUROPE"))
+    return context.shares(w.star, ["country", "category"], chosen)
+
+
+@query("context_counts")
+def _(w):
+    chosen = context.Context().select("year", F.col("year") == YEAR)
+    online = chosen.keep("channel", F.col("channel") == "Online")
+    cells = {
+        "orders": ("orders", chosen),
+        "orders_online": ("orders", online),
+        "orders_all_cities": ("orders", chosen.all("city")),
+        "customers": ("active_customers", chosen),
+        "customers_ever": ("active_customers", chosen.remove(w.star.dim_date)),
+        "customers_here_and_before": ("active_customers", chosen.where("year", F.col("year") == YEAR - 1)),
+        "aov_online": ("avg_order_value", online),
+    }
+    return context.evaluate(w.star, cells, ["country", "city"])
+
+
 # ---------------------------------------------------------------- sorts and limits
 @query("top_category")
 def _(w):

@@ -41,11 +41,11 @@ class Results:
 
 def prepare(star: Star, snapshot: str = SNAPSHOT, horizon_end: str = HORIZON_END, corporate: str = "Corporate") -> Base:
     """Order lines, retention, and features + label + RFM of the active customers."""
-    lines = materialize(order_lines(star), "order-lines")
+    lines, days = materialize(order_lines(star), "order-lines"), star.calendar_bounds()
     active = features.active_customers(features.customer_features(lines, snapshot, corporate))
     retention, labelled = together(
         star.spark,
-        lambda: materialize(cohorts.cohort_retention(order_dedup(lines), horizon_end), "cohorts"),
+        lambda: materialize(cohorts.cohort_retention(order_dedup(lines), horizon_end, since=days["first"], until=days["last"]), "cohorts"),
         lambda: materialize(features.churn_label(lines, active, snapshot, horizon_end), "features"),
     )
     segments = materialize(features.rfm_scores(labelled), "rfm")

@@ -395,17 +395,38 @@ def _time_base(measure: str, items: tuple, by: str, grain: str) -> tuple[str, st
         joins += f" LEFT JOIN i{i} ON i{i}.period = ctx.period AND i{i}.{by} = ctx.{by}"
     columns = ", ".join(f"i{i}.v AS {NAMES[item]}" for i, item in enumerate(plain))
     ctes.append(f"base AS (SELECT ctx.period, ctx.{by}, {columns} FROM ctx{joins})")
-    derived = {
-        "YoY": "CASE WHEN current IS NOT NULL OR py IS NOT NULL THEN COALESCE(current, 0) - COALESCE(py, 0) END AS yoy",
-        "YoY %": "CASE WHEN py IS NOT NULL THEN (COALESCE(current, 0) - py) / NULLIF(CAST(py AS DOUBLE), 0) END AS yoy_pct",
-        "MoM %": "CASE WHEN pm IS NOT NULL THEN (COALESCE(current, 0) - pm) / NULLIF(CAST(pm AS DOUBLE), 0) END AS mom_pct",
-    }
-    picked = ", ".join(derived.get(i, NAMES[i]) for i in items)
+    picked = ", ".join(DERIVED_SQL.get(i, NAMES[i]) for i in items)
     return ", ".join(ctes), f"SELECT period, {by}, {picked} FROM base"
 
 
+def _grid(by: str, members: str) -> str:
+    """Kept revenue of every member in every month of the calendar, and each plain item by window
+    frames over that dense grid; blank where no kept line counts."""
+    kept = f"SELECT {by}, mi, SUM(net_revenue) AS v FROM w WHERE NOT is_returned GROUP BY ALL"
+    return f"""months AS (SELECT DISTINCT year * 12 + month - 1 AS mi, year_month, year, quarter, fiscal_year FROM dim_date),
+    grid AS MATERIALIZED (SELECT m.{by}, c.*, r.v FROM ({members}) m CROSS JOIN months c LEFT JOIN ({kept}) r ON r.{by} = m.{by} AND r.mi = c.mi),
+    items AS MATERIALIZED (SELECT {by}, year_month AS period, mi, v AS current, lag(v, 12) OVER one AS py, lag(v, 1) OVER one AS pm, v AS mtd,
+      SUM(v) OVER (PARTITION BY {by}, year, quarter ORDER BY mi) AS qtd, SUM(v) OVER (PARTITION BY {by}, year ORDER BY mi) AS ytd,
+      SUM(v) OVER (PARTITION BY {by}, fiscal_year ORDER BY mi) AS fytd, SUM(v) OVER one AS running_total,
+      SUM(v) OVER (PARTITION BY {by} ORDER BY mi ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) / CAST(3 AS DOUBLE) AS rolling_3m_avg
+      FROM grid WINDOW one AS (PARTITION BY {by} ORDER BY mi))"""
+
+
+DERIVED_SQL = {
+    "YoY": "CASE WHEN current IS NOT NULL OR py IS NOT NULL THEN COALESCE(current, 0) - COALESCE(py, 0) END AS yoy",
+    "YoY %": "CASE WHEN py IS NOT NULL THEN (COALESCE(current, 0) - py) / NULLIF(CAST(py AS DOUBLE), 0) END AS yoy_pct",
+    "MoM %": "CASE WHEN pm IS NOT NULL THEN (COALESCE(current, 0) - pm) / NULLIF(CAST(pm AS DOUBLE), 0) END AS mom_pct",
+}
+
 # Exact differences: revenue stays decimal until the end.
 for _n, (_m, _items, _by, _grain) in TIME_QUERIES.items():
+    if (_m, _grain) == ("total_revenue", "month"):
+        _out = ", ".join(DERIVED_SQL.get(i, NAMES[i]) for i in _items)
+        _typed = ", ".join(f"CAST({NAMES[i]} AS DOUBLE) AS {NAMES[i]}" for i in _items)
+        _some = " OR ".join(f"{NAMES[i]} IS NOT NULL" for i in _items)
+        _sql(_n, f"SELECT period, {_by}, {_typed} FROM (SELECT period, {_by}, {_out} FROM items) WHERE {_some}",
+             ctes=_grid(_by, f"SELECT DISTINCT {_by} FROM w"))
+        continue
     _ctes, _select = _time_base(_m, _items, _by, _grain)
     if _m == "total_revenue":
         _ctes = _ctes.replace(f"CAST({REV} AS DOUBLE)", REV)
@@ -426,6 +447,118 @@ for _n, (_m, _by, _grain) in CALC_GROUP_QUERIES.items():
     _sql(_n, f"SELECT * FROM ({_long}) WHERE value IS NOT NULL", ctes=f"{_ctes}, wide AS ({_select})")
 
 
+# measures of two stages: each plain item on a dense grid of members and periods, members compared within
+# a period, year-over-year items from the finished values
+PLAIN_ITEMS = ("Current", "PY", "MTD", "QTD", "YTD", "FYTD")
+AT_LAST_MONTH = {"month": ("period", "mi"), "quarter": ("year || 'Q' || quarter", "mi // 3"), "year": ("CAST(year AS VARCHAR)", "year")}
+
+
+def _plain_items(by: str, members: str, grain: str, sales: str = "w") -> str:
+    """CTEs up to ``plain``: per member and period the six plain items of kept revenue. At coarser grains
+    the to-date items are read at the period's last month; whole periods are summed."""
+    label, number = AT_LAST_MONTH[grain]
+    back = {"month": 12, "quarter": 4, "year": 1}[grain]
+    base = _grid(by, members).replace("FROM w WHERE", f"FROM {sales} WHERE")
+    return f"""{base},
+    labelled AS (SELECT i.*, c.year, c.quarter, {number.replace('mi', 'i.mi')} AS pn, {label} AS label FROM items i JOIN months c ON c.mi = i.mi),
+    whole AS (SELECT {by}, pn, MIN(label) AS period, SUM(current) AS current, (arg_max(to_date, mi)).mtd AS mtd, (arg_max(to_date, mi)).qtd AS qtd,
+      (arg_max(to_date, mi)).ytd AS ytd, (arg_max(to_date, mi)).fytd AS fytd
+      FROM (SELECT *, {{'mtd': mtd, 'qtd': qtd, 'ytd': ytd, 'fytd': fytd}} AS to_date FROM labelled) GROUP BY {by}, pn),
+    plain AS (SELECT *, lag(current, {back}) OVER (PARTITION BY {by} ORDER BY pn) AS py FROM whole)"""
+
+
+def _items_long(source: str, keys: str, value: dict[str, str]) -> str:
+    """The calculation group in long form from one column per plain item."""
+    some = {**value, "YoY": "CASE WHEN {c} IS NOT NULL OR {p} IS NOT NULL THEN COALESCE({c}, 0) - COALESCE({p}, 0) END",
+            "YoY %": "CASE WHEN {p} IS NOT NULL THEN (COALESCE({c}, 0) - {p}) / NULLIF({p}, 0) END"}
+    parts = [
+        f"SELECT period, {keys}, '{c}' AS calc, {i} AS ordinal, "
+        f"CAST({some[c].format(c=value['Current'], p=value['PY'])} AS DOUBLE) AS value FROM {source}"
+        for i, c in enumerate(CALC_ITEMS)
+    ]
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE value IS NOT NULL"
+
+
+def _rank_items(shown: str) -> str:
+    names = [NAMES[c] for c in PLAIN_ITEMS]
+    ranks = ", ".join(f"DENSE_RANK() OVER (PARTITION BY pn ORDER BY COALESCE({n}, 0) DESC) AS {n}_rank" for n in names)
+    return f"ranked AS (SELECT *, {ranks} FROM plain), " + "shown AS (SELECT period, {by}, ".replace("{by}", shown)
+
+
+for _n, _by, _members, _grain, _sales, _top in (
+    ("calc_group_category_rank", "category", "SELECT DISTINCT category FROM dim_product", "quarter", "w", None),
+    ("calc_group_city_rank", "city", f"SELECT DISTINCT city FROM dim_store WHERE country = '{COUNTRY}'", "month",
+     f"(SELECT * FROM w WHERE country = '{COUNTRY}')", None),
+    ("calc_group_top_n", "category", "SELECT DISTINCT category FROM dim_product", "year", "w", 3),
+):
+    _shown = ", ".join(
+        f"CAST({NAMES[c]}_rank AS DOUBLE) AS x{i}" if _top is None
+        else f"CASE WHEN {NAMES[c]}_rank <= {_top} THEN CAST({NAMES[c]} AS DOUBLE) END AS x{i}"
+        for i, c in enumerate(PLAIN_ITEMS)
+    )
+    _ctes = f"{_plain_items(_by, _members, _grain, _sales)}, {_rank_items(_by)}{_shown} FROM ranked)"
+    _sql(_n, _items_long("shown", _by, {c: f"x{i}" for i, c in enumerate(PLAIN_ITEMS)}), ctes=_ctes)
+
+
+def _share_items(levels: tuple, grain: str) -> str:
+    """Cities add up to their states and countries in every context; a share is of the level above."""
+    path = ", ".join(levels)
+    city = _plain_items("path", f"SELECT DISTINCT {path}, concat_ws('|', {path}) AS path FROM dim_store", grain,
+                        f"(SELECT *, concat_ws('|', {path}) AS path FROM w)")
+    names = [NAMES[c] for c in PLAIN_ITEMS]
+    parts = []
+    for n in range(len(levels) + 1):
+        shown = ", ".join(c if i < n else "NULL" for i, c in enumerate(levels))
+        up = "".join(f", {c}" for c in levels[: max(0, n - 1)])
+        group = "".join(f", {c}" for c in levels[:n])
+        values = ", ".join(f"CAST(SUM({x}) AS DOUBLE) / NULLIF(CAST(SUM(SUM({x})) OVER (PARTITION BY pn{up}) AS DOUBLE), 0)" for x in names)
+        parts.append(f"SELECT MIN(period), {n}, {shown}, {values} FROM named GROUP BY pn{group}")
+    columns = ", ".join(f"x{i}" for i in range(len(names)))
+    return (
+        f"{city}, named AS (SELECT p.*, {', '.join(f'd.{c}' for c in levels)} FROM plain p JOIN (SELECT DISTINCT {path}, "
+        f"concat_ws('|', {path}) AS path FROM dim_store) d USING (path)), "
+        f"shown(period, level, {path}, {columns}) AS ({' UNION ALL '.join(parts)})"
+    )
+
+
+_sql("calc_group_share_of_parent", _items_long("shown", "level, country, state, city", {c: f"x{i}" for i, c in enumerate(PLAIN_ITEMS)}),
+     ctes=_share_items(("country", "state", "city"), "quarter"))
+for _n, _by, _values, _period in (
+    ("calc_group_high_risk_pct", "segment", f"SELECT segment, {SCORE_SQL['high_risk_pct']} AS v FROM scores GROUP BY segment", "year"),
+    ("calc_group_retention", "months_since_first", f"""SELECT months_since_first,
+      {_div("SUM(CAST(retention_pct AS DECIMAL(6,1)))", "COUNT(*)")} / 100 AS v FROM cohorts GROUP BY 1""", "fiscal_year"),
+):
+    _ctes = f"""constant AS (SELECT CAST({_period} AS VARCHAR) AS period, {_by}, v FROM
+      (SELECT DISTINCT {_period} FROM dim_date) CROSS JOIN ({_values}))"""
+    _sql(_n, _items_long("constant", _by, dict.fromkeys(PLAIN_ITEMS, "v")), True, ctes=_ctes)
+
+# filter contexts
+_sql("context_shares", f"""SELECT country, category, CAST(v AS DOUBLE) AS total_revenue,
+    {_div('v', 'SUM(v) OVER (PARTITION BY country)')} AS share_of_beside, {_div('v', 'SUM(v) OVER ()')} AS share_of_selected,
+    {_div('v', 'ever')} AS share_of_ever
+  FROM (SELECT country, category, SUM(net_revenue) FILTER (WHERE NOT is_returned AND year = {YEAR}) AS v, {REV} AS ever
+    FROM w WHERE country IN ('ASIA', 'EUROPE') GROUP BY country, category)""")
+_here = f"FILTER (WHERE NOT is_returned AND year = {YEAR}"
+_sql("context_counts", f"""SELECT country, city, orders, orders_online, orders_all_cities, customers, customers_ever,
+    customers_here_and_before, CAST(online AS DOUBLE) / orders_online AS aov_online
+  FROM (SELECT country, city, NULLIF(COUNT(DISTINCT order_id) {_here}), 0) AS orders,
+      NULLIF(COUNT(DISTINCT order_id) {_here} AND channel = 'Online'), 0) AS orders_online,
+      NULLIF(COUNT(DISTINCT customer_key) {_here}), 0) AS customers, {CUSTOMERS} AS customers_ever,
+      NULLIF(COUNT(DISTINCT customer_key) FILTER (WHERE NOT is_returned AND year = {YEAR - 1}), 0) AS customers_here_and_before,
+      SUM(net_revenue) {_here} AND channel = 'Online') AS online
+    FROM w GROUP BY country, city)
+  JOIN (SELECT country, NULLIF(COUNT(DISTINCT order_id) {_here}), 0) AS orders_all_cities FROM w GROUP BY country) USING (country)""")
+
+# mergeable distinct counts
+_sql("distinct_cube_year", f"SELECT category, year, {ORDERS} AS orders, {CUSTOMERS} AS active_customers FROM w GROUP BY category, year")
+_sql("distinct_cube_country", f"""SELECT country, {ORDERS} AS orders, {CUSTOMERS} AS active_customers FROM w
+  WHERE year = {YEAR} AND month <= 6 GROUP BY country""")
+_sql("distinct_cube_trailing", f"""SELECT country, month, {ORDERS.replace('order_id', 'id')} AS orders, {CUSTOMERS.replace('customer_key', 'c')} AS active_customers
+  FROM (SELECT p.country, (p.mi // 12) * 100 + p.mi % 12 + 1 AS month, w.order_id AS id, w.customer_key AS c, w.is_returned
+    FROM (SELECT country, unnest(range(MIN(mi), (SELECT MAX(mi) FROM w) + 1)) AS mi FROM w GROUP BY country) p
+    JOIN w ON w.country = p.country AND w.mi BETWEEN p.mi - 11 AND p.mi) GROUP BY country, month""")
+
+
 # ranking
 def _rank(column: str, dim: str, selected: str = "TRUE") -> str:
     """Members and sales within the selection; a member without sales ranks as 0."""
