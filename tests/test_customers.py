@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import math
 import random
 
 import numpy as np
@@ -182,3 +183,52 @@ def test_split_is_stratified_and_repeatable(spark, shop):
     again = churn.train_test_split(base.repartition(3))
     assert {r.customer_id for r in again.filter("is_test").collect()} == {r.customer_id for r in first.filter("is_test").collect()}
     assert order_dedup(lines).count() == lines.select("order_id").distinct().count()
+
+
+@pytest.fixture(scope="module")
+def training(spark):
+    rnd = random.Random(13)
+    rows = []
+    for i in range(900):
+        x = [rnd.gauss(50, 20), rnd.choice([0.0, 1.0, 2.5]), rnd.random(), 7.0]
+        z = 0.05 * (x[0] - 50) + x[1] - 2 * x[2]
+        rows.append((int(rnd.random() < 1 / (1 + math.exp(-z))), *x))
+    return spark.createDataFrame(rows, f"{churn.LABEL} int, a double, b double, c double, same double").repartition(3)
+
+
+COLUMNS = ("a", "b", "c", "same")
+
+
+def test_newton_steps_reach_the_optimum(training):
+    """The plain solver's weights and those of Spark ML; a constant feature stays out."""
+    import numpy as np
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StandardScaler
+
+    model = churn.fit_logistic(training, columns=COLUMNS)
+    table = training.toPandas()
+    x, y = table[list(COLUMNS)].to_numpy(), table[churn.LABEL].to_numpy().astype(float)
+    spread = x.std(axis=0, ddof=1)
+    x = np.hstack([np.ones((len(x), 1)), np.where(spread > 0, (x - x.mean(axis=0)) / np.where(spread > 0, spread, 1), 0)])
+    beta, penalty = np.zeros(5), np.diag([0.0, 1, 1, 1, 1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-x @ beta))
+        beta -= np.linalg.solve(x.T * (p * (1 - p)) @ x + penalty, x.T @ (p - y) + penalty @ beta)
+    assert np.allclose([model.intercept, *model.weights], beta, atol=1e-8)
+    frame = churn.assemble(training, COLUMNS)
+    scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(frame).transform(frame)
+    fitted = LogisticRegression(featuresCol="scaled", labelCol=churn.LABEL, regParam=1 / 900, standardization=False, maxIter=1000, tol=1e-12).fit(scaled)
+    assert np.allclose([fitted.intercept, *fitted.coefficients], beta, atol=1e-6)
+    assert churn.fit_logistic(training.repartition(7), columns=COLUMNS).weights == pytest.approx(model.weights, abs=1e-12)
+
+
+def test_compiled_trees_are_the_model(training):
+    from pyspark.ml.functions import vector_to_array
+
+    model = churn.fit_gbt(training, n_trees=12, columns=COLUMNS)
+    scored = churn.with_probability(model, training, COLUMNS)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "vector" not in plan.lower()
+    both = model.transform(churn.assemble(scored, COLUMNS)).select("p", vector_to_array("probability")[1].alias("q")).collect()
+    assert len(both) == 900 and max(abs(r.p - r.q) for r in both) < 1e-12
+    assert len({round(r.p, 6) for r in both}) > 10

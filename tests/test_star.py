@@ -1,6 +1,7 @@
 """Staging, dimensions, fact, checks, files."""
 
 import datetime as dt
+import re
 
 import pytest
 from support import DEFAULTS, make_lines, make_star
@@ -12,7 +13,10 @@ from tillstar.operators import checks
 from tillstar.operators.fact import in_period, line_amounts, orphan_keys, star_join
 from tillstar.operators.staging import quarantined, stage
 from tillstar.plans import etl
+from tillstar.session import together
 from tillstar.sources.files import (
+    new_version,
+    publish,
     published,
     read_cohorts,
     read_gold,
@@ -25,6 +29,7 @@ from tillstar.sources.files import (
     write_order_lines,
 )
 from tillstar.sources.schemas import GOLD, ORDER_LINES, RAW_ORDER_LINES
+from tillstar.star import Star
 
 
 def raw(spark, **change):
@@ -114,6 +119,42 @@ def test_checks_pass_and_fail(spark):
     assert checks.dq_duplicate_keys(nameless).first().failures == 1
 
 
+def test_observed_checks_are_the_scanned_ones(spark):
+    """Counted while writing: the same results, and only keys are read again."""
+    rows = [{"order_id": f"SO-{i}", "customer_id": f"C{i % 5}", "quantity": None if i == 3 else -1 if i == 4 else i} for i in range(8)]
+    stg = make_lines(spark, rows)
+    star = make_star(stg)
+    broken = Star(**{**star.tables(), "dim_store": star.dim_store.union(star.dim_store)})
+    more = stg.union(stg.limit(2))
+    fact = star.fact_sales.agg(*[c.alias(n) for n, c in checks.fact_metrics().items()]).first().asDict()
+    staged = more.agg(*[c.alias(n) for n, c in checks.staging_metrics().items()]).first().asDict()
+    scanned = checks.run_checks(broken, more).unionByName(checks.extended_checks(broken))
+    found = checks.observed_checks(broken, fact, staged)
+    as_dict = lambda df: {r.check_name: r.failures for r in df.collect()}
+    assert as_dict(found) == as_dict(scanned) and any(as_dict(found).values())
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", found._jdf.queryExecution().executedPlan().toString())
+    assert read and {c.split(":")[0] for r in read for c in r.split(",") if c} <= set(Star.KEYS.values())
+
+
+def test_publishers_at_one_time(spark, tmp_path):
+    """Nobody's version stays hidden behind an earlier one, also where two take the same number."""
+    folder = str(tmp_path / "gold")
+    marks = tmp_path / "gold" / "manifests"
+    versions = [new_version(folder) for _ in range(6)]
+    together(spark, *[lambda v=v: publish(spark, folder, v, keep=10) for v in versions])
+    held = sorted(p.name for p in marks.iterdir() if not p.name.startswith("."))
+    assert {n[10:] for n in held} == {v.rpartition("/")[2] for v in versions}  # all were published
+    last = max(n[:9] for n in held)
+    assert published(spark, folder).endswith(min(n[10:] for n in held if n[:9] == last))
+    for name in ("0" * 12, "f" * 12):  # after a rival that took the number in between
+        number = int(max(p.name for p in marks.iterdir() if not p.name.startswith("."))[:9]) + 1
+        publish(spark, folder, f"{folder}/versions/{name}", keep=10)
+        (marks / f"{number:09d}-777777777777").touch()
+        assert published(spark, folder).endswith("777777777777" if name > "7" else name)
+        publish(spark, folder, f"{folder}/versions/{name}1", keep=10)
+        assert published(spark, folder).endswith(f"{name}1")
+
+
 def test_empty_input_does_not_pass_the_gate(spark, tmp_path):
     with pytest.raises(checks.QualityCheckError, match="empty fact"):
         etl.run(make_lines(spark, []), str(tmp_path / "gold"))

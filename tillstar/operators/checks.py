@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.operators.fact import line_amounts, orphan_keys
+from tillstar.operators.fact import line_amounts, net_revenue, orphan_keys
 from tillstar.sources.schemas import GOLD, RELATIONSHIPS
 from tillstar.star import Star
 
@@ -113,6 +114,33 @@ def extended_checks(star: Star) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def fact_metrics() -> dict[str, Column]:
+    """What the checks need to know of the fact's rows, as aggregates that can be observed while it is written."""
+    holes = {f"missing {c}": F.count_if(F.col(c).isNull()) for c in REQUIRED}
+    return {"rows": F.count("*"), "negative": F.count_if(F.col("net_revenue") < 0), "paise": F.sum("net_revenue") * 100, **holes}
+
+
+def staging_metrics() -> dict[str, Column]:
+    return {"rows": F.count("*"), "paise": F.sum(net_revenue()) * 100}
+
+
+def observed_checks(star: Star, fact: Mapping[str, object], stg: Mapping[str, object]) -> DataFrame:
+    """The five checks and the extended ones from observed ``fact_metrics`` and ``staging_metrics``: neither the
+    fact's columns nor staging are scanned again, only date keys and the dimensions' keys are."""
+    of = lambda found, name: int(found.get(name) or 0)
+    known = {
+        ROW_PARITY: abs(of(fact, "rows") - of(stg, "rows")),
+        NEGATIVE_REVENUE: of(fact, "negative"),
+        RECONCILES: abs(of(fact, "paise") - of(stg, "paise")),
+        "empty fact": int(of(fact, "rows") == 0),
+        **{f"missing {c}": of(fact, f"missing {c}") for c in REQUIRED},
+    }
+    parts = [star.spark.createDataFrame(list(known.items()), "check_name string, failures bigint")]
+    parts += [dq_orphan_dates(star.fact_sales, star.dim_date).select("check_name", "failures"), dq_duplicate_keys(star.dim_customer)]
+    parts += [dq_duplicate_keys(getattr(star, n), k, f"duplicate {k}") for n, k in Star.KEYS.items() if n != "dim_customer"]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dq_gate(checks: DataFrame) -> DataFrame:
     """Raise on any failure (or missing result); return the checks otherwise.
 

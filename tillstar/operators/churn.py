@@ -1,13 +1,15 @@
-"""Churn models on Spark ML: split, fit, evaluate, score, explain."""
+"""Churn models: split, fit (Newton steps; boosted trees of Spark ML), evaluate, score, explain."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from tillstar.functions.columns import risk_band
 from tillstar.operators.features import FEATURES
 from tillstar.operators.keys import side_by_side, with_dense_key
 from tillstar.operators.metrics import average_precision, lift, roc_auc, score_curve
-from tillstar.session import scratch_root
+from tillstar.session import materialize, scratch_root
 
 LABEL = "churned"
 ROWS_PER_TASK = 50_000  # training rows of one task in a boosting round
@@ -41,15 +43,64 @@ def assemble(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(df)
 
 
-def fit_logistic(train: DataFrame, label: str = LABEL, columns: Sequence[str] = FEATURES) -> PipelineModel:
-    """Standardised features and L2 logistic regression; the penalty is that of C = 1."""
-    rows = max(train.count(), 1)
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    model = LogisticRegression(
-        featuresCol="scaled", labelCol=label, regParam=1.0 / rows, elasticNetParam=0.0,
-        standardization=False, maxIter=1000,
-    )
-    return Pipeline(stages=[scaler, model]).fit(assemble(train, columns))
+@dataclass(frozen=True)
+class Logistic:
+    """Weights of the standardised features, and what standardises them."""
+
+    means: tuple[float, ...]
+    spreads: tuple[float, ...]
+    weights: tuple[float, ...]
+    intercept: float
+
+    def probability(self, values: Sequence[Column]) -> Column:
+        return _sigmoid(_linear(values, self.means, self.spreads, self.weights, self.intercept))
+
+
+def _sigmoid(z: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def _linear(values: Sequence[Column], means, spreads, weights, intercept) -> Column:
+    z = F.lit(float(intercept))
+    for v, m, s, w in zip(values, means, spreads, weights, strict=True):
+        if s:
+            z = z + (v.cast("double") - float(m)) * float(w / s)
+    return z
+
+
+def fit_logistic(train: DataFrame, label: str = LABEL, columns: Sequence[str] = FEATURES, rounds: int = 50) -> Logistic:
+    """Standardised features and L2 logistic regression with the penalty of C = 1, by Newton's method.
+
+    A step is one aggregate: the gradient and the products of every two features, each weighted
+    by p (1 - p), are 13 + 91 sums for 12 features, whatever the number of rows; the driver solves
+    that small system. Without a random choice, and done when no weight moves any more.
+    """
+    columns = list(columns)
+    values = [F.col(c).cast("double") for c in columns]
+    found = train.agg(*[f(v) for v in values for f in (F.avg, F.stddev)]).first()
+    means = tuple(float(x or 0) for x in found[::2])
+    spreads = tuple(float(x or 0) for x in found[1::2])
+    rows = train.select(F.col(label).cast("double").alias("_y"), *[v.alias(f"_{i}") for i, v in enumerate(values)])
+    scaled = [(F.col(f"_{i}") - m) / s if s else F.lit(0.0) for i, (m, s) in enumerate(zip(means, spreads, strict=True))]
+    rows = materialize(rows.select("_y", *[x.alias(f"_{i}") for i, x in enumerate(scaled)]), "standardised")
+    size = len(columns) + 1
+    x = [F.lit(1.0), *[F.col(f"_{i}") for i in range(size - 1)]]
+    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    beta = np.zeros(size)
+    penalty = np.diag([0.0, *[1.0] * (size - 1)])
+    for _ in range(rounds):
+        z = _linear(x[1:], [0.0] * (size - 1), [1.0] * (size - 1), beta[1:].tolist(), beta[0])
+        weighed = rows.withColumn("_p", _sigmoid(z)).withColumn("_h", F.col("_p") * (1 - F.col("_p")))
+        sums = [F.sum((F.col("_p") - F.col("_y")) * v) for v in x] + [F.sum(F.col("_h") * x[i] * x[j]) for i, j in pairs]
+        got = [float(v or 0) for v in weighed.agg(*sums).first()]
+        hessian = np.zeros((size, size))
+        for (i, j), v in zip(pairs, got[size:], strict=True):
+            hessian[i, j] = hessian[j, i] = v
+        step = np.linalg.lstsq(hessian + penalty, np.array(got[:size]) + penalty @ beta, rcond=None)[0]
+        beta = beta - step
+        if np.abs(step).max() < 1e-10:
+            break
+    return Logistic(means, spreads, tuple(beta[1:].tolist()), float(beta[0]))
 
 
 def fit_gbt(
@@ -70,10 +121,58 @@ def fit_gbt(
     return Pipeline(stages=[model]).fit(assemble(train.select(label, *columns), columns).select(label, "features").coalesce(parts))
 
 
-def with_probability(model: PipelineModel, df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
+_NODE = re.compile(r"^(\s*)(If|Else) \(feature (\d+) (<=|>) (\S+)\)$|^(\s*)Predict: (\S+)$")
+
+
+def trees(model: PipelineModel) -> list[tuple[float, list]]:
+    """Weight and nodes of each boosted tree: ``[feature, threshold, left, right]``, or ``[value]`` for a leaf."""
+    boosted = model.stages[-1]
+    out = []
+    for tree, weight in zip(boosted.trees, boosted.treeWeights, strict=True):
+        lines = [m for m in map(_NODE.match, tree.toDebugString.splitlines()) if m]
+        node, rest = _node(lines)
+        if rest:
+            raise ValueError("a tree that is not understood")
+        out.append((float(weight), node))
+    return out
+
+
+def _node(lines: list) -> tuple[list, list]:
+    head = lines[0]
+    if head[7] is not None:
+        return [float(head[7])], lines[1:]
+    if (head[2], head[4]) != ("If", "<="):
+        raise ValueError("only splits of numbers")
+    left, rest = _node(lines[1:])
+    if rest[0][2] != "Else":
+        raise ValueError("a split without its other side")
+    right, rest = _node(rest[1:])
+    return [int(head[3]), float(head[5]), left, right], rest
+
+
+def boosted_probability(model: PipelineModel, values: Sequence[Column]) -> Column:
+    """The fitted boosted trees as one column expression: nested conditions per tree, their weighted sum, and
+    its logistic. Rows are scored where they are, without vectors or a call into the model."""
+
+    def nested(node: list) -> Column:
+        if len(node) == 1:
+            return F.lit(node[0])
+        feature, threshold, left, right = node
+        return F.when(values[feature].cast("double") <= threshold, nested(left)).otherwise(nested(right))
+
+    terms = F.array(*[nested(n) * F.lit(w) for w, n in trees(model)])
+    margin = F.aggregate(terms, F.lit(0.0), lambda total, v: total + v)
+    return _sigmoid(margin * 2)
+
+
+def probability(model: Logistic | PipelineModel, values: Sequence[Column]) -> Column:
+    """The churn probability of either model as a column over its features, in their order."""
+    return model.probability(values) if isinstance(model, Logistic) else boosted_probability(model, values)
+
+
+def with_probability(model: Logistic | PipelineModel, df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Adds ``p``, the churn probability."""
-    scored = model.transform(assemble(df, columns))
-    return scored.withColumn("p", vector_to_array("probability")[1]).select(*df.columns, "p")
+    return df.withColumn("p", probability(model, [F.col(c) for c in columns]))
 
 
 def evaluate(scored: DataFrame, name: str, label: str = LABEL, score: str = "p") -> DataFrame:
@@ -106,18 +205,14 @@ def score_frame(labelled: DataFrame, segments: DataFrame, probability: Column) -
     )
 
 
-def linear_attribution(
-    model: PipelineModel, df: DataFrame, columns: Sequence[str] = FEATURES
-) -> DataFrame:
+def linear_attribution(model: Logistic, df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Mean absolute contribution per feature to the log-odds of the logistic model.
 
     For a linear model the contribution against the training mean is exactly
     weight x standardised value; one aggregate over the rows.
     """
-    scaler, logistic = model.stages
-    spread = scaler.std.toArray()
-    weights = [float(w) / float(s) if s else 0.0 for w, s in zip(logistic.coefficients.toArray(), spread)]
-    return linear_terms(df, columns, weights, scaler.mean.toArray())
+    weights = [w / s if s else 0.0 for w, s in zip(model.weights, model.spreads, strict=True)]
+    return linear_terms(df, columns, weights, model.means)
 
 
 def linear_terms(df: DataFrame, columns: Sequence[str], weights: Sequence[float], means: Sequence[float]) -> DataFrame:
@@ -129,7 +224,7 @@ def linear_terms(df: DataFrame, columns: Sequence[str], weights: Sequence[float]
 
 
 def permutation_attribution(
-    model: PipelineModel, df: DataFrame, columns: Sequence[str] = FEATURES, label: str = LABEL, key: str = "customer_id"
+    model: Logistic | PipelineModel, df: DataFrame, columns: Sequence[str] = FEATURES, label: str = LABEL, key: str = "customer_id"
 ) -> DataFrame:
     """Loss of AUC when one feature is shuffled, for any model.
 
@@ -161,11 +256,8 @@ def permutation_attribution(
         (c, [F.col(f"_{j}") if i == j else F.col(x) for i, x in enumerate(columns)]) for j, c in enumerate(columns)
     ]
     each = F.array(*[F.struct(F.lit(n).alias("feature"), F.array(*v).alias("v")) for n, v in variants])
-    rescored = model.transform(
-        placed.join(moved, "_at")
-        .select(label, F.explode(each).alias("x"))
-        .select(label, "x.feature", array_to_vector("x.v").alias("features"))
-    ).withColumn("p", vector_to_array("probability")[1])
+    shuffled = placed.join(moved, "_at").select(label, F.explode(each).alias("x")).select(label, "x.feature", "x.v")
+    rescored = shuffled.withColumn("p", probability(model, [F.col("v")[i] for i in range(len(columns))]))
     auc = roc_auc(score_curve(rescored, "p", label, ["feature"]), ["feature"])
     # Thirteen rows: the unshuffled AUC is the one of the empty feature name.
     whole = F.max(F.when(F.col("feature") == "", F.col("roc_auc")))

@@ -12,6 +12,12 @@ from tillstar.sources.schemas import GOLD
 from tillstar.star import Star
 
 
+def net_revenue() -> Column:
+    """Net revenue of a line, rounded to 2 decimals."""
+    gross = F.col("quantity").cast("decimal(10,0)") * F.col("unit_price")
+    return F.round(gross * (1 - F.col("discount_pct")), 2).cast("decimal(18,2)")
+
+
 def line_amounts(lines: DataFrame) -> DataFrame:
     """Add net revenue, discount and cost of a line, each rounded to 2 decimals."""
     q = F.col("quantity").cast("decimal(10,0)")
@@ -19,7 +25,7 @@ def line_amounts(lines: DataFrame) -> DataFrame:
     money = "decimal(18,2)"
     return lines.withColumns(
         {
-            "net_revenue": F.round(gross * (1 - F.col("discount_pct")), 2).cast(money),
+            "net_revenue": net_revenue(),
             "discount_amount": F.round(gross * F.col("discount_pct"), 2).cast(money),
             "cost": F.round(q * F.col("unit_cost"), 2).cast(money),
         }

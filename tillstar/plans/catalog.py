@@ -687,6 +687,31 @@ query("rls_dynamic_one_country")(partial(_rls, "europe.manager"))
 query("rls_dynamic_unmapped")(partial(_rls, "nobody"))
 
 
+def _rls_views(mapping: DataFrame, w: Warehouse) -> DataFrame:
+    """SQL over secured views, as the session's own user."""
+    security.secured_views(w.star, mapping, "secured_")
+    return w.spark.sql(
+        """SELECT country, SUM(net_revenue) AS total_revenue, COUNT(DISTINCT order_id) AS orders
+        FROM secured_fact_sales JOIN secured_dim_store USING (store_key) WHERE NOT is_returned GROUP BY country"""
+    )
+
+
+@query("rls_views")
+def _(w):
+    me = w.spark.range(1).select(F.current_user().alias("user_email"), F.lit("EUROPE").alias("country"))
+    return _rls_views(w.mapping.unionByName(me), w)
+
+
+@query("rls_views_unmapped")
+def _(w):
+    return _rls_views(w.mapping, w)
+
+
+@query("quality_checks_observed")
+def _(w):
+    return w.built.checks
+
+
 @query("rls_measure")
 def _(w):
     seen = security.secure_static(w.star, COUNTRY)

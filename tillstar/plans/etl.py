@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-from tillstar.operators.checks import dq_gate, extended_checks, run_checks
+from tillstar.operators.checks import dq_gate, fact_metrics, observed_checks, staging_metrics
 from tillstar.operators.dims import DOMESTIC, dim_customer, dim_date, dim_product, dim_store
 from tillstar.operators.fact import build_fact
 from tillstar.operators.staging import stage
@@ -35,16 +35,18 @@ def run(
 ) -> Built:
     """read -> stage -> dimensions -> fact -> checks -> gate -> export.
 
+    What the checks ask of whole rows is counted while staging and the fact are written.
     Everything is written to a new version of ``folder``, which is published after the gate by
     one small file; a failed run leaves the old version as it was. A parquet star is not written
     twice; a CSV export is a second write by nature. Intermediate tables are deleted.
     """
     spark: SparkSession = tune(raw.sparkSession)
-    stg = materialize(stage(raw), "staging")
+    staged = Observation()
+    stg = materialize(_observed(stage(raw), staged, staging_metrics()), "staging")
     version = new_version(folder) if folder else None
     work = version if folder and fmt == "parquet" else scratch_path(spark, "star")
     try:
-        built = _build(spark, stg, work, domestic, fy_start_month)
+        built = _build(spark, stg, staged, work, domestic, fy_start_month)
         if folder:
             extra = {"security_user_country": security} if security is not None else {}
             write_gold(extra if fmt == "parquet" else built.star.tables() | extra, version, fmt)
@@ -61,7 +63,12 @@ def _read_star(spark: SparkSession, folder: str) -> Star:
     return Star(**{n: read_gold(spark, folder, n, "parquet") for n in (*Star.KEYS, "fact_sales")})
 
 
-def _build(spark: SparkSession, stg: DataFrame, work: str, domestic: str, fy_start_month: int) -> Built:
+def _observed(df: DataFrame, into: Observation, metrics: dict[str, Column]) -> DataFrame:
+    """``df`` whose writer also counts ``metrics``."""
+    return df.observe(into, *[c.alias(n) for n, c in metrics.items()])
+
+
+def _build(spark: SparkSession, stg: DataFrame, staged: Observation, work: str, domestic: str, fy_start_month: int) -> Built:
     builders = {
         "dim_date": lambda: dim_date(stg, fy_start_month),
         "dim_customer": lambda: dim_customer(stg),
@@ -70,8 +77,9 @@ def _build(spark: SparkSession, stg: DataFrame, work: str, domestic: str, fy_sta
     }
     together(spark, *[lambda n=n, b=b: write_gold({n: b()}, work) for n, b in builders.items()])
     dims = {n: read_gold(spark, work, n, "parquet") for n in Star.KEYS}
-    write_gold({"fact_sales": build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"])}, work)
+    fact, written = build_fact(stg, dims["dim_customer"], dims["dim_store"], dims["dim_product"]), Observation()
+    write_gold({"fact_sales": fact}, work, observe=lambda f: _observed(f, written, fact_metrics()))
     star = _read_star(spark, work)
-    checks = materialize(run_checks(star, stg).unionByName(extended_checks(star)), "checks")
+    checks = materialize(observed_checks(star, written.get, staged.get), "checks")
     dq_gate(checks)
     return Built(stg, star, checks, work)

@@ -6,6 +6,7 @@ from the way the DataFrame operators work, so that each checks the other.
 
 from __future__ import annotations
 
+from tillstar.operators.checks import REQUIRED
 from tillstar.operators.rollups import CALENDAR, GEOGRAPHY, PRODUCT
 from tillstar.plans.catalog import CALC_GROUP_QUERIES, NAMES, TIME_QUERIES
 from tillstar.sources.schemas import GOLD, ORDER_LINES_TEXT
@@ -674,6 +675,10 @@ for _suffix, _fact, _prefix, _more in (("", "w", "dim", ""), ("_damaged", "bad_f
     _sql("orphan_keys" + _suffix, _orphans(_fact, _dims), ctes=_more)
     _sql("relationship_contract" + _suffix, _relationships(_fact, _dims), True, ctes=_more)
 ORACLES["dq_gate"] = ORACLES["quality_checks"]
+_holes = [f"SELECT 'missing {c}', COUNT(*) - COUNT({c}) FROM w" for c in REQUIRED]
+_keys = [f"SELECT 'duplicate {k}', {_surplus(t, k)}" for t, k in (("dim_date", "date_key"), ("dim_store", "store_key"), ("dim_product", "product_key"))]
+_sql("quality_checks_observed", " UNION ALL ".join([*_dq("w", "dim_date", "dim_customer").values(),
+     "SELECT 'empty fact', CAST(COUNT(*) = 0 AS BIGINT) FROM w", *_holes, *_keys]))
 _sql("order_dedup", f"SELECT order_id, customer_id, {_s('order_date')}, channel FROM ord", True)
 
 
@@ -702,6 +707,9 @@ _sql("rls_static", f"SELECT country, COUNT(*) AS lines FROM w WHERE country = '{
 for _n, _user in (("rls_dynamic", "head"), ("rls_dynamic_one_country", "europe.manager"), ("rls_dynamic_unmapped", "nobody")):
     _sql(_n, f"""SELECT country, {MEASURE_SQL['total_revenue']} AS total_revenue, {ORDERS} AS orders FROM w
       WHERE country IN (SELECT country FROM ({TABLES['security_user_country']}) WHERE user_email = '{_user}') GROUP BY country""")
+for _n, _where in (("rls_views", "country = 'EUROPE'"), ("rls_views_unmapped", "FALSE")):
+    _sql(_n, f"""SELECT country, CAST(SUM(net_revenue) AS DOUBLE) AS total_revenue, COUNT(DISTINCT order_id) AS orders
+      FROM w WHERE NOT is_returned AND {_where} GROUP BY country""")
 _sql("rls_measure", "SELECT " + ", ".join(f"{MEASURE_SQL[n]} AS {n}" for n in
      ("total_revenue", "gross_margin_pct", "active_customers")) + f" FROM w WHERE country = '{COUNTRY}' AND year = {YEAR}")
 _sql("rls_scores", "SELECT customer_id, churn_risk FROM scores WHERE customer_id IN (SELECT customer_id FROM w WHERE country = 'ASIA')", True)

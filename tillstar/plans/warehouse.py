@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tillstar.functions.columns import ratio
 from tillstar.operators import churn
 from tillstar.plans import customers, etl
-from tillstar.session import hadoop_path, materialize, scratch_path
+from tillstar.session import hadoop_path, materialize, scratch_path, together
 from tillstar.sources.bound import TABLES, bind_order_lines
 from tillstar.sources.schemas import ORDER_LINES_TEXT
 from tillstar.sources.files import security_map, write_gold, write_order_lines
@@ -131,7 +131,8 @@ class Warehouse:
 
     @cached_property
     def model_metrics(self) -> DataFrame:
-        """Test metrics of both models."""
+        """Test metrics of both models, which are fitted side by side."""
+        together(self.spark, lambda: self.logistic, lambda: self.boosted)
         test = self.split.filter("is_test")
         return materialize(
             churn.evaluate(churn.with_probability(self.logistic, test), "logistic_regression").unionByName(

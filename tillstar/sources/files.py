@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,13 +53,19 @@ def write_order_lines(lines: DataFrame, path: str) -> None:
     writer.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet") -> DataFrame | None:
+def write_gold(
+    tables: dict[str, DataFrame],
+    folder: str,
+    fmt: str = "parquet",
+    observe: Callable[[DataFrame], DataFrame] = lambda fact: fact,
+) -> DataFrame | None:
     """Export every table; returns (table, path), None without tables.
 
     The parquet fact is partitioned by year and month, so files of different months never
     overlap in their days, and sorted by day within a file for row-group skipping. The
     rebalance hint lets AQE split a month that holds much of the data and merge small
-    ones in a task.
+    ones in a task. ``observe`` may attach metrics to the parquet fact; they are counted in
+    the writing tasks, behind the last exchange, so a lost executor counts nothing twice.
     """
     if fmt not in ("parquet", "csv"):
         raise ValueError("fmt must be 'parquet' or 'csv'")
@@ -76,7 +82,8 @@ def write_gold(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet")
         elif name == "fact_sales":
             month = F.floor(F.col("date_key") / 100).cast("int")
             placed = df.select(*contract, F.floor(month / 100).cast("int").alias("year"), month.alias("year_month_key"))
-            laid_out = placed.hint("rebalance", F.col("year_month_key")).sortWithinPartitions("year_month_key", "date_key")
+            laid_out = observe(placed.hint("rebalance", F.col("year_month_key")))
+            laid_out = laid_out.sortWithinPartitions("year", "year_month_key", "date_key")
             laid_out.write.mode("overwrite").partitionBy("year", "year_month_key").parquet(path)
         else:
             df.select(*contract).write.mode("overwrite").parquet(path)
@@ -90,30 +97,41 @@ def new_version(folder: str) -> str:
 
 
 def _manifests(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """Number and version of every manifest, the published one last: of one number the smallest version name counts."""
     fs, path = hadoop_path(spark, f"{folder.rstrip('/')}/manifests")
     if not fs.exists(path):
         return []
     names = [f.getPath().getName() for f in fs.listStatus(path)]
     found = [re.fullmatch(r"(\d{9})-([0-9a-f]+)", n) for n in names]
-    return sorted((int(m[1]), m[2]) for m in found if m)
+    return sorted(sorted(((int(m[1]), m[2]) for m in found if m), key=lambda x: x[1], reverse=True), key=lambda x: x[0])
 
 
 def publish(spark: SparkSession, folder: str, version: str, keep: int = 2) -> None:
     """Make a finished version the one that readers of ``folder`` get.
 
     One empty file named after the version is created last; no data is moved, so a failure
-    before it leaves the old version published whole. Readers that opened an older version
-    keep its files until ``keep`` newer ones exist.
+    before it leaves the old version published whole. Publishers at one time may take the same number:
+    each looks again after creating its file, and one that finds a smaller name under its number, which
+    readers take, goes on to the next number. So the last to look is published, on any storage that lists
+    what was created, and nobody's version stays hidden behind an earlier one.
+    Readers that opened an older version keep its files until ``keep`` newer ones exist.
     """
-    root, done = folder.rstrip("/"), _manifests(spark, folder)
-    number = done[-1][0] + 1 if done else 1
+    root, name = folder.rstrip("/"), version.rpartition("/")[2]
     fs, manifests = hadoop_path(spark, f"{root}/manifests")
     fs.mkdirs(manifests)
-    _, mark = hadoop_path(spark, f"{root}/manifests/{number:09d}-{version.rpartition('/')[2]}")
-    fs.create(mark, False).close()
-    for old, name in done[: len(done) + 1 - keep]:
-        for gone in (f"{root}/manifests/{old:09d}-{name}", f"{root}/versions/{name}"):
-            fs.delete(hadoop_path(spark, gone)[1], True)
+    while True:
+        done = _manifests(spark, folder)
+        number = done[-1][0] + 1 if done else 1
+        _, mark = hadoop_path(spark, f"{root}/manifests/{number:09d}-{name}")
+        fs.create(mark, False).close()
+        done = _manifests(spark, folder)
+        if not [1 for n, rival in done if n == number and rival < name]:
+            break
+        fs.delete(mark, False)
+    older = done[: done.index((number, name))]
+    for old, gone in older[: max(0, len(older) + 1 - keep)]:
+        for path in (f"{root}/manifests/{old:09d}-{gone}", f"{root}/versions/{gone}"):
+            fs.delete(hadoop_path(spark, path)[1], True)
 
 
 def published(spark: SparkSession, folder: str) -> str:
