@@ -4,11 +4,13 @@ A document is the set of its hashed word shingles. Equal sets form a class. A cl
 ``k`` smallest hashes of its set. Two sets with similarity of at least ``percent`` share at least
 ``least`` of their retained values (but for a chance below 1e-8), so they also share one of each
 one's rarest ``k - least + 1`` values: only those enter the inverted lists, and values that
-very many documents hold stay out of them. Members of a list are compared with hubs of the list, in rounds:
-links found merge components, lists that lie in one component are done, and a list with open
-members gets more, other hubs in the next round, so that every two members of a list end in
-one component or have been compared. A compared pair must pass the estimate from the union
-of both sketches, then exact similarity on the full sets.
+very many documents hold stay out of them. Members of a list are compared with a hub of the list;
+links found merge components, and lists that lie in one component are done. Classes of the lists that
+are still open (large groups of half-alike documents) get exact lists from their full sets, which
+documents with a fifth of their shingles for themselves do not enter, and go on with these in rounds of
+more and other hubs, so that every two members of a list end in one component or have been compared.
+A compared pair must pass the estimate from the union of both sketches, then exact similarity on the
+full sets.
 
 Shingles equal in 64 bits of hash count as equal. Defined cases: a document without words or text has an
 empty set and is linked with nothing; fewer words than a shingle's make one shingle; rows are
@@ -70,7 +72,7 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(values))
 
 
-_SKETCH = "doc_id bigint, th int, n int, d1 bigint, d2 bigint, sketch array<bigint>"
+_SKETCH = "doc_id bigint, th binary, n int, d1 bigint, d2 bigint, sketch array<bigint>"
 
 
 def sketches(docs: DataFrame, words: int, k: int) -> DataFrame:
@@ -119,13 +121,28 @@ def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> Da
     return rarest.select("rep", "d1", "n", F.explode(F.slice("vs", 1, F.greatest(room, F.lit(0)))).alias("x")).select("x.v", "rep", "d1", "n")
 
 
+def exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``v, n, node`` for some classes, from their full sets: each class under its rarest shingles, as many as
+    two sets must have one of in common to be linked. A shingle that no other of these classes holds takes a
+    place without a list, so a set with many shingles of its own enters few lists or none; no link is lost.
+    """
+    values = sets.select(_node().alias("node"), "shingles").join(nodes, "node", "left_semi")
+    values = values.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("v"))
+    counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "exact_counts")
+    rarest = values.join(counts, "v").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    # A linked set has `needed` shingles in common with its partner, so one of the other places' and one more.
+    needed = F.ceil(F.col("n") * percent / 100).cast("int")
+    room = F.size("vs") - needed + 1
+    return rarest.select("node", "n", F.explode(F.slice("vs", 1, F.greatest(room, F.lit(0)))).alias("x")).select("x.v", "n", "node")
+
+
 def _node():
     return F.struct("rep", "d1")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame:
     """The pairs ``a, b`` whose exact similarity is at least ``percent``."""
-    brief = sets.select(_node().alias("node"), F.slice("shingles", 1, k).alias("s"))
+    brief = classes.select(_node().alias("node"), F.col("sketch").alias("s"))
     both = pairs.join(brief.toDF("a", "sa"), "a").join(brief.toDF("b", "sb"), "b")
     union = F.slice(F.sort_array(F.array_union("sa", "sb")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("sa", "sb")))
@@ -139,41 +156,59 @@ def verified(pairs: DataFrame, sets: DataFrame, k: int, percent: int, least: flo
     return both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def links(lists: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame | None:
+def links(lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame | None:
     """``node, component`` of the linked classes, None without any link.
 
-    A list's first hub is its member with the smallest hash, so lists with nearly the same members share
-    their hub and its comparisons. Later rounds take other members by hash, sixteen times as many each."""
-    open_, comps, hubs = lists.select("v", "n", _node().alias("node")), None, 1
-    while True:
-        named = open_.withColumn("comp", F.col("node"))
-        if comps is not None:
-            named = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-        place = F.xxhash64(F.lit(hubs), "node")
-        named = named.withColumn("place", place)
-        spread = named.groupBy("v").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("place").alias("first"))
-        spread = spread.where("lo <> hi").select("v", "size", "first")  # lists with members of several components
-        hub = F.col("place") == F.col("first")
-        if hubs > 1:
-            hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("place", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
-        marked = materialize(named.join(spread, "v").select("v", "n", "node", "comp", hub.alias("hub")), "marked")
-        if marked.isEmpty():
-            return comps
-        heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-        members = marked.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("hub").alias("bh"))
-        pairs = heads.join(members, "v").where("ac <> bc and (not bh or a < b)")
-        pairs = pairs.where(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        new = materialize(verified(pairs, sets, k, percent, least), "verified")
-        if not new.isEmpty():
-            known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("component").alias("b"))]
-            comps = components(reduce(DataFrame.unionAll, known, new))
-        open_ = marked.where("not hub").select("v", "n", "node")
+    The first round compares the members of each list of retained values with the list's hub, its member with the
+    smallest hash, so lists with nearly the same members share their hub and its comparisons. Classes whose lists
+    are still open get exact lists from their full sets; further rounds take these, with sixteen times as many
+    hubs each, until every two members of a list have been compared or lie in one component."""
+    comps, checked = None, lambda pairs: verified(pairs, classes, sets, k, percent, least)
+    open_, comps = _round(lists.select("v", "n", _node().alias("node")), comps, 1, percent, checked)
+    if open_ is None:
+        return comps
+    still = _open(open_, comps).select("node").distinct()
+    open_, hubs = materialize(exact_lists(sets, still, percent), "exact_lists"), 1
+    while open_ is not None:
+        open_, comps = _round(open_, comps, hubs, percent, checked)
         hubs *= 16
+    return comps
+
+
+def _open(lists: DataFrame, comps: DataFrame | None, seed: int = 0) -> DataFrame:
+    """The members of lists that do not lie in one component: ``v, n, node, comp, place, size, first``."""
+    named = lists.withColumn("comp", F.col("node"))
+    if comps is not None:
+        named = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    named = named.withColumn("place", F.xxhash64(F.lit(seed), "node"))
+    spread = named.groupBy("v").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("place").alias("first"))
+    return named.join(spread.where("lo <> hi").select("v", "size", "first"), "v")
+
+
+def _round(lists: DataFrame, comps: DataFrame | None, hubs: int, percent: int, checked) -> tuple[DataFrame | None, DataFrame | None]:
+    """Compare the members ``v, n, node`` of each list with its hubs; the members that were no hubs, and the components."""
+    hub = F.col("place") == F.col("first")
+    if hubs > 1:
+        hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("place", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
+    marked = materialize(_open(lists, comps, hubs).select("v", "n", "node", "comp", hub.alias("hub")), "marked")
+    if marked.isEmpty():
+        return None, comps
+    heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
+    members = marked.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("hub").alias("bh"))
+    pairs = heads.join(members, "v").where("ac <> bc and (not bh or a < b)")
+    pairs = pairs.where(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    new = materialize(checked(pairs), "verified")
+    if not new.isEmpty():
+        known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("component").alias("b"))]
+        comps = components(reduce(DataFrame.unionAll, known, new))
+    return marked.where("not hub").select("v", "n", "node"), comps
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, k: int = K, least: float = LEAST) -> DataFrame:
-    """``doc_id, th, n_shingles, component_id, kept``, a row for each input row."""
+    """``doc_id, th, n_shingles, component_id, kept, group``, a row for each input row.
+
+    ``group`` is the same for the rows of one component, also where they lack an id, and null for empty sets."""
     rows = materialize(sketches(docs, words, k), "sketches")
     filled = rows.where("n > 0")
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"), F.col("th"))).alias("first")
@@ -185,14 +220,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     keyed = row_keyed(docs).select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("rep"), "th", "text")
     # Equal rows have equal sets: one of them is enough.
     sets = materialize(full_sets(keyed.join(wanted, ["rep", "th"]), words).dropDuplicates(["rep", "d1"]), "sets")
-    comps = links(lists, sets, k, percent, least)
+    comps = links(lists, classes, sets, k, percent, least)
     named = classes.select("d1", "d2", _node().alias("node"))
     if comps is not None:
         named = named.join(comps, "node", "left").withColumn("node", F.coalesce("component", "node"))
-    named = named.select("d1", "d2", F.col("node.rep").alias("component_id"))
+    named = named.select("d1", "d2", F.col("node.rep").alias("component_id"), F.col("node").alias("group"))
     members = filled.select("doc_id", "th", "n", "d1", "d2").join(named, ["d1", "d2"])
-    whole = members.select("doc_id", "th", "n", F.when(F.col("component_id") != _NO_ID, F.col("component_id")).alias("component_id"))
-    alone = rows.where("n = 0").select("doc_id", "th", "n", F.col("doc_id").alias("component_id"))
+    whole = members.select("doc_id", "th", "n", F.when(F.col("component_id") != _NO_ID, F.col("component_id")).alias("component_id"), "group")
+    alone = rows.where("n = 0").select("doc_id", "th", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast(whole.schema["group"].dataType).alias("group"))
     return whole.unionAll(alone).select(
-        "doc_id", "th", F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        "doc_id", "th", F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group"
     )
