@@ -13,7 +13,7 @@ from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.near_dup import near_duplicates
 from tillstar.llm.repeats import remove_repeats
-from tillstar.llm.sentencepiece import decode, encode
+from tillstar.llm.sentencepiece import round_trip
 from tillstar.llm.word_runs import word_runs
 from tillstar.session import hadoop_path, scratch_path
 
@@ -50,7 +50,7 @@ FROM keyed LEFT JOIN owners USING (key) GROUP BY doc_id
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and what they decode to, as digests."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs))
+    coded = round_trip(docs)
     return coded.select(
         "doc_id",
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"),

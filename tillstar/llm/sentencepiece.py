@@ -35,8 +35,9 @@ from tillstar.llm.common import pieces
 #: A public vocabulary; a parameter of every entry point.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Units a task remembers between blocks.
-REMEMBERED = 250_000
+#: Entries of one generation of a task's memory. What a block needs moves to the young generation; when that
+#: is full it becomes the old one, so that what is frequent is never forgotten.
+REMEMBERED = 200_000
 _MODEL_LIMIT = 32 << 20
 
 
@@ -60,6 +61,7 @@ class Vocabulary:
     texts: list[bytes]
     size: int
     apart: dict[int, bool] = field(default_factory=dict)
+    apart_before: dict[int, bool] = field(default_factory=dict)
     whole: dict[int, bool] = field(default_factory=dict)
 
     @classmethod
@@ -108,9 +110,13 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def stays_apart(self, left: int, right: int, text: str, cut: int) -> bool:
-        found = self.apart.get(left * self.size + right)
+        key = left * self.size + right
+        found = self.apart.get(key)
         if found is None:
-            found = self.apart[left * self.size + right] = self.merged(text) == [text[:cut], text[cut:]]
+            found = self.apart_before.get(key)
+            if found is None:
+                found = self.merged(text) == [text[:cut], text[cut:]]
+            self.apart[key] = found
         return found
 
     def stays_whole(self, k: int, piece: str) -> bool:
@@ -183,6 +189,7 @@ class Encoder:
         self.units = re.compile(f"{MARK}+[{known}]*|[{known}]+|[^{known}{MARK}]").findall
         self.words = re.compile(f"{MARK}+[^{MARK}]*").findall
         self.memory: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _marked(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         """Index and count of each text's marked words, and the distinct ones."""
@@ -224,10 +231,12 @@ class Encoder:
         empty = pc.equal(pc.binary_length(texts).fill_null(0), 0)
         index, counts, names = self._marked(texts)
         if len(self.memory) > REMEMBERED:
-            self.memory.clear()
+            self.memory, self.before = {}, self.memory
         if len(self.vocabulary.apart) > REMEMBERED:
-            self.vocabulary.apart.clear()
-        self._learn([w for w in names if w not in self.memory])
+            self.vocabulary.apart, self.vocabulary.apart_before = {}, self.vocabulary.apart
+        missing = [w for w in names if w not in self.memory]
+        self.memory.update((w, self.before[w]) for w in missing if w in self.before)
+        self._learn([w for w in missing if w not in self.before])
         coded = [self.memory[w] for w in names]
         flat = np.frombuffer(b"".join(coded), np.int32)
         sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
@@ -290,6 +299,21 @@ def encode(docs: DataFrame, model: str = MODEL, text: str = "text", ids: str = "
     return _with_column(docs, ids, T.ArrayType(T.IntegerType()), work)
 
 
+def round_trip(docs: DataFrame, model: str = MODEL, text: str = "text", ids: str = "ids", back: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the rows."""
+    data = load(model)
+
+    def work(batches):
+        encoder, decoder = Encoder(data), Decoder(data)
+        for batch in pieces(batches, 2 << 20, text):
+            column = encoder.encode(batch.column(batch.schema.get_field_index(text)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, column, decoder.decode(column)], names=[*batch.schema.names, ids, back])
+
+    docs = docs.drop(ids, back)
+    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(back, T.StringType())])
+    return docs.mapInArrow(work, schema)
+
+
 def decode(docs: DataFrame, model: str = MODEL, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``docs`` with the text of its ids column."""
     data = load(model)
