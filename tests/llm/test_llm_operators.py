@@ -441,3 +441,75 @@ def test_damaged_archive(tmp_path):
         list(warc.inflated(stream))
 
 
+
+
+def collision(spark):
+    """Two texts of lines that share Spark's 32-bit hash."""
+    from pyspark.sql import functions as F
+
+    texts = spark.range(300_000).select(F.concat(F.lit("a line that is number "), "id").alias("t"))
+    pair = texts.groupBy(F.hash("t").alias("h")).agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").first()
+    return pair["a"], pair["b"]
+
+
+def test_rows_without_an_id_are_told_apart(spark):
+    """Row keys hold more than a short hash: nothing of another row is deleted."""
+    a, b = collision(spark)
+    rows = [(None, a), (None, b), (1, a), (2, "something else that stays")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept_text").collect()
+    assert plain(got) == plain(brute.line_dedup(rows)) and (None, 1, 0, b) in plain(got)
+    near = near_duplicates(docs, words=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert plain(near) == plain(brute.near_duplicates(rows, 2))
+    long = [(None, a * 30), (None, b * 30), (1, a * 30)]
+    gone = repeats.remove_repeats(spark.createDataFrame(long, "doc_id bigint, text string"))
+    assert plain(gone.collect()) == plain(brute.repeats(long, 200))
+    items = spark.createDataFrame([(5, f"{a} and more words than five")], "item_id bigint, text string")
+    found = contaminated(spark.createDataFrame([(None, f"{a} and more words than five"), (None, b)], "doc_id bigint, text string"), items)
+    assert found.count() == 1
+
+
+def test_foreign_texts_are_rejected(spark):
+    """Languages, scripts, code and noise that were never learned; a softmax alone is sure of them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs.where(~langid.held_out()))
+    rnd = random.Random(3)
+    foreign = [
+        "Praha je hlavní a současně největší město České republiky a patnácté největší město Evropské unie.",
+        "Budapest Magyarország fővárosa és legnépesebb városa, az Európai Unió kilencedik legnépesebb városa.",
+        "Москва является столицей России и самым населённым городом страны.",
+        "北京是中华人民共和国的首都，是全国的政治中心、文化中心和国际交往中心。",
+        "def f(x):\n    return [y for y in range(x) if y % 2 == 0]\n\nclass A(B):\n    def __init__(self, q=None):\n        self.q = q or {}\n",
+        " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(7)) for _ in range(40)),
+    ]
+    table = spark.createDataFrame(list(enumerate(foreign)), "doc_id bigint, text string")
+    assert [r["accepted"] for r in langid.predict(table, model).collect()] == [False] * len(foreign)
+    held = langid.predict(docs.where(langid.held_out()), model)
+    assert held.where("accepted").count() >= 0.99 * held.count()
+
+
+def test_sample_is_bounded_without_ids(spark):
+    """Equal rows count once, rows without an id are chosen by their texts."""
+    rows = [(None, f"words of text number {i % 400} in one language", "xx") for i in range(3000)]
+    rows += [(None, "the same words again and again", "xx")] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, per_language=600)
+    assert model.languages == ["xx"] and langid.predict(docs, model).where("lang_pred <> 'xx'").count() == 0
+
+
+def test_repeats_of_frequent_words_stay_known(spark, monkeypatch):
+    """Both generations of the word memory turn over within a task; ids stay the library's."""
+    monkeypatch.setattr(sp, "REMEMBERED", 50)
+    encoder, library = sp.Encoder(sp.load(sp.MODEL)), spm.SentencePieceProcessor(model_file=sp.MODEL)
+    rnd = random.Random(2)
+    for _ in range(12):
+        texts = [_sentence(rnd, 30) + " " + "".join(rnd.choice("abcdefgh éü") for _ in range(30)) for _ in range(4)]
+        assert encoder.encode(pa.array(texts)).to_pylist() == [library.encode(t) for t in texts]
+
+
+def test_round_trip_is_encode_and_decode(spark):
+    rows = odd(sample())
+    docs = frame(spark, rows)
+    a = sp.round_trip(docs).select("doc_id", "text", "ids", "decoded").collect()
+    b = sp.decode(sp.encode(docs)).select("doc_id", "text", "ids", "decoded").collect()
+    assert plain(a) == plain(b)

@@ -103,8 +103,8 @@ def test_pipeline(spark, docs):
     model = langid.fit(table.where(~langid.held_out()))
     kept = []
     for d in docs:
-        p = model.probabilities(model.logits(langid.Texts(pa.array([d["text"]]))))[0]
-        if re.search(r"[^\W\d_]", d["text"] or "") and p.max() >= model.threshold:
+        z, strange = model.read(langid.Texts(pa.array([d["text"]])))
+        if re.search(r"[^\W\d_]", d["text"] or "") and model.probabilities(z)[0].max() >= model.threshold and strange[0] <= model.limit:
             kept.append((d["doc_id"], d["text"]))
     kept = [(d, text) for d, _, _, text in brute.line_dedup(kept)]
     kept = [row for row, found in zip(kept, brute.near_duplicates(kept, 5), strict=True) if found[3]]
@@ -122,5 +122,19 @@ def test_stages_keep_the_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd, SF_DIR)
         assert out.columns == odd.columns, name
-        assert out.count() == {"language": 2}.get(name, 3), name
+        assert out.count() == {"language": 2, "near_duplicates": 2}.get(name, 3), name
         assert stage(spark, odd.where("false"), SF_DIR).count() == 0, name
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Also where a group's rows share an id or have none; rows without words all stay."""
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    near = text.replace("sixteen", "changed")
+    rows = [
+        (7, text, "b"), (7, text, "a"), (9, near + " again", "c"), (None, "alone " + text * 2, "d"), (None, "alone " + text * 2, "d"),
+        (None, "alone " + text * 2, "e"), (3, "", "f"), (3, "", "f"), (4, None, "g"), (5, "quite another text of some words", "h"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    left = sorted(((r["doc_id"], r["lang"]) for r in stage(spark, docs.repartition(3), SF_DIR).collect()), key=repr)
+    assert left == sorted([(7, "a"), (9, "c"), (None, "d"), (3, "f"), (3, "f"), (4, "g"), (5, "h")], key=repr)

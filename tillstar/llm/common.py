@@ -29,10 +29,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def text_key(text: str) -> Column:
+    """128 bits of hash of a text; no bytes for a null one, which differs from the empty text's."""
+    return F.coalesce(F.unhex(F.md5(F.col(text).cast("binary"))), F.lit(b""))
+
+
 def row_keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, text, th``: (doc_id, th) identifies a row up to equal rows, also where doc_id
     is null or repeated; equal rows have equal results. Other columns are left out."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text"), F.hash("text").alias("th"))
+    return docs.select(F.col("doc_id").cast("long"), F.col("text"), text_key("text").alias("th"))
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:

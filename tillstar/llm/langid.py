@@ -3,12 +3,22 @@
 Subwords are the 3- and 4-byte strings of the text (A-Z lower-cased, white space as a space, digits
 alike, a space at both ends), hashed to buckets. A text's hidden vector is the mean of its subwords'
 embeddings. Both layers are trained by stochastic gradient descent in numpy on a bounded sample of
-labelled rows: about ``per_language`` rows of each language, chosen by a hash of the id; of a text of more than
-``train_bytes`` as many bytes in chunks at random places all over it. A fifth of the rows (of a language of ``FEW`` at
-least) is kept from training; up to ``HELD`` times as many of them, read whole in tasks that send their
-logits only, set the softmax temperature and the confidence below which a prediction is rejected (the
-``reject_rate`` quantile of their correct predictions, a half at most). Prediction reads whole texts; as both layers are
-linear, a table of bucket logits serves for them.
+labelled rows: about ``per_language`` rows of each of the ``LANGUAGES`` most frequent labels, chosen by a
+hash of id and text, equal rows once; of a text of more than ``train_bytes`` as many bytes in chunks at
+random places all over it. A fifth of the rows (of a language of ``FEW`` at least; smaller ones are learned
+whole and calibrated with the others) is kept from training; up to ``HELD`` times as many of them are read
+whole in tasks that send a few numbers each. They set the softmax temperature and two limits, each passed by
+all but ``reject_rate`` of the correct predictions among them:
+
+* confidence: the least probability of the predicted language; a half at most, as a calibrated prediction
+  above that is more likely right than wrong;
+* strangeness: how much rarer the text's subwords are in the predicted language's sample than the sample's own:
+  the mean log frequency below the sample's mean, in its standard deviations, less ``SHORT`` over the root of
+  their number, as short texts vary. A softmax is sure of any text, also of one in a language or script it
+  never saw; the frequencies tell. The limit has a margin (``MARGIN``, and ``LEAST_LIMIT`` at least), as what
+  is rejected should be foreign and not merely unusual.
+
+Prediction reads whole texts; as both layers are linear, a table of bucket logits serves for them.
 
 Defined cases: ``und`` with score 0 for a null text, a text without a letter, or if there is no
 labelled row; null labels are not learned; an empty table gives an empty result; of equal labels'
@@ -24,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import SPACES, Texts, pieces, table_batch
+from tillstar.llm.common import SPACES, Texts, pieces, table_batch, text_key
 
 BITS, DIM, EPOCHS, RATE = 16, 16, 6, 0.5
 MIN_STEPS = 12_000  # a small sample is passed over more often
 PER_LANGUAGE, TRAIN_BYTES, REJECT_RATE = 700, 1 << 15, 0.001
 CHUNKS = 32  # of a long text
 FEW, HELD = 25, 8
+LANGUAGES = 1000
+MARGIN, LEAST_LIMIT, SHORT = 1.5, 2.4, 6.0
 UNKNOWN = "und"
 _TOGETHER = 100
 
@@ -70,16 +82,27 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    known: np.ndarray | None = None  # log frequency of each bucket in each language's sample
+    usual: np.ndarray | None = None  # its mean and standard deviation over the sample, per language
+    limit: float = np.inf
 
     def logits(self, texts: Texts) -> np.ndarray:
+        return self.read(texts)[0]
+
+    def read(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Logits of each text, and its strangeness to the language of the largest one."""
         buckets, counts = subwords(texts)
-        out = np.zeros((len(texts), len(self.languages)))
+        out, strange = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         some = counts > 0
         if some.any():
-            starts = (np.cumsum(counts) - counts)[some]
-            sums = np.add.reduceat(self.table[buckets], starts, axis=0, dtype=np.float64)
-            out[some] = sums / np.maximum(counts[some, None] - 1, 1)
-        return out + self.bias
+            starts, real = (np.cumsum(counts) - counts)[some], np.maximum(counts[some] - 1, 1)
+            out[some] = np.add.reduceat(self.table[buckets], starts, axis=0, dtype=np.float64) / real[:, None]
+            if self.known is not None:
+                best = (out + self.bias).argmax(axis=1)
+                seen = self.known[buckets, np.repeat(best, counts)]
+                mean, spread = self.usual[best[some]].T
+                strange[some] = (mean - np.add.reduceat(seen, starts, dtype=np.float64) / real) / spread - SHORT / np.sqrt(real)
+        return out + self.bias, strange
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         z = logits / self.temperature
@@ -127,23 +150,40 @@ def train(texts: list[bytes], labels: list[str], seed: int = 7) -> Model | None:
             embed[index] -= rate * 10 * share[:, None] * back
             step += 1
     embed[-1] = 0
-    return Model(languages, (embed @ weights).astype(np.float32), bias.astype(np.float64))
-
-
-def calibrate(model: Model, logits: np.ndarray, truth: np.ndarray, reject_rate: float = REJECT_RATE) -> None:
-    """Set temperature and threshold from the logits of rows that were not trained on."""
+    known, usual = frequencies(found, y, len(languages), size)
+    return Model(languages, (embed @ weights).astype(np.float32), bias.astype(np.float64), known=known, usual=usual)
+
+
+def frequencies(found: list[np.ndarray], y: np.ndarray, languages: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log frequency of each bucket in each language's sample, smoothed, and its mean and deviation there."""
+    known, usual = np.zeros((size, languages), np.float32), np.zeros((languages, 2))
+    for k in range(languages):
+        counts = np.zeros(size)
+        for i in np.flatnonzero(y == k):
+            counts += np.bincount(found[i], minlength=size)
+        counts[-1] = 0
+        total = counts.sum()
+        known[:, k] = np.log((counts + 0.5) / (total + 0.5 * size))
+        mean = float(counts @ known[:, k] / max(total, 1))
+        usual[k] = mean, max(0.5, float(np.sqrt(counts @ (known[:, k] - mean) ** 2 / max(total, 1))))
+    known[-1] = 0  # the place-holder at a text's end counts for nothing
+    return known, usual
+
+
+def calibrate(model: Model, logits: np.ndarray, strange: np.ndarray, truth: np.ndarray, reject_rate: float = REJECT_RATE) -> None:
+    """Set temperature and both limits from rows that were not trained on."""
     rows = np.arange(len(truth))
 
     def loss(t: float) -> float:
         model.temperature = t
         return -float(np.log(np.maximum(model.probabilities(logits)[rows, truth], 1e-300)).mean())
 
-    model.temperature = min(np.geomspace(0.25, 8, 41), key=loss)
+    model.temperature = min(np.geomspace(0.01, 10, 91), key=loss)
     p = model.probabilities(logits)
     right = p.argmax(axis=1) == truth
     if right.any():
-        # never reject what is more likely right than wrong
         model.threshold = min(0.5, float(np.quantile(p.max(axis=1)[right], reject_rate)))
+        model.limit = max(LEAST_LIMIT, MARGIN * float(np.quantile(strange[right], 1 - reject_rate)))
 
 
 def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
@@ -153,24 +193,27 @@ def held_out(doc_id: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int = TRAIN_BYTES, reject_rate: float = REJECT_RATE) -> Model | None:
     """Train on ``doc_id, text, lang`` rows; which rows are seen depends on the ids' hashes alone."""
     rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    place = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
-    fifth = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0
+    labels = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in labels.collect()}
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
+    fifth = F.pmod(F.xxhash64("doc_id", "text", F.lit("held")), F.lit(5)) == 0
     trained, held = F.lit(False), F.lit(False)
     for lang, n in sorted(counts.items()):
         mine = F.col("lang") == lang
         trained = trained | (mine & (place < per_language / n) & (~fifth if n >= FEW else F.lit(True)))
         held = held | (mine & (place < HELD * per_language / n) & fifth & F.lit(n >= FEW))
-    table = rows.where(trained).select(_spread(train_bytes).alias("text"), "lang", place.alias("place")).toArrow().to_pandas()
+    # Rows without an id, or with a shared one, are told apart by their texts; equal ones count once.
+    table = rows.where(trained).select(_spread(train_bytes).alias("text"), "lang", place.alias("place")).distinct().toArrow().to_pandas()
     table = table.sort_values(["place", "lang", "text"])
     model = train(table["text"].tolist(), table["lang"].tolist())
     if model is None:
         return None
     del table
-    known = _logits(rows.where(held).select("text", "lang", place.alias("place")), model).toPandas().sort_values(["place", "lang"], kind="stable")
-    known = known[known["lang"].isin(model.languages)]
+    known = _logits(rows.where(held).select("text", "lang", place.alias("place")), model).distinct().toPandas()
+    known = known[known["lang"].isin(model.languages)].sort_values(["place", "lang", "strange"])
     if len(known):
-        calibrate(model, np.stack(known["logits"].to_list()), np.array([model.languages.index(x) for x in known["lang"]]), reject_rate)
+        truth = np.array([model.languages.index(x) for x in known["lang"]])
+        calibrate(model, np.stack(known["logits"].to_list()), known["strange"].to_numpy(), truth, reject_rate)
     return model
 
 
@@ -187,25 +230,25 @@ def _spread(size: int) -> Column:
 
 
 def _logits(rows: DataFrame, model: Model) -> DataFrame:
-    """``place, lang, logits`` of whole texts."""
-    schema = "place double, lang string, logits array<double>"
+    """``place, lang, strange, logits`` of whole texts."""
+    schema = "place double, lang string, strange double, logits array<double>"
     limit = (4 << 20) // max(4, len(model.languages))
 
     def work(batches):
         for batch in pieces(batches, limit):
             text, lang, place = batch.columns
-            z = model.logits(Texts(text))
+            z, strange = model.read(Texts(text))
             flat = pa.ListArray.from_arrays(np.arange(len(z) + 1, dtype=np.int32) * z.shape[1], z.reshape(-1))
-            yield table_batch(schema, [place, lang, flat])
+            yield table_batch(schema, [place, lang, strange, flat])
 
     return rows.mapInArrow(work, schema)
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``doc_id, th, lang_pred, score, accepted`` of every whole text."""
-    schema = "doc_id bigint, th int, lang_pred string, score double, accepted boolean"
+    schema = "doc_id bigint, th binary, lang_pred string, score double, accepted boolean"
     rows = docs.select(
-        F.col("doc_id").cast("long"), F.col("text"), F.hash("text").alias("th"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
+        F.col("doc_id").cast("long"), F.col("text"), text_key("text").alias("th"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter")
     )
     languages = model.languages if model else []
     limit = (4 << 20) // max(4, len(languages))
@@ -214,13 +257,15 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in pieces(batches, limit):
             doc_id, text, th, letter = batch.columns
             known = letter.to_numpy(zero_copy_only=False)
-            score, best = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
+            score, best, strange = np.zeros(len(batch)), np.zeros(len(batch), np.int64), np.zeros(len(batch))
             if model:
-                p = model.probabilities(model.logits(Texts(text)))
+                z, strange = model.read(Texts(text))
+                p = model.probabilities(z)
                 score, best = p.max(axis=1), p.argmax(axis=1)
             known = known & bool(model)
             names = pa.array([languages[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)], pa.string())
             score = np.where(known, score, 0.0)
-            yield table_batch(schema, [doc_id, th, names, score, known & (score >= (model.threshold if model else 0))])
+            accepted = known & (score >= (model.threshold if model else 0)) & (strange <= (model.limit if model else 0))
+            yield table_batch(schema, [doc_id, th, names, score, accepted])
 
     return rows.mapInArrow(work, schema)

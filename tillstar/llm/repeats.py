@@ -125,7 +125,7 @@ def _blocks(texts: Texts, span: int):
         at = end
 
 
-_SEGMENT = "anchor bigint, seg bigint, doc_id bigint, th int, lo bigint, n int"
+_SEGMENT = "anchor bigint, seg bigint, doc_id bigint, th binary, lo bigint, n int"
 
 
 def segments(docs: DataFrame, span: int, gram: int) -> DataFrame:
