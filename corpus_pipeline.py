@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import langid
-from tillstar.llm.common import null_safe, prepare, read
+from tillstar.llm.common import null_safe, prepare, read, text_key
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
 from tillstar.llm.near_dup import near_duplicates
@@ -25,7 +25,7 @@ _KEY = ["_id", "_th"]
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """The rows as one struct beside the operators' row key: no name of theirs can clash."""
-    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.hash("text").alias("_th"))
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), text_key("text").alias("_th"))
 
 
 def _kept(docs: DataFrame, verdict: DataFrame, how: str) -> DataFrame:
@@ -51,10 +51,25 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest doc_id, of each group of near duplicates."""
+    """One row of each group of near duplicates: of the smallest doc_id (null last), then of the smallest text hash;
+    of rows that are equal in both, the smallest by all their columns. Documents without words all stay."""
     prepare(spark)
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-    return _kept(docs, gone, "left_anti")
+    found = near_duplicates(docs).where("`group` IS NOT NULL").groupBy("group", "doc_id", "th").agg(F.count("*").alias("n"))
+    found = materialize(found, "near")
+    first = found.groupBy("group").agg(F.sum("n").alias("rows"), F.min(_order()).alias("first")).where("rows > 1")
+    verdict = found.join(first, "group").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "n", _order().eqNullSafe(F.col("first")).alias("stays"))
+    verdict = materialize(verdict, "verdict")
+    equal = verdict.where("stays and n > 1").select(*_KEY)
+    if equal.isEmpty():
+        return _kept(docs, verdict.where("not stays").select(*_KEY), "left_anti")
+    back = null_safe(_keyed(docs), equal, _KEY, "left_semi").withColumn("_json", F.to_json("_row"))
+    back = back.groupBy(*_KEY).agg(F.min_by("_row", "_json").alias("_row")).select("_row.*")
+    return _kept(docs, verdict.where("not stays or n > 1").select(*_KEY), "left_anti").unionAll(back)
+
+
+def _order():
+    """Documents by id, those without one last, then by text."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
