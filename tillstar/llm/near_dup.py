@@ -107,7 +107,9 @@ def full_sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> DataFrame:
-    """``v, rep, d1, n``: each class under its rarest retained values that another class holds too."""
+    """``v, node, n, c``: each class under its rarest retained values that another class holds too.
+
+    ``c`` tells how central a class is: the mean logarithm of how many classes hold each of its values."""
     values = classes.select("rep", "d1", "n", F.explode("sketch").alias("v"))
     # Written before the join, so that Spark can split a hot value's side of it.
     counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "counts")
@@ -115,25 +117,28 @@ def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> Da
     kept = F.least(F.col("n"), F.lit(k))
     # A set so small that its partners are retained whole too has `percent` of itself in common with them.
     needed = F.when(100 * F.col("n") <= percent * k, F.ceil(F.col("n") * percent / 100)).otherwise(F.ceil(kept * least))
-    rarest = shared.groupBy("rep", "d1", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    rarest = shared.groupBy("rep", "d1", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"), F.sum(F.ln("df")).alias("logs"))
     # values that no other class holds are the rarest and take the first places
     room = kept - needed.cast("int") + 1 - (kept - F.size("vs"))
-    return rarest.select("rep", "d1", "n", F.explode(F.slice("vs", 1, F.greatest(room, F.lit(0)))).alias("x")).select("x.v", "rep", "d1", "n")
+    few = F.slice("vs", 1, F.greatest(room, F.lit(0)))
+    return rarest.select("rep", "d1", "n", (F.col("logs") / kept).alias("c"), F.explode(few).alias("x")).select("x.v", "rep", "d1", "n", "c")
 
 
 def exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``v, n, node`` for some classes, from their full sets: each class under its rarest shingles, as many as
+    """``v, n, node, c`` for some classes, from their full sets: each class under its rarest shingles, as many as
     two sets must have one of in common to be linked. A shingle that no other of these classes holds takes a
     place without a list, so a set with many shingles of its own enters few lists or none; no link is lost.
     """
     values = sets.select(_node().alias("node"), "shingles").join(nodes, "node", "left_semi")
     values = values.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("v"))
     counts = materialize(values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "exact_counts")
-    rarest = values.join(counts, "v").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"))
+    rarest = values.join(counts, "v").groupBy("node", "n")
+    rarest = rarest.agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs"), F.sum(F.ln("df")).alias("logs"))
     # A linked set has `needed` shingles in common with its partner, so one of the other places' and one more.
     needed = F.ceil(F.col("n") * percent / 100).cast("int")
     room = F.size("vs") - needed + 1
-    return rarest.select("node", "n", F.explode(F.slice("vs", 1, F.greatest(room, F.lit(0)))).alias("x")).select("x.v", "n", "node")
+    few = F.slice("vs", 1, F.greatest(room, F.lit(0)))
+    return rarest.select("node", "n", (F.col("logs") / F.col("n")).alias("c"), F.explode(few).alias("x")).select("x.v", "n", "node", "c")
 
 
 def _node():
@@ -159,12 +164,13 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, perc
 def links(lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent: int, least: float) -> DataFrame | None:
     """``node, component`` of the linked classes, None without any link.
 
-    The first round compares the members of each list of retained values with the list's hub, its member with the
-    smallest hash, so lists with nearly the same members share their hub and its comparisons. Classes whose lists
-    are still open get exact lists from their full sets; further rounds take these, with sixteen times as many
-    hubs each, until every two members of a list have been compared or lie in one component."""
+    The first round compares the members of each list of retained values with the list's hub, its most central
+    member: the text that a group's copies come from links most of them at once, and lists with nearly the same
+    members share their hub and its comparisons. Classes whose lists are still open get exact lists from their
+    full sets; further rounds take these, with sixteen times as many hubs each, until every two members of a
+    list have been compared or lie in one component."""
     comps, checked = None, lambda pairs: verified(pairs, classes, sets, k, percent, least)
-    open_, comps = _round(lists.select("v", "n", _node().alias("node")), comps, 1, percent, checked)
+    open_, comps = _round(lists.select("v", "n", _node().alias("node"), "c"), comps, 1, percent, checked)
     if open_ is None:
         return comps
     still = _open(open_, comps).select("node").distinct()
@@ -176,11 +182,13 @@ def links(lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent
 
 
 def _open(lists: DataFrame, comps: DataFrame | None, seed: int = 0) -> DataFrame:
-    """The members of lists that do not lie in one component: ``v, n, node, comp, place, size, first``."""
+    """The members of lists that do not lie in one component: ``v, n, node, c, comp, hash, place, size, first``."""
     named = lists.withColumn("comp", F.col("node"))
     if comps is not None:
         named = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
-    named = named.withColumn("place", F.xxhash64(F.lit(seed), "node"))
+    # One hub is the most central member, more are chosen by hash.
+    first = -F.col("c") if seed <= 1 else F.lit(0.0)
+    named = named.withColumn("hash", F.xxhash64(F.lit(seed), "node")).withColumn("place", F.struct(first.alias("c"), "hash"))
     spread = named.groupBy("v").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("place").alias("first"))
     return named.join(spread.where("lo <> hi").select("v", "size", "first"), "v")
 
@@ -189,8 +197,8 @@ def _round(lists: DataFrame, comps: DataFrame | None, hubs: int, percent: int, c
     """Compare the members ``v, n, node`` of each list with its hubs; the members that were no hubs, and the components."""
     hub = F.col("place") == F.col("first")
     if hubs > 1:
-        hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("place", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
-    marked = materialize(_open(lists, comps, hubs).select("v", "n", "node", "comp", hub.alias("hub")), "marked")
+        hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("hash", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
+    marked = materialize(_open(lists, comps, hubs).select("v", "n", "node", "c", "comp", hub.alias("hub")), "marked")
     if marked.isEmpty():
         return None, comps
     heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
@@ -202,7 +210,7 @@ def _round(lists: DataFrame, comps: DataFrame | None, hubs: int, percent: int, c
     if not new.isEmpty():
         known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("component").alias("b"))]
         comps = components(reduce(DataFrame.unionAll, known, new))
-    return marked.where("not hub").select("v", "n", "node"), comps
+    return marked.where("not hub").select("v", "n", "node", "c"), comps
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, k: int = K, least: float = LEAST) -> DataFrame:
