@@ -110,13 +110,51 @@ def base_rules(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(covered)
 
 
-def licenses(text, sentences, rules, end, other, pattern):
-    ids = {v: k for k, v in sentences.items()}
-    parts = re.split(end.replace("(", "(?:"), text or "")
-    hits = "".join(ids.get(re.sub(other, " ", p.lower()).strip(" "), "") for p in parts)
-    left, count = hits, collections.Counter()
+def licenses(text, known, rules, variable, gap=2):
+    """Sentences part by part, rules over positions: what a rule names is gone, what lies in its gaps stays."""
+    t = (text or "").lower()
+    parts, at = [], 0
+    for m in re.finditer("[.!?:;]+([\x20\x09-\x0d]+|$)|\n", t):
+        parts.append((t[at : m.start()], bool(set(m[0].strip()) & set(".!?"))))
+        at = m.end()
+    parts.append((t[at:], True))
+    plain = [(re.sub("[^a-z0-9]+", " ", p).strip(" "), stop) for p, stop in parts]
+    hits, i = [], 0
+    while i < len(plain):
+        best = None
+        for j in range(i, min(len(plain), i + 30)):
+            sentence = " ".join(p for p, _ in plain[i : j + 1])
+            for k, v in known.items():
+                if sentence == v and all(p for p, _ in plain[i : j + 1]):
+                    best = (k, j)
+            for k, head, tail in variable:
+                if sentence.startswith(head + " ") and sentence.endswith(" " + tail) and len(head) + len(tail) + 2 < len(sentence):
+                    best = best or (k, j)
+            if plain[j][1] or not plain[j][0]:
+                break
+        if best:
+            hits.append(best[0])
+        i = best[1] + 1 if best else i + 1
+    def places(left, identifiers, first, room):
+        """The first places of the identifiers, nearer ones preferred."""
+        for j in range(first, min(len(left), first + room)):
+            if left[j] == identifiers[0]:
+                rest = places(left, identifiers[1:], j + 1, gap + 1) if len(identifiers) > 1 else []
+                if rest is not None:
+                    return [j, *rest]
+        return None
+
+    left, count = list(hits), collections.Counter()
     for name, identifiers in rules:
-        count[name] += len(re.findall(pattern(identifiers), left))
-        left = re.sub(pattern(identifiers), "", left)
+        i = 0
+        while i < len(left):
+            taken = places(left, identifiers, i, 1)
+            if taken:
+                count[name] += 1
+                for j in taken:
+                    left[j] = None
+                i = taken[-1]
+            i += 1
+        left = [x for x in left if x is not None]
     names = dict.fromkeys(n for n, _ in rules)
-    return len(hits), hits, ";".join(f"{n}:{count[n]}" for n in names if count[n])
+    return len(hits), "".join(hits), ";".join(f"{n}:{count[n]}" for n in names if count[n])

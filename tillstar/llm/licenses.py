@@ -4,19 +4,22 @@ Every text is cut into parts, which are normalised (lower case, runs of other th
 space). A known licence sentence is a hit where it is one part or several successive ones: a single line break, a
 colon and a semicolon may stand inside it, so hard-wrapped texts (with comment signs as well) and SPDX tags are
 found; a stop and a blank line may not. Of the sentences that start at a part the longest counts.
-A document's hits, in text order, form a sequence of
-identifiers, and ordered rules are matched against it: a rule is a sequence of identifiers that may
-stand ``GAP`` hits apart; what a rule has matched is gone for the rules after it, so complete licence
-texts come before their parts and short notices.
+A sentence may have a variable part, such as the
+holder's name. A document's hits, in text order, form a sequence of identifiers, and ordered rules are
+matched against it, each once: a rule is a sequence of identifiers that may stand ``GAP`` hits apart. What a rule
+names is gone for the rules after it, what stands in its gaps is not; so complete licence texts come before
+their parts and short notices, and a licence inside another one is still found.
+
+Sentences, variable sentences and rules are arguments; the SQL twin reads the same tables.
 
 Defined cases: null and empty texts have no hits; a sentence that occurs n times counts n times; rows are
-documents; an empty table gives an empty result; other columns are ignored. The SQL twin looks up single parts
-among ``SENTENCES`` and ``RULES``; it does not know ``MORE`` and sentences over several parts.
+documents; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -25,9 +28,8 @@ from pyspark.sql import functions as F
 from tillstar.llm.common import row_keyed
 
 GAP = 2
-#: Where a sentence ends: a stop before white space or the end, or a line break.
-END = r"[.!?:;]+([\x20\x09-\x0D]+|$)|\n+"
-OTHER = "[^a-z0-9]+"
+#: Characters of a sentence's variable part.
+NAME = 120
 
 #: Known sentences, normalised, by identifier.
 SENTENCES = {
@@ -107,45 +109,74 @@ MORE_RULES = (
     *((name, k) for k, (name, _) in MORE.items() if name),
 )
 
+#: All sentences and rules.
+KNOWN = SENTENCES | {k: v for k, (_, v) in MORE.items()}
+ALL_RULES = (*RULES, *MORE_RULES)
+#: Sentences with a variable part between a beginning and an end; they count under the identifier of the usual wording.
+VARIABLE = (
+    ("p", "neither the name of", "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("p", "neither the name of", "nor the names of contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("p", "the name of", "may not be used to endorse or promote products derived from this software without specific prior written permission"),
+)
+
 #: Texts without any of these parts of words hold no known sentence and are not searched.
 CUE = "licens|permission|redistribut|software|rights|merchantability|mozilla|universal"
-if missed := [v for v in (*SENTENCES.values(), *(v for _, v in MORE.values())) if not re.search(CUE, v)]:
-    raise ValueError(f"sentences without a cue: {missed}")
 
 _BLANK = r"[\x20\x09-\x0D]"
-#: Sentence ends: signs that may stand inside a known sentence (one break), stops (a blank line).
-_WITHIN, _STOP = rf"(?<![.!?:;])[:;]++({_BLANK}++|$)", rf"(?<![.!?:;])[.!?:;]++({_BLANK}++|$)"
+#: Sentence ends: stops (a blank line) and signs that may stand inside a known sentence (one break).
+_STOP, _WITHIN = rf"[.!?:;]*[.!?][.!?:;]*({_BLANK}+|$)", rf"[:;]+({_BLANK}+|$)"
+
+Known = Mapping[str, str]
+Rules = Sequence[tuple[str, str]]
+Variable = Sequence[tuple[str, str, str]]
 
 
 def pattern(identifiers: str) -> str:
-    """A rule as a pattern over identifiers; it takes the hits in its gaps with it."""
-    return f"[a-z]{{0,{GAP}}}?".join(identifiers)
+    """A rule as a pattern over identifiers; its groups are the hits in its gaps."""
+    return f"(.{{0,{GAP}}}?)".join(identifiers)
+
+
+def whole_sentences(known: Known, variable: Variable) -> str:
+    """One pattern for every known sentence, the longest first, over normalised lines."""
+    spaced = lambda v: v.replace(" ", r"[ \n]")
+    fixed = [spaced(v) for v in sorted(known.values(), key=len, reverse=True)]
+    named = [spaced(f"{head} ") + rf"[a-z0-9 \n]{{1,{NAME}}}?" + spaced(f" {tail}") for _, head, tail in variable]
+    return "(?m)^(" + "|".join([*fixed, *named]) + ")$"
 
 
 def normalised(text: Column) -> Column:
     """The normalised parts of a text as lines; an empty line where a known sentence cannot go on."""
-    lines = F.regexp_replace(F.regexp_replace(F.lower(text), _WITHIN, "\n"), _STOP, "\n\n")
+    # Possessive, so that a long run of signs is tried once.
+    stop, within = rf"(?<![.!?:;])[.!?:;]++({_BLANK}++|$)", rf"(?<![.!?:;])[:;]++({_BLANK}++|$)"
+    lines = F.regexp_replace(F.regexp_replace(F.lower(text), within, "\n"), stop, "\n\n")
     return F.btrim(F.regexp_replace(F.regexp_replace(lines, r"[^a-z0-9\n]+", " "), r" ?\n ?", "\n"))
 
 
-def scan(docs: DataFrame) -> DataFrame:
+def scan(docs: DataFrame, known: Known = KNOWN, rules: Rules = ALL_RULES, variable: Variable = VARIABLE) -> DataFrame:
     """``doc_id, th, n_hits, identifiers, licenses``, a row for each input row: the hits in order, and each
     licence with its number of matches, in rule order."""
-    known = {v: k for k, v in SENTENCES.items()} | {v: k for k, (_, v) in MORE.items()}
-    longest = sorted(known, key=len, reverse=True)
-    whole = "(?m)^(" + "|".join(v.replace(" ", r"[ \n]") for v in longest) + ")$"
-    ids = F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
-    cue = F.lower("text").rlike(CUE)
-    hits = F.transform(F.regexp_extract_all(normalised(F.col("text")), F.lit(whole), F.lit(0)), lambda h: ids[F.translate(h, "\n", " ")])
-    found = row_keyed(docs).select("doc_id", "th", F.coalesce(F.when(cue, F.array_join(hits, "")), F.lit("")).alias("identifiers"))
-    rules = [(name, f".{{0,{GAP}}}?".join(identifiers)) for name, identifiers in (*RULES, *MORE_RULES)]
+    if any(len(k) != 1 for k in known):
+        raise ValueError("identifiers are single characters")
+    ids = F.create_map(*(F.lit(x) for k, v in known.items() for x in (v, k)))
+
+    def identifier(hit: Column) -> Column:
+        sentence = F.translate(hit, "\n", " ")
+        named = [F.when(sentence.rlike(f"^{head} .* {tail}$"), F.lit(k)) for k, head, tail in variable]
+        return F.coalesce(ids[sentence], *named)
+
+    hits = F.transform(F.regexp_extract_all(normalised(F.col("text")), F.lit(whole_sentences(known, variable)), F.lit(0)), identifier)
+    cue = all(re.search(CUE, v) for v in (*known.values(), *(t for _, _, t in variable)))
+    identifiers = F.array_join(hits, "")
+    identifiers = F.when(F.lower("text").rlike(CUE), identifiers) if cue else identifiers
+    found = row_keyed(docs).select("doc_id", "th", F.coalesce(identifiers, F.lit("")).alias("identifiers"))
     left = "identifiers"
     # Rules of one identifier do not take from each other: successive ones are one step.
     for single, step in groupby(enumerate(rules), lambda r: len(r[1][1]) == 1):
         for these in [list(step)] if single else [[r] for r in step]:
-            counts = {f"n{k}": F.regexp_count(left, F.lit(rule)) for k, (_, rule) in these}
-            gone = "|".join(rule for _, (_, rule) in these)
-            found = found.withColumns({**counts, f"left{these[0][0]}": F.regexp_replace(left, gone, "")})
+            counts = {f"n{k}": F.regexp_count(left, F.lit(pattern(ids_))) for k, (_, ids_) in these}
+            gone = "|".join(pattern(ids_) for _, (_, ids_) in these)
+            gaps = "".join(f"${i}" for i in range(1, len(these[0][1][1])))
+            found = found.withColumns({**counts, f"left{these[0][0]}": F.regexp_replace(left, gone, gaps)})
             left = f"left{these[0][0]}"
     parts = []
     for name in dict.fromkeys(name for name, _ in rules):
@@ -154,27 +185,31 @@ def scan(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "th", F.length("identifiers").cast("long").alias("n_hits"), "identifiers", F.concat_ws(";", *parts).alias("licenses"))
 
 
-def twin() -> str:
+def twin(known: Known = KNOWN, rules: Rules = ALL_RULES, variable: Variable = VARIABLE) -> str:
     """The same in DuckDB SQL, from the same tables."""
-    values = ", ".join(f"('{v}', '{k}')" for k, v in SENTENCES.items())
+    values = ", ".join(f"('{v}', '{k}')" for k, v in known.items())
+    named = " ".join(f"WHEN regexp_full_match(sentence, '{head} .* {tail}') THEN '{k}'" for k, head, tail in variable)
     steps, left = [], "identifiers"
-    for k, (_, identifiers) in enumerate(RULES):
-        p = pattern(identifiers)
-        steps.append(f"s{k} AS (SELECT *, len(regexp_extract_all({left}, '{p}')) AS n{k}, regexp_replace({left}, '{p}', '', 'g') AS left{k} FROM {f's{k - 1}' if k else 'found'})")
+    for k, (_, ids_) in enumerate(rules):
+        p, gaps = pattern(ids_), "".join(rf"\{i}" for i in range(1, len(ids_)))
+        steps.append(f"s{k} AS (SELECT *, len(regexp_extract_all({left}, '{p}')) AS n{k}, regexp_replace({left}, '{p}', '{gaps}', 'g') AS left{k} FROM {f's{k - 1}' if k else 'found'})")
         left = f"left{k}"
     parts = []
-    for name in dict.fromkeys(n for n, _ in RULES):
-        total = " + ".join(f"n{k}" for k, (n, _) in enumerate(RULES) if n == name)
+    for name in dict.fromkeys(n for n, _ in rules):
+        total = " + ".join(f"n{k}" for k, (n, _) in enumerate(rules) if n == name)
         parts.append(f"CASE WHEN {total} > 0 THEN '{name}:' || ({total}) END")
-    end = END.replace("\\n", "\n")
     return f"""
 WITH known(sentence, id) AS (VALUES {values}),
-cut AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '{end}') AS parts FROM documents),
-lines AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM cut),
-normal AS (SELECT doc_id, pos, trim(regexp_replace(lower(line), '{OTHER}', ' ', 'g')) AS sentence FROM lines),
-found AS (SELECT doc_id, string_agg(id, '' ORDER BY pos) AS identifiers FROM normal JOIN known USING (sentence) GROUP BY doc_id),
+ended AS (
+  SELECT doc_id, regexp_replace(regexp_replace(lower(coalesce(text, '')), '{_STOP}', '\n\n', 'g'), '{_WITHIN}', '\n', 'g') AS t FROM documents),
+normal AS (SELECT doc_id, trim(regexp_replace(regexp_replace(t, '[^a-z0-9\\n]+', ' ', 'g'), ' ?\\n ?', '\n', 'g')) AS t FROM ended),
+hits AS (SELECT doc_id, regexp_extract_all(t, '{whole_sentences(known, variable)}') AS hs FROM normal),
+placed AS (SELECT doc_id, replace(unnest(hs), '\n', ' ') AS sentence, generate_subscripts(hs, 1) AS pos FROM hits),
+found AS (
+  SELECT doc_id, string_agg(CASE WHEN id IS NOT NULL THEN id {named} END, '' ORDER BY pos) AS identifiers
+  FROM placed LEFT JOIN known USING (sentence) GROUP BY doc_id),
 {", ".join(steps)}
 SELECT doc_id, coalesce(len(identifiers), 0) AS n_hits, coalesce(identifiers, '') AS identifiers,
   coalesce(concat_ws(';', {", ".join(parts)}), '') AS licenses
-FROM documents LEFT JOIN s{len(RULES) - 1} USING (doc_id)
+FROM documents LEFT JOIN s{len(rules) - 1} USING (doc_id)
 """
