@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from support import make_lines, make_star
 from pyspark.sql import functions as F
 
 from tillstar.operators import measures
-from tillstar.operators.fact import in_period
+from tillstar.operators.fact import build_fact, in_period, order_lines
+from tillstar.operators.features import customer_features
 from tillstar.plans.catalog import CATALOG
 from tillstar.plans.warehouse import open_warehouse
 from tillstar.sources.bound import bind_order_lines
@@ -85,3 +87,47 @@ def test_changed_input_is_built_anew(spark, tmp_path):
     assert open_warehouse(spark, str(tmp_path)) is first
     items.limit(200).write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
     assert open_warehouse(spark, str(tmp_path)) is not first
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_texts_made_from_keys_do_not_travel(spark, shuffled_joins):
+    """Order, customer and city names are made behind the last join of the line items."""
+    top, *below = bind_order_lines(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    for name in ("order_id", "customer_id", "city", "channel"):
+        assert f" AS {name}#" in top
+        assert not any(f" AS {name}#" in x for x in below)
+
+
+def test_order_lines_of_a_customer_are_in_one_partition(spark, shuffled_joins):
+    rows = [{"order_id": f"SO-{i // 3}", "customer_id": f"C{i // 3 % 20}", "sku": f"K{i % 17}", "category": f"A{i % 5}"} for i in range(300)]
+    lines = order_lines(make_star(make_lines(spark, rows)))
+    spread = lines.select("customer_id", F.spark_partition_id().alias("p")).distinct().groupBy("customer_id").count()
+    assert lines.count() == 300 and {r["count"] for r in spread.collect()} == {1}
+
+
+def test_customer_categories_travel_without_sums(spark):
+    rows = [{"order_id": f"SO-{i}", "customer_id": f"C{i % 3}", "sku": f"K{i % 4}", "category": f"A{i % 4}"} for i in range(12)]
+    found = customer_features(order_lines(make_star(make_lines(spark, rows))), "2024-06-30")
+    assert sorted((r.customer_id, r.n_categories, r.frequency) for r in found.collect()) == [(f"C{i}", 4, 4) for i in range(3)]
+    grouped = re.findall(r"Aggregate\(keys=\[([^\]]*)\], functions=\[([^\]]*)\]", plan(found))
+    pairs = [functions for keys, functions in grouped if "customer_id" in keys and "category" in keys]
+    assert pairs and not any(pairs)
+
+
+def test_amounts_do_not_travel_through_the_fact_joins(spark, shuffled_joins):
+    star = make_star(lines := make_lines(spark, [{"unit_price": 10, "quantity": 3, "unit_cost": 4, "discount_pct": "0.1"}]))
+    fact = build_fact(lines, star.dim_customer, star.dim_store, star.dim_product)
+    assert [(float(r.net_revenue), float(r.discount_amount), float(r.cost)) for r in fact.collect()] == [(27.0, 3.0, 12.0)]
+    top, *below = build_fact(bind_order_lines(spark, SF_DIR), star.dim_customer, star.dim_store, star.dim_product)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    for name in ("net_revenue", "discount_amount", "cost"):
+        assert f" AS {name}#" in top and not any(f" AS {name}#" in x for x in below)
