@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece as spm
+from pyspark.sql import functions as F
 
 import brute
 from tillstar.llm import langid, licenses, perplexity, repeats, rules, warc
@@ -318,6 +319,20 @@ def test_langid(spark):
     assert {r["lang_pred"] for r in none} == {"und"} and {r["score"] for r in none} == {0.0}
 
 
+def test_langid_is_fitted_off_the_driver(spark, monkeypatch):
+    """The sample is not collected, and the model is what training makes of it in its order."""
+    here, train = [], langid.train
+    monkeypatch.setattr(langid, "train", lambda texts, labels: here.append(1) or train(texts, labels))
+    texts = [("the old %d man and the sea " % k, "en") if k % 2 else ("der alte %d mann und das meer " % k, "de") for k in range(20)]
+    docs = spark.createDataFrame([(1, t, lang) for t, lang in texts], "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, per_language=10**6)
+    assert model.languages == ["de", "en"] and not here
+    placed = docs.select(F.col("text").cast("binary").alias("b"), "lang", F.pmod(F.xxhash64("doc_id", "text", F.lit("langid")), F.lit(1 << 30)).alias("place"))
+    rows = placed.orderBy("place", "lang", "b").collect()
+    want = train([bytes(r["b"]) for r in rows], [r["lang"] for r in rows])
+    assert np.allclose(model.table, want.table, atol=1e-3) and np.array_equal(model.known, want.known)
+
+
 def test_langid_learns_from_whole_texts(spark):
     """Long texts with the same header, longer than what is taken of a text."""
     rnd = random.Random(9)

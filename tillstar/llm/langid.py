@@ -2,7 +2,7 @@
 
 Subwords are the 3- and 4-byte strings of the text (A-Z lower-cased, white space as a space, digits
 alike, a space at both ends), hashed to buckets. A text's hidden vector is the mean of its subwords'
-embeddings. Both layers are trained by stochastic gradient descent in numpy on a bounded sample of
+embeddings. Both layers are trained by stochastic gradient descent in numpy, in one task, on a bounded sample of
 labelled rows: about ``per_language`` rows of each of the ``LANGUAGES`` most frequent labels, chosen by a
 hash of id and text, equal rows once; of a text of more than ``train_bytes`` as many bytes in chunks at
 random places all over it. A fifth of the rows (of a language of ``FEW`` at least; smaller ones are learned
@@ -27,9 +27,12 @@ ties the first in order wins; other columns are ignored.
 
 from __future__ import annotations
 
+import io
+import json
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -203,20 +206,50 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, train_bytes: int
         trained = trained | (mine & (place < per_language / n) & (~fifth if n >= FEW else F.lit(True)))
         held = held | (mine & (place < HELD * per_language / n) & fifth & F.lit(n >= FEW))
     # Rows without an id, or with a shared one, are told apart by their texts; equal ones count once.
-    table = rows.where(trained).select(_spread(train_bytes).alias("text"), "lang", place.alias("place")).distinct().toArrow().to_pandas()
-    table = table.sort_values(["place", "lang", "text"])
-    model = train(table["text"].tolist(), table["lang"].tolist())
-    if model is None:
+    sample = rows.where(trained).select(_spread(train_bytes).alias("text"), "lang", place.alias("place")).distinct()
+    fitted = _in_one_task(sample, ["place", "lang", "text"], lambda table: _arrays(train(table["text"].tolist(), table["lang"].tolist())))
+    if fitted is None:
         return None
-    del table
-    known = _logits(rows.where(held).select("text", "lang", place.alias("place")), model).distinct().toPandas()
-    known = known[known["lang"].isin(model.languages)].sort_values(["place", "lang", "strange"])
-    if len(known):
-        truth = np.array([model.languages.index(x) for x in known["lang"]])
-        calibrate(model, np.stack(known["logits"].to_list()), known["strange"].to_numpy(), truth, reject_rate)
+    model = Model(json.loads(fitted["languages"].tobytes()), fitted["table"], fitted["bias"], known=fitted["known"], usual=fitted["usual"])
+    languages = model.languages
+
+    def limits(table: pd.DataFrame) -> dict[str, np.ndarray]:
+        found, table = Model(languages, np.zeros(0), np.zeros(0)), table[table["lang"].isin(languages)]
+        if len(table):
+            truth = np.array([languages.index(x) for x in table["lang"]])
+            calibrate(found, np.stack(table["logits"].to_list()), table["strange"].to_numpy(), truth, reject_rate)
+        return {"limits": np.array([found.temperature, found.threshold, found.limit])}
+
+    known = _logits(rows.where(held).select("text", "lang", place.alias("place")), model).distinct()
+    found = _in_one_task(known, ["place", "lang", "strange"], limits)
+    if found is not None:
+        model.temperature, model.threshold, model.limit = found["limits"].tolist()
     return model
 
 
+def _arrays(model: Model) -> dict[str, np.ndarray]:
+    names = np.frombuffer(json.dumps(model.languages).encode(), np.uint8)
+    return {"languages": names, "table": model.table, "bias": model.bias, "known": model.known, "usual": model.usual}
+
+
+def _in_one_task(sample: DataFrame, order: list[str], learn) -> dict[str, np.ndarray] | None:
+    """The arrays that ``learn`` makes of a bounded sample, in that order; None without a row. The sample and what is
+    made of it stay with the task: a driver keeps memory that it has once touched."""
+
+    def work(batches):
+        tables = [b.to_pandas() for b in batches if len(b)]
+        if tables:
+            out = io.BytesIO()
+            np.savez(out, **learn(pd.concat(tables).sort_values(order)))
+            yield table_batch("arrays binary", [pa.array([out.getvalue()], pa.binary())])
+
+    row = sample.coalesce(1).mapInArrow(work, "arrays binary").first()
+    if row is None:
+        return None
+    with np.load(io.BytesIO(row["arrays"])) as f:
+        return {name: f[name] for name in f.files}
+
+
 def _spread(size: int) -> Column:
     """The bytes of ``text``, or of a text of more than ``size`` chunks at random places of ``CHUNKS`` equal parts."""
     data, n, part = F.col("text").cast("binary"), F.octet_length("text").cast("long"), size // CHUNKS
