@@ -131,3 +131,12 @@ def test_amounts_do_not_travel_through_the_fact_joins(spark, shuffled_joins):
     top, *below = build_fact(bind_order_lines(spark, SF_DIR), star.dim_customer, star.dim_store, star.dim_product)._jdf.queryExecution().optimizedPlan().toString().splitlines()
     for name in ("net_revenue", "discount_amount", "cost"):
         assert f" AS {name}#" in top and not any(f" AS {name}#" in x for x in below)
+
+
+def test_line_items_are_not_shuffled_to_stores(spark, shuffled_joins, monkeypatch):
+    def keys():
+        return re.findall(r"hashpartitioning\((\w+)#", plan(bind_order_lines(spark, SF_DIR)))
+
+    assert "l_orderkey" in keys() and "l_partkey" in keys() and "l_suppkey" not in keys()
+    monkeypatch.setattr("tillstar.sources.bound.BROADCAST_BYTES", 0)
+    assert "l_suppkey" in keys()
