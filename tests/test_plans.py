@@ -1,17 +1,20 @@
 """Physical plans: pruning, pushdown, no cross joins, skewed joins split."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from support import make_lines, make_star
 from pyspark.sql import functions as F
 
 from tillstar.operators import measures
-from tillstar.operators.fact import build_fact, in_period, order_lines
+from tillstar.operators.fact import build_fact, fact_rows, in_period, keyed_lines, order_lines, stored_keys
 from tillstar.operators.features import customer_features
+from tillstar.plans import etl
 from tillstar.plans.catalog import CATALOG
 from tillstar.plans.warehouse import open_warehouse
 from tillstar.sources.bound import bind_order_lines
+from tillstar.sources.files import read_gold, write_gold
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -140,3 +143,28 @@ def test_line_items_are_not_shuffled_to_stores(spark, shuffled_joins, monkeypatc
     assert "l_orderkey" in keys() and "l_partkey" in keys() and "l_suppkey" not in keys()
     monkeypatch.setattr("tillstar.sources.bound.BROADCAST_BYTES", 0)
     assert "l_suppkey" in keys()
+
+
+def test_order_lines_of_a_run_are_not_joined_again(spark, shuffled_joins):
+    """A line's product and customer were joined for the fact; members are the dimensions' own, and a narrowed star starts from its fact."""
+    rows = [
+        {"order_id": f"SO-{i // 2}", "customer_id": f"C{i % 5}", "segment": f"S{i % 3}", "sku": f"K{i % 4}", "category": f"A{i % 8}", "store_name": f"T{i % 2}"}
+        for i in range(40)
+    ]
+    star = etl.run(make_lines(spark, rows)).star
+    found, plain = order_lines(star), order_lines(replace(star, keyed=None))
+    assert found.schema == plain.schema and sorted(found.collect()) == sorted(plain.collect()) and found.count() == 40
+    assert {"product_key", "customer_key"} <= set(re.findall(r"hashpartitioning\((\w+)#", plan(plain)))
+    assert not {"product_key", "customer_key"} & set(re.findall(r"hashpartitioning\((\w+)#", plan(found)))
+    assert order_lines(star.with_stores(star.dim_store.filter("store_name = 'T0'"))).count() == 20
+
+
+def test_amounts_do_not_travel_to_the_months(spark, tmp_path):
+    star = make_star(lines := make_lines(spark, [{"unit_price": 10, "quantity": 3, "unit_cost": 4, "discount_pct": "0.1"}]))
+    keyed, seen = stored_keys(keyed_lines(lines, star.dim_customer, star.dim_store, star.dim_product)), []
+    write_gold({"fact_sales": keyed}, str(tmp_path), observe=lambda f: seen.append(f) or f, finish=fact_rows)
+    fact = read_gold(spark, str(tmp_path), "fact_sales", "parquet")
+    assert [(float(r.net_revenue), float(r.discount_amount), float(r.cost), r.year, r.year_month_key) for r in fact.collect()] == [(27.0, 3.0, 12.0, 2024, 202401)]
+    above, below = seen[0]._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
+    for name in ("net_revenue", "discount_amount", "cost", "year"):
+        assert f" AS {name}#" in above and f" AS {name}#" not in below
