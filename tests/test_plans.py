@@ -168,3 +168,14 @@ def test_amounts_do_not_travel_to_the_months(spark, tmp_path):
     above, below = seen[0]._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")
     for name in ("net_revenue", "discount_amount", "cost", "year"):
         assert f" AS {name}#" in above and f" AS {name}#" not in below
+
+
+def test_fact_lines_are_not_shuffled_to_stores(spark, shuffled_joins, monkeypatch):
+    star = make_star(lines := make_lines(spark, [{"store_name": f"T{i}"} for i in range(5)]))
+
+    def text():
+        return plan(build_fact(lines, star.dim_customer, star.dim_store, star.dim_product))
+
+    assert "hashpartitioning(sku" in text() and "hashpartitioning(store_name" not in text()
+    monkeypatch.setattr("tillstar.session.STORE_BYTES", 1 << 40)
+    assert "hashpartitioning(store_name" in text()
