@@ -14,7 +14,7 @@ from tillstar.llm import langid, licenses, perplexity, repeats, rules, warc
 from tillstar.llm import sentencepiece as sp
 from tillstar.llm.decontam import contaminated
 from tillstar.llm.line_dedup import dedup_lines
-from tillstar.llm.near_dup import near_duplicates
+from tillstar.llm.near_dup import near_duplicates, verified
 
 SCHEMA = "doc_id bigint, text string, lang string, th string, h1 bigint, key string"
 _WORDS = "the of and ingre ention éoux schein über atre bleson ondre wh haou qu erst mentai ly ñas ciónes".split()
@@ -122,6 +122,25 @@ def test_near_duplicates_in_a_large_list(spark):
     assert plain(got) == plain(brute.near_duplicates(rows, 2))
 
 
+def test_near_duplicates_compares_few_half_alike(spark, monkeypatch):
+    """Each of many copies has 15 of 100 words for itself, too many to be linked with any: they are not compared with each other."""
+    base = [f"b{i}" for i in range(100)]
+    rows = [(d, " ".join(base[15:] + [f"own{d}x{i}" for i in range(15)])) for d in range(40)]
+    rows += [(d, " ".join(base[3:] + [f"own{d}x{i}" for i in range(3)])) for d in range(40, 44)]
+    rows += [(44, " ".join(base[:88])), (45, " ".join(base[:70]))]
+    compared = []
+
+    def counting(pairs, *args):
+        compared.append(pairs.count())
+        return verified(pairs, *args)
+
+    monkeypatch.setattr("tillstar.llm.near_dup.verified", counting)
+    got = near_duplicates(frame(spark, rows), words=1).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert plain(got) == plain(brute.near_duplicates(rows, 1))
+    assert len({r["component_id"] for r in got}) < len(rows)
+    assert sum(compared) < 300  # 780 pairs of the forty alone
+
+
 @pytest.mark.parametrize("limit", [64 << 20, 0])
 def test_contaminated(spark, monkeypatch, limit):
     monkeypatch.setattr("tillstar.llm.common.BROADCAST_BYTES", limit)

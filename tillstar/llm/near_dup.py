@@ -107,7 +107,7 @@ def full_sets(rows: DataFrame, words: int) -> DataFrame:
 
 
 def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> DataFrame:
-    """``v, node, n, c``: each class under its rarest retained values that another class holds too.
+    """``v, rep, d1, n, c``: each class under its rarest retained values that another class holds too.
 
     ``c`` tells how central a class is: the mean logarithm of how many classes hold each of its values."""
     values = classes.select("rep", "d1", "n", F.explode("sketch").alias("v"))
@@ -125,9 +125,11 @@ def inverted_lists(classes: DataFrame, k: int, percent: int, least: float) -> Da
 
 
 def exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``v, n, node, c`` for some classes, from their full sets: each class under its rarest shingles, as many as
+    """``v, n, node, c, left`` for some classes, from their full sets: each class under its rarest shingles, as many as
     two sets must have one of in common to be linked. A shingle that no other of these classes holds takes a
     place without a list, so a set with many shingles of its own enters few lists or none; no link is lost.
+    ``left`` is the number of the set's shingles from this one on, the most that it can have in common with a set
+    that shares none of the rarer ones.
     """
     values = sets.select(_node().alias("node"), "shingles").join(nodes, "node", "left_semi")
     values = values.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("v"))
@@ -138,7 +140,8 @@ def exact_lists(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     needed = F.ceil(F.col("n") * percent / 100).cast("int")
     room = F.size("vs") - needed + 1
     few = F.slice("vs", 1, F.greatest(room, F.lit(0)))
-    return rarest.select("node", "n", (F.col("logs") / F.col("n")).alias("c"), F.explode(few).alias("x")).select("x.v", "n", "node", "c")
+    placed = rarest.select("node", "n", (F.col("logs") / F.col("n")).alias("c"), F.size("vs").alias("shared"), F.posexplode(few).alias("at", "x"))
+    return placed.select("x.v", "n", "node", "c", (F.col("shared") - F.col("at")).alias("left"))
 
 
 def _node():
@@ -168,9 +171,11 @@ def links(lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent
     member: the text that a group's copies come from links most of them at once, and lists with nearly the same
     members share their hub and its comparisons. Classes whose lists are still open get exact lists from their
     full sets; further rounds take these, with sixteen times as many hubs each, until every two members of a
-    list have been compared or lie in one component."""
+    list have been compared or lie in one component. Two members whose shingles from the list's one on are too few
+    for a link are not compared there: if they are linked, a rarer shingle that they share has a list with both."""
     comps, checked = None, lambda pairs: verified(pairs, classes, sets, k, percent, least)
-    open_, comps = _round(lists.select("v", "n", _node().alias("node"), "c"), comps, 1, percent, checked)
+    # The whole set may lie behind a retained value.
+    open_, comps = _round(lists.select("v", "n", _node().alias("node"), "c", F.col("n").alias("left")), comps, 1, percent, checked)
     if open_ is None:
         return comps
     still = _open(open_, comps).select("node").distinct()
@@ -182,7 +187,7 @@ def links(lists: DataFrame, classes: DataFrame, sets: DataFrame, k: int, percent
 
 
 def _open(lists: DataFrame, comps: DataFrame | None, seed: int = 0) -> DataFrame:
-    """The members of lists that do not lie in one component: ``v, n, node, c, comp, hash, place, size, first``."""
+    """The members of lists that do not lie in one component: ``v, n, node, c, left, comp, hash, place, size, first``."""
     named = lists.withColumn("comp", F.col("node"))
     if comps is not None:
         named = lists.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
@@ -194,23 +199,24 @@ def _open(lists: DataFrame, comps: DataFrame | None, seed: int = 0) -> DataFrame
 
 
 def _round(lists: DataFrame, comps: DataFrame | None, hubs: int, percent: int, checked) -> tuple[DataFrame | None, DataFrame | None]:
-    """Compare the members ``v, n, node`` of each list with its hubs; the members that were no hubs, and the components."""
+    """Compare the members ``v, n, node, c, left`` of each list with its hubs; the members that were no hubs, and the components."""
     hub = F.col("place") == F.col("first")
     if hubs > 1:
         hub = hub | (F.col("size") <= 2 * hubs) | (F.pmod("hash", F.lit(1 << 30)) / float(1 << 30) < hubs / F.col("size"))
-    marked = materialize(_open(lists, comps, hubs).select("v", "n", "node", "c", "comp", hub.alias("hub")), "marked")
+    marked = materialize(_open(lists, comps, hubs).select("v", "n", "node", "c", "left", "comp", hub.alias("hub")), "marked")
     if marked.isEmpty():
         return None, comps
-    heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("comp").alias("ac"))
-    members = marked.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("comp").alias("bc"), F.col("hub").alias("bh"))
+    heads = marked.where("hub").select("v", F.col("node").alias("a"), F.col("n").alias("an"), F.col("left").alias("al"), F.col("comp").alias("ac"))
+    members = marked.select("v", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("left").alias("bl"), F.col("comp").alias("bc"), F.col("hub").alias("bh"))
     pairs = heads.join(members, "v").where("ac <> bc and (not bh or a < b)")
     pairs = pairs.where(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
+    pairs = pairs.where(f"{100 + percent} * least(al, bl) >= {percent} * (an + bn)")
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     new = materialize(checked(pairs), "verified")
     if not new.isEmpty():
         known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("component").alias("b"))]
         comps = components(reduce(DataFrame.unionAll, known, new))
-    return marked.where("not hub").select("v", "n", "node", "c"), comps
+    return marked.where("not hub").select("v", "n", "node", "c", "left"), comps
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, k: int = K, least: float = LEAST) -> DataFrame:
