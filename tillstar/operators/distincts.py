@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,17 +111,35 @@ class DistinctCube:
         return out.select(*keys, F.col("_orders").alias("orders"), F.col("_customers").alias("active_customers"))
 
     def trailing(self, by: Sequence[str] = (), months: int = 12) -> DataFrame:
-        """Orders and active customers of the ``months`` months up to each month, per ``by``:
-        a month's sets count in that many periods; the sets of a period are OR-ed."""
+        """Orders and active customers of the ``months`` months up to each month, per ``by``.
+
+        A bit enters the period at a month unless one of the ``months`` months before has it as well, and leaves it
+        ``months`` months on unless one of those in between has it. So a set's rows meet only the rows of their own word, no
+        row is repeated per period, and running sums over the months' changes are the counts."""
+        if months < 1:
+            raise ValueError("at least one month")
         bounds = self.sets.agg(F.max("month").alias("last")).first()
         last = (bounds["last"] or 0) // 100 * 12 + (bounds["last"] or 0) % 100 - 1
         at = F.floor(F.col("month") / 100).cast("int") * 12 + F.col("month") % 100 - 1
-        # Sets are first merged to what is asked for; only these rows are repeated.
-        base = merged(self.sets.select(*by, at.alias("_at"), "base", "word", "bits"), [*by, "_at"])
-        seen = base.withColumn("_at", F.explode(F.sequence(F.col("_at"), F.least(F.col("_at") + months - 1, F.lit(last)))))
-        out = counted(merged(seen, [*by, "_at"]), [*by, "_at"], list(DISTINCT))
+        # Sets are first merged to what is asked for. A word's months are a bounded group, and lie together for it.
+        base = merged(self.sets.select(*by, at.alias("_at"), "base", "word", "bits").repartition(*by, "base", "word"), [*by, "_at"])
+        word = Window.partitionBy(*by, "base", "word").orderBy("_at")
+
+        def fresh(first: int, end: int) -> Column:
+            near = F.coalesce(F.bit_or("bits").over(word.rangeBetween(first, end)), F.lit(0).cast("long"))
+            return F.bit_count(F.col("bits").bitwiseAND(F.bitwise_not(near))).cast("long")
+
+        moves = base.select(*by, "base", "_at", fresh(-months, -1).alias("enter"), fresh(1, months).alias("leave"))
+        change = F.array(F.struct("_at", F.col("enter").alias("n")), F.struct((F.col("_at") + months).alias("_at"), (-F.col("leave")).alias("n")))
+        moves = moves.select(*by, "base", F.explode(change).alias("x")).select(*by, "base", "x._at", "x.n").filter((F.col("n") != 0) & (F.col("_at") <= last))
+        steps = moves.groupBy(*by, "_at").agg(*[F.sum(F.when(F.col("base") == b, F.col("n")).otherwise(0)).alias(f"_{b}") for b in DISTINCT])
+        line = Window.partitionBy(*by).orderBy("_at")  # a row per month at most
+        until = F.coalesce(F.lead("_at").over(line) - 1, F.lit(last))
+        sums = [F.sum(f"_{b}").over(line.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_{b}") for b in DISTINCT]
+        held = steps.select(*by, "_at", until.alias("_until"), *sums).filter(reduce(Column.__or__, [F.col(f"_{b}") != 0 for b in DISTINCT]))
+        out = held.withColumn("_at", F.explode(F.sequence("_at", "_until")))
         month = (F.floor(F.col("_at") / 12) * 100 + F.col("_at") % 12 + 1).cast("int").alias("month")
-        return out.select(*by, month, F.col("_orders").alias("orders"), F.col("_customers").alias("active_customers"))
+        return out.select(*by, month, blank_if_zero(F.col("_orders")).alias("orders"), blank_if_zero(F.col("_customers")).alias("active_customers"))
 
 
 # ---------------------------------------------------------------- approximate, on request
