@@ -409,6 +409,38 @@ def test_kneser_ney_sums_to_one():
         assert abs(p.sum() - 1) < 1e-3
 
 
+def test_symbols_keep_the_whole_text():
+    """Texts are read again from their symbols; what differs in case, digits, signs, spaces or accents differs in its n-grams."""
+    alike = ["Ab 12", "ab 12", "AB 12", "ab 13", "ab  12", "ab\t12", "ab\n12", "ab(12", "ab[12", "ab_12", "é", "á", "É", "ж", "語", "誠", "😀", "\x00\x7f", "Ñandú — ¿qué?", "~^`{|}<>#@$%&*+=\\"]
+    code, counts = perplexity.ngrams(perplexity.Texts(pa.array(alike)))
+    codes = np.split(code, np.cumsum(counts)[:-1])
+    assert len({tuple(c.tolist()) for c in codes}) == len(alike)
+    single = perplexity._SINGLE + perplexity._LEADS
+    for text, found in zip(alike, codes, strict=True):
+        symbols, raw, left = (found & 63).tolist(), bytearray(), 0
+        while symbols:
+            s = symbols.pop(0)
+            if left:
+                raw.append(128 | s)
+                left -= 1
+                continue
+            raw.append(single[s] if s < len(single) else single[symbols.pop(0)] - 32 if s == len(single) else {1: 0, 2: 64, 3: 192}[s - len(single)] | symbols.pop(0))
+            left = 0 if raw[-1] < 0xC0 else 1 if raw[-1] < 0xE0 else 2 if raw[-1] < 0xF0 else 3
+        assert raw.decode() == text
+    rest, _ = perplexity.ngrams(perplexity.Texts(pa.array([None, "", "ab"])))
+    assert _.tolist() == [0, 0, 2] and (rest[1] >> 12) == rest[0] >> 6 & 0x3FFFF
+
+
+def test_perplexity_sees_case_and_signs(spark):
+    rnd = random.Random(3)
+    clean = [_sentence(rnd, 120) for _ in range(60)]
+    mixed = "".join(c.upper() if rnd.random() < 0.5 else c for c in clean[0].replace(" ", "  "))
+    docs = spark.createDataFrame([(d, t, "en") for d, t in enumerate([*clean, mixed])], "doc_id bigint, text string, lang string")
+    found = {r["doc_id"]: r for r in perplexity.judge(docs).collect()}
+    assert all(found[d]["kept"] for d in range(60))
+    assert found[60]["perplexity"] > 1.1 * max(found[d]["perplexity"] for d in range(60))  # the same n-grams as the first text's, were case and spaces folded
+
+
 def test_repeated_words_at_block_size():
     ids = np.array([1, 2, 3, 1, 2, 3, 9, 1, 2, 3, 1, 2])
     doc = np.array([0] * 6 + [1] * 6)
